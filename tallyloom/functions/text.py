@@ -68,7 +68,7 @@ def training_target(target: Column | str, raw: Column | str | None = None) -> Co
     """
     target = _col(target)
     fallback = F.lit(UNKNOWN_TARGET) if raw is None else clean(raw)
-    return F.when(informative(target), clean(target)).otherwise(fallback)
+    return F.when(informative(target), collapse_space(target.cast("string"))).otherwise(fallback)
 
 
 def scoring_truth(target: Column | str, raw: Column | str | None = None) -> Column:
@@ -84,7 +84,7 @@ def scoring_truth(target: Column | str, raw: Column | str | None = None) -> Colu
 def labelled_line(label: str, value: Column | str) -> Column:
     """``label: value``, or null when there is nothing informative to say."""
     value = _col(value)
-    return F.when(informative(value), F.concat(F.lit(f"{label}: "), clean(value)))
+    return F.when(informative(value), F.concat(F.lit(f"{label}: "), collapse_space(value.cast("string"))))
 
 
 def user_prompt(

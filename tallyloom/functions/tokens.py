@@ -12,19 +12,19 @@ from tallyloom.functions.text import _col
 
 
 def marker_end(ids: Column | str, marker: Sequence[int]) -> Column:
-    """Number of tokens up to the end of the first occurrence of ``marker``; null without one."""
+    """Number of tokens up to the end of the first occurrence of ``marker``; null without one.
+
+    The search runs over the ids as comma-separated text, which the JVM scans once per row; a
+    lambda over positions would copy a slice for each of them.
+    """
     if not marker:
         raise ValueError("the marker needs at least one token")
-    ids = _col(ids)
-    width = len(marker)
-    wanted = F.array(*[F.lit(int(token)) for token in marker])
-    # Compare the first token before slicing: most positions are ruled out without a copy.
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(ids) - width + 1),
-        lambda at: (F.get(ids, at - 1) == int(marker[0])) & (F.slice(ids, at, width) == wanted),
-    )
-    # A descending sequence would start at size 0, so short rows are excluded first.
-    return F.when(F.size(ids) >= width, F.get(starts, F.lit(0)) + width - 1)
+    text = F.concat(F.lit(","), F.array_join(_col(ids).cast("array<string>"), ",", "?"), F.lit(","))
+    found = F.instr(text, F.lit("," + ",".join(str(int(token)) for token in marker) + ","))
+    before = F.substring(text, F.lit(1), found)
+    # As many commas as tokens in front of the marker, plus the one that opens it.
+    skipped = F.length(before) - F.length(F.replace(before, F.lit(","), F.lit("")))
+    return F.when(found > 0, skipped - 1 + len(marker))
 
 
 def loss_labels(
@@ -36,18 +36,15 @@ def loss_labels(
     """C14: the ids with ignored labels over the prompt and the padding.
 
     The prompt ends with the first marker. Without a marker the first ``prompt_length`` tokens
-    count as prompt. Everything after the first marker is trained on.
+    count as prompt. Everything after the first marker is trained on. ``attention`` has one entry
+    per token.
     """
-    ids, attention = _col(ids), _col(attention)
-    rest = F.least(F.coalesce(_col(prompt_length), F.lit(0)), F.size(ids))
-    kept_from = F.coalesce(marker_end(ids, marker), rest)
-    return F.transform(
-        ids,
-        lambda token, at: F.when(
-            (at < kept_from) | (F.coalesce(F.get(attention, at), F.lit(1)) == 0),
-            F.lit(IGNORED_LABEL).cast("int"),
-        ).otherwise(token),
-    )
+    ids = _col(ids)
+    ignored = F.lit(IGNORED_LABEL).cast("int")
+    prompt = F.least(F.coalesce(_col(prompt_length), F.lit(0)), F.size(ids))
+    cut = F.coalesce(marker_end(ids, marker), prompt).cast("int")
+    labels = F.concat(F.array_repeat(ignored, cut), F.slice(ids, cut + 1, F.size(ids)))
+    return F.zip_with(labels, _col(attention), lambda label, seen: F.when(seen == 0, ignored).otherwise(label))
 
 
 def drop_prompt(generated: Column | str, prompt: Column | str) -> Column:

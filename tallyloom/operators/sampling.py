@@ -17,6 +17,8 @@ edges is small enough to broadcast.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,38 +64,43 @@ def _edges(
     """Per group: its size ``_n`` and, for each cut, the position of the row at that rank.
 
     A cut maps the group size to a rank. Ranks of zero, and ranks that take in the whole group,
-    need no edge and leave it null.
+    need no edge and leave it null. Groups without a name are left out. The result is staged, and
+    so are the slivers on the way, for the planner to see how small they are.
     """
-    prefix = F.substring("_hash", 1, prefix_digits).alias("_prefix")
-    narrow = hashed.select(*by, *key, "_hash", prefix)
+    named = reduce(and_, [F.col(name).isNotNull() for name in by])
+    narrow = hashed.where(named).select(
+        *by, *key, "_hash", F.substring("_hash", 1, prefix_digits).alias("_prefix")
+    )
     group = Window.partitionBy(*by)
+    so_far = group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
     counts = (
         narrow.groupBy(*by, "_prefix")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_n", F.sum("_rows").over(group))
-        .withColumn(
-            "_upto",
-            F.sum("_rows").over(group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)),
-        )
+        .withColumn("_upto", F.sum("_rows").over(so_far))
     )
     before = F.col("_upto") - F.col("_rows")
+    marks = {name: f"_at_{name}" for name in cuts}
     for name, rank in cuts.items():
         wanted = rank(F.col("_n")).cast("bigint")
         here = (wanted < F.col("_n")) & (wanted > before) & (wanted <= F.col("_upto"))
-        counts = counts.withColumn(f"_at_{name}", F.when(here, wanted - before))
-    marks = [f"_at_{name}" for name in cuts]
-    slivers = counts.where(F.coalesce(*marks).isNotNull()).select(*by, "_prefix", *marks)
-    ranked = narrow.join(slivers, [*by, "_prefix"]).withColumn(
+        counts = counts.withColumn(marks[name], F.when(here, wanted - before))
+    in_sliver = F.coalesce(*[F.col(mark) for mark in marks.values()]).isNotNull()
+    # One row per sliver, and the first prefix of every group for its size.
+    kept = stage(
+        counts.where(in_sliver | (before == 0)).select(*by, "_prefix", "_n", *marks.values()), "slivers"
+    )
+    ranked = narrow.join(kept.where(in_sliver).drop("_n"), [*by, "_prefix"]).withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*by, "_prefix").orderBy("_hash", *key))
     )
-    found = ranked.groupBy(*by).agg(
-        *[
-            F.max(F.when(F.col("_rank") == F.col(f"_at_{name}"), _position(key))).alias(f"_edge_{name}")
-            for name in cuts
-        ]
+    hits = {name: F.col("_rank") == F.col(mark) for name, mark in marks.items()}
+    found = (
+        ranked.where(reduce(or_, [F.coalesce(hit, F.lit(False)) for hit in hits.values()]))
+        .groupBy(*by)
+        .agg(*[F.max(F.when(hit, _position(key))).alias(f"_edge_{name}") for name, hit in hits.items()])
     )
-    sizes = counts.groupBy(*by).agg(F.max("_n").alias("_n"))
-    return sizes.join(found, by, "left")
+    sizes = kept.groupBy(*by).agg(F.max("_n").alias("_n"))
+    return stage(sizes.join(found, by, "left"), "edges")
 
 
 def _within(name: str, rank: Column, key: list[str]) -> Column:
@@ -132,7 +139,7 @@ def balance_classes(
         return F.when(size <= min_rows, size).otherwise(F.least(size, F.lit(max_rows)))
 
     hashed = df.withColumn(target, class_name(target)).withColumn("_hash", sample_hash(key, seed, "balance"))
-    edges = stage(_edges(hashed, [target], key, {"cap": rank}), "balance-edges")
+    edges = _edges(hashed, [target], key, {"cap": rank})
     kept = hashed.join(edges, target).where(_within("cap", rank(F.col("_n")), key))
     return kept.select(*df.columns)
 
@@ -211,7 +218,7 @@ def stratified_split(
         )
         in_first, in_second = F.col("_rank") <= first_cut(size), F.col("_rank") <= second_cut(size)
     else:
-        edges = stage(_edges(hashed, [target], key, {"val": first_cut, "test": second_cut}), "split-edges")
+        edges = _edges(hashed, [target], key, {"val": first_cut, "test": second_cut})
         placed = hashed.join(edges, target)
         in_first, in_second = _within("val", first_cut(size), key), _within("test", second_cut(size), key)
     split = (
@@ -253,8 +260,8 @@ def proportional_subset(
         share = F.bround(size / F.lit(total) * F.lit(n), 0).cast("bigint")
         return F.least(size, F.greatest(F.lit(1), share))
 
-    hashed = df.where(F.col(target).isNotNull()).withColumn("_hash", sample_hash(key, seed, "subset"))
-    edges = stage(_edges(hashed, [target], key, {"share": rank}), "subset-edges")
+    hashed = df.withColumn("_hash", sample_hash(key, seed, "subset"))
+    edges = _edges(hashed, [target], key, {"share": rank})
     kept = hashed.join(edges, target).where(_within("share", rank(F.col("_n")), key)).select(*df.columns)
     chosen = edges.agg(F.sum(rank(F.col("_n")))).first()[0] or 0
     return cap_rows(kept, n, key, seed, "trim") if chosen > n else kept

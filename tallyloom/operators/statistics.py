@@ -22,33 +22,39 @@ def dataset_statistics(
 ) -> DataFrame:
     """One row of counts over a split selection.
 
-    Null is no class and no segment. ``described`` columns are counted where informative. The
-    per-class step combines on the map side; the median is exact, over one row per class.
+    Null is no class and no segment. ``described`` columns are counted where informative. One pass
+    groups by class and by segment at once and combines on the map side; the median is exact, over
+    one row per class.
     """
-    per_class = selected.groupBy(F.col(target).alias("_class")).agg(
+    rows = selected.select(
+        F.col(target).alias("_class"),
+        (F.lit(None).cast("string") if segment is None else F.col(segment)).alias("_segment"),
+        F.col(split).alias("_split"),
+        *[informative(name).alias(f"_with_{name}") for name in described],
+    )
+    grouped = rows.groupingSets([["_class"], ["_segment"]], "_class", "_segment").agg(
+        (F.grouping("_class") == 0).alias("_per_class"),
         F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(split) == name).alias(f"_{name}") for name in SPLITS],
-        *[F.count_if(informative(name)).alias(f"_with_{name}") for name in described],
+        *[F.count_if(F.col("_split") == name).alias(f"_{name}") for name in SPLITS],
+        *[F.count_if(F.col(f"_with_{name}")).alias(f"_rows_with_{name}") for name in described],
     )
-    class_size = F.when(F.col("_class").isNotNull(), F.col("_n"))
-    if segment is None:
-        segments = F.lit(0).cast("bigint")
-    else:
-        segments = selected.agg(F.count_distinct(segment)).scalar()
+    per_class = F.col("_per_class")
+    class_size = F.when(per_class & F.col("_class").isNotNull(), F.col("_n"))
     source = F.lit(source_rows).cast("bigint") if isinstance(source_rows, int) else source_rows
 
     def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0).cast("bigint"))
+        return F.coalesce(F.sum(F.when(per_class, F.col(name))), F.lit(0).cast("bigint"))
 
-    return per_class.agg(
+    return grouped.agg(
         total("_n").alias("selected_total_rows"),
         *[total(f"_{name}").alias(f"selected_{name}_rows") for name in SPLITS],
-        F.count("_class").alias("num_classes"),
+        F.count(class_size).alias("num_classes"),
         F.median(class_size).alias("median_samples_per_class"),
         F.min(class_size).alias("min_samples_per_class"),
         F.max(class_size).alias("max_samples_per_class"),
-        *[total(f"_with_{name}").alias(f"rows_with_{name}") for name in described],
-    ).select(source.alias("total_source_rows"), "*", segments.alias("num_segments"))
+        *[total(f"_rows_with_{name}").alias(f"rows_with_{name}") for name in described],
+        F.count_if(~per_class & F.col("_segment").isNotNull()).alias("num_segments"),
+    ).select(source.alias("total_source_rows"), "*")
 
 
 def class_distribution(selected: DataFrame, target: str, split: str = "split") -> DataFrame:
