@@ -173,6 +173,13 @@ def source_precedence(spark, sf_dir):
     return resolved.select("doc_id", "source_kind", F.md5("payload").alias("digest"), "error")
 
 
+@query("q_d4_read_in_tasks", "SELECT doc_id, md5(text) AS digest FROM documents")
+def read_in_tasks(spark, sf_dir):
+    manifest = document_scan(spark, sf_dir, ("doc_id",))
+    cells = images.read_cells(manifest, f"{sf_dir}/documents.parquet", "text", rows_per_task=100)
+    return cells.select("doc_id", F.md5("text").alias("digest"))
+
+
 @query("q_d4_pointer_lookup", "SELECT doc_id, md5(text) AS digest FROM documents")
 def pointer_lookup(spark, sf_dir):
     manifest = document_scan(spark, sf_dir, ("doc_id",))
@@ -244,7 +251,7 @@ _SIZE = "octet_length(encode(text))"
 
 @query(
     "q_d6_preprocess_images",
-    f"""SELECT doc_id, lang, CASE WHEN {_SIZE} <= 60000 THEN concat(substr(md5(CAST(doc_id AS VARCHAR)), 1, 2), '/',
+    f"""SELECT doc_id, lang, CASE WHEN {_SIZE} <= 60000 THEN concat(substr(md5(CAST(doc_id AS VARCHAR)), 1, 3), '/',
         md5(CAST(doc_id AS VARCHAR)), '.jpg') END AS image_path FROM documents""",
 )
 def preprocess(spark, sf_dir):

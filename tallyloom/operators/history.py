@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordered import CHUNK, running_before
+from tallyloom.sources.workspace import stage
 
 
 def _finite(value: Column | str) -> Column:
@@ -129,10 +130,12 @@ def progress(
     """Elapsed and remaining seconds, percentage, rate and time to go for every log row.
 
     ``start`` names a column with the start of the run; without it a run starts with its first
-    row, found by an aggregate and joined back.
+    row, found by an aggregate and joined back. The starts are staged: the join then broadcasts
+    them when they are small, and otherwise reads two plain shuffles, which adaptive execution can
+    split where one run is hot.
     """
     if start is None:
-        starts = log.groupBy(*by).agg(F.min(ts).alias("_start"))
+        starts = stage(log.groupBy(*by).agg(F.min(ts).alias("_start")), "run-starts")
         timed = log.join(starts, list(by))
     else:
         timed = log.withColumn("_start", F.col(start))

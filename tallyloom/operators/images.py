@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyarrow.fs import FileSystem
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.constants import FILE_COLUMN, ORDINAL_COLUMN
 from tallyloom.functions.payload import payload_of_struct
 from tallyloom.functions.text import _col
+from tallyloom.sources.shards import list_files
+from tallyloom.sources.workspace import write_once
 
 # Up to this many files, the scan is told which ones to open.
 LISTED_FILES = 1000
+# Pointer hashes up to this size are broadcast to the scan.
+POINTER_BYTES = 64 * 1024 * 1024
+# Rows of one file that one group of read_cells covers.
+ROWS_PER_READ = 20_000
 
 
 def plain_path(path: Column | str) -> Column:
@@ -52,36 +63,114 @@ def resolve_paths(
     )
 
 
+def _source_cells(spark: SparkSession, paths: str | Sequence[str], column: str) -> DataFrame:
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*([paths] if isinstance(paths, str) else paths))
+        .select(
+            F.col(column),
+            F.col("_metadata.file_path").alias(FILE_COLUMN),
+            F.col("_metadata.row_index").alias(ORDINAL_COLUMN),
+        )
+    )
+
+
 def fetch_cells(
     spark: SparkSession,
     manifest: DataFrame,
     paths: str | Sequence[str],
     column: str = "image",
     listed_files: int = LISTED_FILES,
+    pointer_bytes: int = POINTER_BYTES,
 ) -> DataFrame:
     """The manifest with the cell its pointer names; null where there is none.
 
     Reads ``column`` alone. When the manifest touches few files, they are named in a filter that
-    keeps the scan from opening the others. Which side is broadcast, if any, is left to the planner
-    and its size limit; the pair of file and ordinal is unique, so no join key is hot.
+    keeps the scan from opening the others. Pointers are then written as 8-byte hashes; when they
+    take no more than ``pointer_bytes`` they are broadcast to drop unwanted cells during the scan,
+    so that only wanted cells can meet a shuffle. The join proper compares file and ordinal,
+    a unique pair without hot keys. For a larger manifest use :func:`read_cells`, which moves
+    pointers instead of cells.
     """
-    source = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(*([paths] if isinstance(paths, str) else paths))
-        .select(
-            F.col(column),
-            F.col("_metadata.file_path").alias(FILE_COLUMN),
-            F.col("_metadata.row_index").alias(ORDINAL_COLUMN),
-        )
-    )
+    source = _source_cells(spark, paths, column)
     if listed_files:
         files = manifest.select(FILE_COLUMN).distinct().limit(listed_files + 1).collect()
         if len(files) <= listed_files:
             source = source.where(F.col(FILE_COLUMN).isin([row[0] for row in files if row[0] is not None]))
+    pointer = F.xxhash64(F.col(FILE_COLUMN), F.col(ORDINAL_COLUMN).cast("bigint")).alias("_pointer")
+    written = write_once(manifest.select(pointer).distinct(), "pointers")
+    size = list_files(spark, written, "*.parquet").agg(F.sum("n_bytes")).first()[0] or 0
+    if size <= pointer_bytes:
+        wanted = spark.read.schema("_pointer bigint").parquet(written)
+        source = source.withColumn("_pointer", pointer).join(F.broadcast(wanted), "_pointer", "left_semi")
+        source = source.drop("_pointer")
     return manifest.join(source, [FILE_COLUMN, ORDINAL_COLUMN], "left")
 
 
+def read_cells(
+    manifest: DataFrame,
+    paths: str | Sequence[str],
+    column: str = "image",
+    rows_per_task: int = ROWS_PER_READ,
+    batch_rows: int = 64,
+) -> DataFrame:
+    """D4 for manifests of any size: pointers are shuffled, cells never are.
+
+    Rows are grouped by file and range of ordinals, so a file that holds most of the rows is read
+    by many tasks. Each opens the file, skips row groups it does not need and streams the others.
+    Needs storage that pyarrow can open. A file or row that is gone gives null.
+    """
+    kind = _source_cells(manifest.sparkSession, paths, column).schema[column]
+    schema = StructType([*manifest.schema.fields, kind])
+    names = manifest.columns
+    grouped = manifest.groupBy(
+        F.col(FILE_COLUMN).alias("_file"), F.floor(F.col(ORDINAL_COLUMN) / rows_per_task).alias("_range")
+    ).agg(F.collect_list(F.struct(*names)).alias("_rows"))
+
+    def opened(file: str) -> ParquetFile | None:
+        try:
+            files, path = FileSystem.from_uri(re.sub("^s3a:", "s3:", file))
+            return ParquetFile(files.open_input_file(path))
+        except FileNotFoundError:
+            return None
+
+    def cells(source: ParquetFile, wanted: set[int]) -> Iterator[tuple[int, object]]:
+        start = 0
+        for group in range(source.num_row_groups):
+            end = start + source.metadata.row_group(group).num_rows
+            if any(at is not None and start <= at < end for at in wanted):
+                at = start
+                for batch in source.iter_batches(batch_rows, row_groups=[group], columns=[column]):
+                    hits = [place for place in range(batch.num_rows) if at + place in wanted]
+                    for place, value in zip(hits, batch.column(0).take(hits).to_pylist() if hits else ()):
+                        yield at + place, value
+                    at += batch.num_rows
+            start = end
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frame(found: list[tuple[dict, object]]) -> pd.DataFrame:
+            rows = pd.DataFrame([row for row, _ in found], columns=names)
+            return rows.assign(**{column: pd.Series([value for _, value in found], dtype=object)})
+
+        for batch in batches:
+            for file, rows in zip(batch["_file"], batch["_rows"]):
+                left: dict[int | None, list[dict]] = {}
+                for row in rows:
+                    left.setdefault(row[ORDINAL_COLUMN], []).append(row)
+                source, ready = None if file is None else opened(file), []
+                for at, value in cells(source, set(left)) if source is not None else ():
+                    ready.extend((row, value) for row in left.pop(at))
+                    if len(ready) >= batch_rows:
+                        yield frame(ready)
+                        ready = []
+                if source is not None:
+                    source.close()
+                yield frame(ready + [(row, None) for rest in left.values() for row in rest])
+
+    return grouped.select("_file", "_rows").mapInPandas(run, schema)
+
+
 def source_kind(
     image_path: Column | str | None = None,
     path_exists: Column | str | None = None,

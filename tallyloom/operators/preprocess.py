@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyarrow.fs import FileSystem
-from pyspark.errors import AnalysisException
+import pandas as pd
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.constants import FINISHED_BYTES
-from tallyloom.operators.images import plain_path
 from tallyloom.operators.scoring import Transcode, arrow_batches, transcode_batches
-from tallyloom.sources.shards import list_files
 from tallyloom.sources.workspace import stage
 
 IMAGE_ROWS = 64
+# Outputs are spread over directories named after the first digits of their names.
+PREFIX_DIGITS = 3
+
+
+def open_folder(folder: str) -> tuple[FileSystem, str]:
+    """File system and path of a folder given as a path or a URI."""
+    uri = folder if ":" in folder else f"file://{folder}"
+    return FileSystem.from_uri(re.sub("^s3a:", "s3:", re.sub("^file:/+", "file:///", uri)))
 
 
 class FolderStore:
@@ -27,8 +33,7 @@ class FolderStore:
         self.root = root
 
     def __call__(self, path: str, data: bytes) -> None:
-        root = self.root if ":" in self.root else f"file://{self.root}"
-        files, base = FileSystem.from_uri(re.sub("^file:/+", "file:///", root))
+        files, base = open_folder(self.root)
         target = f"{base}/{path}"
         files.create_dir(target.rsplit("/", 1)[0], recursive=True)
         # A reader never sees half a file, and a retried task replaces the same one.
@@ -41,19 +46,29 @@ class FolderStore:
 def output_name(key: Sequence[str], suffix: str = ".jpg") -> Column:
     """Path below the output folder, from the row key alone: a new subset keeps old names valid."""
     name = F.md5(F.concat_ws("|", *[F.col(part).cast("string") for part in key]))
-    return F.concat(F.substring(name, 1, 2), F.lit("/"), name, F.lit(suffix))
+    return F.concat(F.substring(name, 1, PREFIX_DIGITS), F.lit("/"), name, F.lit(suffix))
 
 
 def finished_outputs(spark: SparkSession, folder: str, suffix: str = ".jpg", min_bytes: int = FINISHED_BYTES) -> DataFrame:
-    """Outputs of earlier runs with their sizes: ``output_path, n_bytes``."""
-    try:
-        files = list_files(spark, folder, f"*{suffix}")
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "output_path string, n_bytes bigint")
-    below = F.concat_ws("/", F.substring_index(plain_path("path"), "/", -2))
-    return files.where(F.col("n_bytes") > min_bytes).select(below.alias("output_path"), "n_bytes")
+    """Outputs of earlier runs with their sizes: ``output_path, n_bytes``.
+
+    Each task lists some of the name-prefix directories, so the listing never passes through the
+    driver, however many outputs there are.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, base = open_folder(folder)
+        for batch in batches:
+            for prefix in batch["prefix"]:
+                found = files.get_file_info(FileSelector(f"{base}/{prefix}", allow_not_found=True))
+                kept = [(f"{prefix}/{file.base_name}", file.size) for file in found if file.base_name.endswith(suffix)]
+                yield pd.DataFrame(kept, columns=["output_path", "n_bytes"])
+
+    number = 16**PREFIX_DIGITS
+    prefixes = spark.range(0, number, 1, min(number, 64)).select(
+        F.lower(F.lpad(F.hex("id"), PREFIX_DIGITS, "0")).alias("prefix")
+    )
+    return prefixes.mapInPandas(run, "output_path string, n_bytes bigint").where(F.col("n_bytes") > min_bytes)
 
 
 def preprocess_images(

@@ -36,8 +36,8 @@ from tallyloom.functions.text import class_name
 from tallyloom.sources.workspace import stage
 
 PREFIX_DIGITS = 3
-# Above this many rows a top-n sort would move too many rows into its last task.
-SORTED_LIMIT = 1000
+# A top-n sort moves n rows per input task into its last task, so it is kept for a handful of rows.
+SORTED_LIMIT = 20
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:

@@ -55,7 +55,7 @@ def select_rows(source: DataFrame, selection: Selection = Selection(), key: Sequ
         source, selection.target, key, selection.min_class_rows, selection.max_class_rows, selection.seed
     )
     most = sampling.total_cap(selection.max_train_rows, selection.val_fraction, selection.test_fraction)
-    chosen = stage(sampling.cap_rows(stage(balanced, "balanced"), most, key, selection.seed), "chosen")
+    chosen = stage(sampling.cap_rows(stage(balanced, "balanced", compact=True), most, key, selection.seed), "chosen")
     return sampling.stratified_split(
         chosen,
         selection.target,

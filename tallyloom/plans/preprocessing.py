@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.constants import ANSWER_LABELS, INSTRUCTION
 from tallyloom.functions import chat, text
 from tallyloom.functions.payload import payload_of_binary, payload_of_struct
-from tallyloom.operators.images import fetch_cells
+from tallyloom.operators.images import read_cells
 from tallyloom.operators.preprocess import preprocess_images, with_image_path
 from tallyloom.operators.sampling import proportional_subset
 from tallyloom.operators.scoring import Transcode
@@ -41,7 +41,7 @@ def preprocess_manifest(
     rows = stage(train.unionByName(val), "to-preprocess")
 
     def payloads(pending: DataFrame) -> DataFrame:
-        cells = fetch_cells(spark, pending, source_paths, image)
+        cells = read_cells(pending, source_paths, image)
         binary = dict(cells.dtypes)[image] == "binary"
         cell = payload_of_binary(image) if binary else payload_of_struct(image)
         return cells.withColumn("payload", cell["payload"])

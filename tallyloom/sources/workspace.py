@@ -26,13 +26,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def write_once(df: DataFrame, name: str, compact: bool = False) -> str:
+    """Write ``df`` to a new folder and return its path.
+
+    ``compact`` evens out the files first. It is meant for selections that leave few rows per
+    task of a large scan, which would otherwise leave one tiny file per task.
+    """
+    path = new_folder(df.sparkSession, name)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
+    return path
+
+
+def stage(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Later stages neither repeat the work nor depend on executors that may be lost, and the
     planner sees the real size in bytes: a join broadcasts the staged side only when that size is
     under ``spark.sql.autoBroadcastJoinThreshold``, and shuffles both sides otherwise.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_once(df, name, compact))

@@ -113,14 +113,25 @@ def test_pointers_lead_back_to_their_rows(spark, tmp_path):
     scan = scan_metadata(spark, shards, ["label", "missing"])
     assert scan.columns == ["label", "shard_path", "row_idx_in_shard"]
     assert "image" not in scan._jdf.queryExecution().executedPlan().toString()
-    for listed in (0, 1, 1000):
-        cells = images.fetch_cells(spark, scan, shards, "image", listed).collect()
+    ways = [images.fetch_cells(spark, scan, shards, "image", listed) for listed in (0, 1, 1000)]
+    ways += [images.fetch_cells(spark, scan, shards, pointer_bytes=0)]
+    ways += [images.read_cells(scan, shards, rows_per_task=size, batch_rows=3) for size in (1, 4, 100)]
+    for way in ways:
+        assert way.columns[-1] == "image"
+        cells = way.collect()
         assert len(cells) == 40
         for row in cells:
             at = int(row.label.split()[1])
             assert bytes(row.image) == bytes([at]) * (600 if at % 10 else 0)
     gone = scan.limit(3).withColumn("row_idx_in_shard", F.lit(10**9).cast("bigint"))
     assert [row.image for row in images.fetch_cells(spark, gone, shards).collect()] == [None] * 3
+    assert [row.image for row in images.read_cells(gone, shards).collect()] == [None] * 3
+    twice = images.read_cells(scan.unionByName(scan), shards).collect()
+    assert len(twice) == 80 and all(row.image is not None for row in twice)
+    unpointed = scan.limit(2).withColumn("row_idx_in_shard", F.lit(None).cast("bigint"))
+    assert [row.image for row in images.read_cells(unpointed, shards).collect()] == [None] * 2
+    lost = scan.limit(2).withColumn("shard_path", F.lit("file:///nowhere/x.parquet"))
+    assert [row.image for row in images.read_cells(lost, shards).collect()] == [None] * 2
 
 
 def test_columns_that_only_some_files_have(spark, tmp_path):

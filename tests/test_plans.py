@@ -14,7 +14,7 @@ from tallyloom.sources.workspace import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 # The queries whose feature is to run Python.
-PYTHON = {"q_d2_header_check", "q_d6_preprocess_images", "q_e15_job_tallies", "q_u1_batch_scoring", "q_u2_transcode"}
+PYTHON = {"q_d2_header_check", "q_d4_read_in_tasks", "q_d6_preprocess_images", "q_e15_job_tallies", "q_u1_batch_scoring", "q_u2_transcode"}
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
@@ -32,7 +32,7 @@ def schema_read(plan):
 
 def test_scan_reads_wanted_columns_only(spark):
     plan = plan_of(scan_metadata(spark, f"{SF_DIR}/documents.parquet", ["doc_id", "lang"]))
-    assert schema_read(plan) == ["doc_id:bigint,lang:string"]
+    assert schema_read(plan) == ["doc_id:bigint,lang:string,_tmp_metadata_row_index:bigint"]
     assert schema_read(plan_of(table_profile(spark.read.parquet(f"{SF_DIR}/documents.parquet")))) == [""]
 
 
