@@ -176,7 +176,7 @@ def source_precedence(spark, sf_dir):
 @query("q_d4_read_in_tasks", "SELECT doc_id, md5(text) AS digest FROM documents")
 def read_in_tasks(spark, sf_dir):
     manifest = document_scan(spark, sf_dir, ("doc_id",))
-    cells = images.read_cells(manifest, f"{sf_dir}/documents.parquet", "text", rows_per_task=100)
+    cells = images.read_cells(manifest, f"{sf_dir}/documents.parquet", "text")
     return cells.select("doc_id", F.md5("text").alias("digest"))
 
 

@@ -59,16 +59,24 @@ def payload_of_string(cell: Column | str, exists: Column | str | None = None) ->
     """
     cell = _col(cell)
     exists = F.lit(False) if exists is None else F.coalesce(_col(exists), F.lit(False))
-    # Line breaks and other characters outside the alphabet are skipped, as lenient decoders do.
-    encoded = F.regexp_replace(cell, f"^{BASE64_PREFIX}/.+;base64,|[^A-Za-z0-9+/=]", "")
-    decoded = F.nullif(F.try_to_binary(encoded, F.lit("base64")), F.lit(bytearray()))
     looks_encoded = cell.startswith(BASE64_PREFIX) | (F.length(cell) > BASE64_LENGTH)
-    return (
-        F.when(cell.isNull(), _refused("image is null"))
-        .when(exists, _payload("path", path=cell))
-        .when(looks_encoded & decoded.isNotNull(), _payload("base64", payload=decoded))
-        .otherwise(_refused(F.concat(F.lit("no such image path: "), cell)))
-    )
+    body = F.when(
+        cell.startswith(BASE64_PREFIX), F.regexp_replace(cell, f"^{BASE64_PREFIX}/.+;base64,", "")
+    ).otherwise(cell)
+    # Line breaks and other characters outside the alphabet are skipped, as lenient decoders do.
+    letters = F.regexp_replace(body, "[^A-Za-z0-9+/=]+", "")
+    decoded = F.when(looks_encoded & ~exists, F.try_to_binary(letters, F.lit("base64")))
+
+    def resolved(data: Column) -> Column:
+        return (
+            F.when(cell.isNull(), _refused("image is null"))
+            .when(exists, _payload("path", path=cell))
+            .when(F.octet_length(data) > 0, _payload("base64", payload=data))
+            .otherwise(_refused(F.concat(F.lit("no such image path: "), cell)))
+        )
+
+    # The one-element array binds the decoded bytes, so that long texts are decoded once.
+    return F.get(F.transform(F.array(decoded), resolved), F.lit(0))
 
 
 def _number(data: Column, at: int, width: int, little_endian: bool = False) -> Column:

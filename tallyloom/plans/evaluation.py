@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import fill_from, is_correct, parse_answer, scoring_truth
 from tallyloom.operators import metrics
 from tallyloom.operators.records import evaluation_records, failures
-from tallyloom.operators.sampling import first_rows_in_order
+from tallyloom.operators.sampling import first_rows_in_order, sample_rows
 from tallyloom.operators.scoring import Predictor, score_batches
 from tallyloom.sources import reports
 from tallyloom.sources.workspace import stage
@@ -60,6 +61,44 @@ def predict_and_evaluate(
     return evaluate(stage(score_batches(prompts, load, batch_rows=batch_rows), "answers"), key, folder, **columns)
 
 
+def sample_predictions(
+    rows: DataFrame,
+    load: Callable[[], Predictor],
+    key: str | Sequence[str],
+    folder: str,
+    n: int = 16,
+    target: str = "canonical_disease",
+    raw_target: str = "disease",
+) -> DataFrame:
+    """Answers to a few rows for reading, gaps filled from the metadata.
+
+    Here an empty prediction counts as correct when the truth is empty too. Written as JSON.
+    """
+    scored = stage(score_batches(sample_rows(rows, n, key), load), "sample-answers")
+
+    def known(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in rows.columns else F.lit("")
+
+    parsed = scored.withColumn("_parsed", parse_answer("raw_output")).withColumn(
+        "_truth", scoring_truth(target, raw_target if raw_target in rows.columns else None)
+    )
+    shown = parsed.select(
+        known("filename").alias("filename"),
+        known("crop").alias("crop"),
+        F.col("_truth").alias("ground_truth_disease"),
+        F.col("_parsed.diagnosis").alias("predicted_disease"),
+        is_correct("_truth", "_parsed.diagnosis", require_nonempty=False).alias("is_correct"),
+        F.col("_parsed.disease_type").alias("disease_type"),
+        *[
+            fill_from(f"_parsed.{name}", known(name)).alias(name)
+            for name in ("plant_organ", "visual_symptoms", "pathogen")
+        ],
+        F.col("_parsed.raw_text").alias("raw_output"),
+    )
+    reports.write_json(shown, f"{folder.rstrip('/')}/demo_predictions")
+    return shown
+
+
 def compare_splits(bundles: dict[str, DataFrame], folder: str) -> DataFrame:
     """Scores side by side, one column per split; writes them rounded, N/A where missing."""
     named = [bundle.withColumn("split", F.lit(name)) for name, bundle in bundles.items()]

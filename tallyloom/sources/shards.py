@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.constants import FILE_COLUMN, METADATA_COLUMNS, ORDINAL_COLUMN
 
 
-def _reader(spark: SparkSession, schema: StructType | str | None):
+def parquet_reader(spark: SparkSession, schema: StructType | str | None = None) -> DataFrameReader:
+    """A reader of all Parquet files below a path, with the union of their columns."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     # Merging reads every footer (in a Spark job). Give the schema to skip that.
     return reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
@@ -28,7 +29,7 @@ def scan_metadata(
     A column that only some files have is null for the others. Columns that are not wanted, such
     as the image, never leave storage.
     """
-    table = _reader(spark, schema).parquet(*([paths] if isinstance(paths, str) else paths))
+    table = parquet_reader(spark, schema).parquet(*([paths] if isinstance(paths, str) else paths))
     present = [name for name in columns if name in table.columns]
     return table.select(
         *present,

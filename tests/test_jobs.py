@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tallyloom.plans import curation, evaluation, preprocessing
+from tallyloom.plans import curation, evaluation, inspection, preprocessing
 from tallyloom.sources import manifests, quarantine, reports, workspace
 from tallyloom.streaming import quarantine_batches, stream_metadata
 
@@ -113,6 +113,20 @@ def test_evaluation(spark, built):
     assert few.first().total_samples == 4
 
 
+def test_inspection_and_sample(spark, built):
+    root, source, manifest = built
+    profile, preview = inspection.inspect_source(spark, source, f"{root}/look", 3)
+    assert {row.total_rows for row in profile.collect()} == {900} and profile.count() == 6
+    rows = preview.orderBy("row_idx_in_shard").collect()
+    assert [row.row_idx_in_shard for row in rows] == [0, 1, 2]
+    assert rows[0].image == "<struct<bytes:binary,path:string>>" and "Diagnosis: " in rows[0].answer
+    assert spark.read.json(f"{root}/look/sample_preview").count() == 3
+    shown = evaluation.sample_predictions(manifest, load_guess, ["shard_path", "row_idx_in_shard"], f"{root}/demo", 9)
+    for row in shown.collect():
+        assert row.is_correct == (row.ground_truth_disease != "Rust") and row.plant_organ in ("leaf", "n/a")
+    assert spark.read.json(f"{root}/demo/demo_predictions").count() == 9
+
+
 def test_report_files(spark, tmp_path):
     report = spark.createDataFrame([("b", 0.12345), ("a", None)], "name string, score double")
     reports.write_json(reports.rounded(report), f"{tmp_path}/j")
