@@ -61,6 +61,13 @@ def balance(spark, sf_dir):
     return balanced(spark, sf_dir)
 
 
+@query("q_b2_balance_by_edges", f"WITH {_BALANCED} SELECT * FROM balanced")
+def balance_by_edges(spark, sf_dir):
+    """The path for tables too large to rank in a window."""
+    rows = document_rows(spark, sf_dir)
+    return sampling.balance_classes(rows, "target", "doc_id", MIN_ROWS, MAX_ROWS, window_rows=0)
+
+
 @query(
     "q_b2_balance_high_minimum",
     f"""WITH ranked AS (SELECT o_orderkey, o_custkey, {sql_rank('o_orderkey', 'balance', 'o_custkey')} AS rn,
@@ -81,6 +88,15 @@ def global_cap(spark, sf_dir):
     return sampling.cap_rows(table(spark, sf_dir, "events").select("event_id", "event_type"), 2500, "event_id")
 
 
+@query(
+    "q_b3_global_cap_by_edge",
+    f"SELECT event_id, event_type FROM (SELECT *, {sql_rank('event_id', 'cap')} AS rn FROM events) WHERE rn <= 2500",
+)
+def global_cap_by_edge(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return sampling.cap_rows(events, 2500, "event_id", window_rows=0)
+
+
 @query(
     "q_b4_split_ladder",
     f"SELECT s_suppkey, s_nationkey, split FROM {_ladder_sql('supplier', 's_suppkey', 's_nationkey', 0.05, 0.05)}",
@@ -109,6 +125,15 @@ def stratified_split(spark, sf_dir):
     return sampling.stratified_split(part, "p_name", "p_partkey", 0.05, 0.1)
 
 
+@query(
+    "q_b4_split_by_edges",
+    f"SELECT p_partkey, p_name, split FROM {_ladder_sql('part', 'p_partkey', 'p_name', 0.05, 0.1)}",
+)
+def split_by_edges(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return sampling.stratified_split(part, "p_name", "p_partkey", 0.05, 0.1, window_rows=0)
+
+
 @query("q_b4_balance_then_split", f"{_SELECTED} SELECT doc_id, target, segment, organ, split FROM selected")
 def balance_then_split(spark, sf_dir):
     return selected(spark, sf_dir)
@@ -147,6 +172,12 @@ def subset_with_trim(spark, sf_dir):
     return sampling.proportional_subset(part, 100, "p_partkey", "p_name")
 
 
+@query("q_b6_subset_by_edges", _subset_sql("part", "p_partkey", "p_name", 100))
+def subset_by_edges(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_name", "p_partkey")
+    return sampling.proportional_subset(part, 100, "p_partkey", "p_name", window_rows=0)
+
+
 @query("q_b7_subset_first_column", _subset_sql("events", "event_id", "event_type", 1000))
 def subset_first_column(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "event_id")

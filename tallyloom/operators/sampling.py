@@ -4,12 +4,13 @@ Rows are ranked by an md5 over seed, purpose and row key, so a draw is uniform,
 independent of partitioning. Each operator hashes with its own purpose: ranking the survivors of
 one draw by the same hash again would favour the classes that were thinned most.
 
-No operator sorts a class in one task. A first pass counts rows per class and hash prefix, which
-partial aggregation reduces on the map side and which spreads a hot class over thousands of keys.
-The running sum of those counts tells in which prefix a rank falls, and only that sliver of the
-class (one in 4096 with the default prefix) is sorted to find the exact row, the *edge*. The wide
-rows are then filtered against one edge per class, without a shuffle as long as the table of
-edges is small enough to broadcast.
+Tables of up to ``WINDOW_ROWS`` rows (counted first, from the footers where possible) are ranked
+in a plain window. Beyond that no class is sorted in one task. A first pass counts rows per class
+and hash prefix, which partial aggregation reduces on the map side and which spreads a hot class
+over thousands of keys. The running sum of those counts tells in which prefix a rank falls, and
+only that sliver of the class (one in 4096 with the default prefix) is sorted to find the exact
+row, the *edge*. The wide rows are then filtered against one edge per class, without a shuffle as
+long as the table of edges is small enough to broadcast.
 
 ``key`` must identify a row: a real id, or source file and row ordinal.
 """
@@ -38,6 +39,8 @@ from tallyloom.sources.workspace import stage
 PREFIX_DIGITS = 3
 # A top-n sort moves n rows per input task into its last task, so it is kept for a handful of rows.
 SORTED_LIMIT = 20
+# One task can sort this many rows without trouble, even if they are all of one class.
+WINDOW_ROWS = 1_000_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -103,24 +106,50 @@ def _edges(
     return stage(sizes.join(found, by, "left"), "edges")
 
 
-def _within(name: str, rank: Column, key: list[str]) -> Column:
-    """Whether a row ranks at or before the cut; false where the cut is zero."""
-    return F.when(rank >= F.col("_n"), F.lit(True)).otherwise(
-        F.coalesce(_position(key) <= F.col(f"_edge_{name}"), F.lit(False))
-    )
+def _ranks(by: Sequence[str], key: list[str]) -> Column:
+    return F.row_number().over(Window.partitionBy(*by).orderBy("_hash", *key))
 
 
-def _first_by_hash(hashed: DataFrame, n: int, key: list[str]) -> DataFrame:
+def _placed(
+    df: DataFrame,
+    target: str,
+    key: list[str],
+    seed: int | str,
+    purpose: str,
+    cuts: Mapping[str, Callable[[Column], Column]],
+    class_bound: int,
+    window_rows: int,
+) -> DataFrame:
+    """Rows with a class, plus its size ``_n`` and, per cut, ``_in_<cut>``: ranks at or before it."""
+    hashed = df.where(F.col(target).isNotNull()).withColumn("_hash", sample_hash(key, seed, purpose))
+    size = F.col("_n")
+    if class_bound <= window_rows:
+        counted = hashed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(target)))
+        placed = counted.withColumn("_rank", _ranks([target], key))
+        inside = {name: F.col("_rank") <= rank(size) for name, rank in cuts.items()}
+    else:
+        placed = hashed.join(_edges(hashed, [target], key, cuts), target)
+        inside = {
+            name: F.when(rank(size) >= size, F.lit(True)).otherwise(
+                F.coalesce(_position(key) <= F.col(f"_edge_{name}"), F.lit(False))
+            )
+            for name, rank in cuts.items()
+        }
+    return placed.select(*df.columns, "_n", *[met.alias(f"_in_{name}") for name, met in inside.items()])
+
+
+def _first_by_hash(hashed: DataFrame, n: int, key: list[str], window_rows: int) -> DataFrame:
     """The ``n`` rows with the smallest ``_hash``; exact for any ``n``."""
     if n <= 0:
         return hashed.limit(0)
-    if n <= SORTED_LIMIT:
+    total = None if n <= SORTED_LIMIT else hashed.count()
+    if total is not None and total <= n:
+        return hashed
+    if total is None or total <= window_rows:
         return hashed.orderBy("_hash", *key).limit(n)
     one = hashed.withColumn("_all", F.lit(0))
-    edge = _edges(one, ["_all"], key, {"cap": lambda size: F.lit(n)}).select("_n", "_edge_cap").first()
-    if edge is None or edge["_n"] <= n:
-        return hashed
-    last = F.struct(*[F.lit(value).alias(name) for name, value in edge["_edge_cap"].asDict().items()])
+    edge = _edges(one, ["_all"], key, {"cap": lambda size: F.lit(n)}).select("_edge_cap").first()["_edge_cap"]
+    last = F.struct(*[F.lit(value).alias(name) for name, value in edge.asDict().items()])
     return hashed.where(_position(key) <= last)
 
 
@@ -131,24 +160,36 @@ def balance_classes(
     min_rows: int = MIN_CLASS_ROWS,
     max_rows: int = MAX_CLASS_ROWS,
     seed: int | str = SEED,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """B1 + B2: clean class names; keep classes of up to ``min_rows`` whole, cap the others."""
     key = _keys(key)
+    named = df.withColumn(target, class_name(target))
+    bound = df.count()
+    if bound <= window_rows and min_rows <= max_rows:
+        # The literal limit lets the window drop surplus rows ahead of the shuffle.
+        hashed = named.withColumn("_hash", sample_hash(key, seed, "balance"))
+        return hashed.withColumn("_rank", _ranks([target], key)).where(F.col("_rank") <= max_rows).select(*df.columns)
 
     def rank(size: Column) -> Column:
         return F.when(size <= min_rows, size).otherwise(F.least(size, F.lit(max_rows)))
 
-    hashed = df.withColumn(target, class_name(target)).withColumn("_hash", sample_hash(key, seed, "balance"))
-    edges = _edges(hashed, [target], key, {"cap": rank})
-    kept = hashed.join(edges, target).where(_within("cap", rank(F.col("_n")), key))
-    return kept.select(*df.columns)
+    placed = _placed(named, target, key, seed, "balance", {"cap": rank}, bound, window_rows)
+    return placed.where(F.col("_in_cap")).select(*df.columns)
 
 
-def cap_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int | str = SEED, purpose: str = "cap") -> DataFrame:
+def cap_rows(
+    df: DataFrame,
+    n: int,
+    key: str | Sequence[str],
+    seed: int | str = SEED,
+    purpose: str = "cap",
+    window_rows: int = WINDOW_ROWS,
+) -> DataFrame:
     """``n`` rows chosen uniformly, whatever their class; all of them when there are no more."""
     key = _keys(key)
     hashed = df.withColumn("_hash", sample_hash(key, seed, purpose))
-    return _first_by_hash(hashed, n, key).select(*df.columns)
+    return _first_by_hash(hashed, n, key, window_rows).select(*df.columns)
 
 
 def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int | str = SEED) -> DataFrame:
@@ -191,6 +232,7 @@ def stratified_split(
     test_fraction: float = TEST_FRACTION,
     seed: int | str = SEED,
     class_bound: int | None = None,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``split``. Rows without a class are left out.
 
@@ -198,10 +240,8 @@ def stratified_split(
     the first go to val, the next to test and the rest to train.
 
     ``class_bound`` states a proven upper bound on the rows of a class (after
-    :func:`balance_classes`, its cap). With one, classes are small enough to rank in a window.
+    :func:`balance_classes`, its cap); without it, the rows are counted.
     """
-    key = _keys(key)
-    hashed = df.where(F.col(target).isNotNull()).withColumn("_hash", sample_hash(key, seed, "split"))
 
     def first_cut(size: Column) -> Column:
         return F.when(size == 2, F.lit(1)).otherwise(_ladder(size, val_fraction, test_fraction)[0])
@@ -210,17 +250,10 @@ def stratified_split(
         val, test = _ladder(size, val_fraction, test_fraction)
         return F.when(size == 2, F.lit(1)).otherwise(val + test)
 
-    size = F.col("_n")
-    if class_bound is not None and class_bound <= 1_000_000:
-        classes = Window.partitionBy(target)
-        placed = hashed.withColumn("_n", F.count(F.lit(1)).over(classes)).withColumn(
-            "_rank", F.row_number().over(classes.orderBy("_hash", *key))
-        )
-        in_first, in_second = F.col("_rank") <= first_cut(size), F.col("_rank") <= second_cut(size)
-    else:
-        edges = _edges(hashed, [target], key, {"val": first_cut, "test": second_cut})
-        placed = hashed.join(edges, target)
-        in_first, in_second = _within("val", first_cut(size), key), _within("test", second_cut(size), key)
+    bound = df.count() if class_bound is None else class_bound
+    cuts = {"first": first_cut, "second": second_cut}
+    placed = _placed(df, target, _keys(key), seed, "split", cuts, bound, window_rows)
+    size, in_first, in_second = F.col("_n"), F.col("_in_first"), F.col("_in_second")
     split = (
         F.when(size == 1, "train")
         .when(size == 2, F.when(in_first, "train").otherwise("val"))
@@ -242,6 +275,7 @@ def proportional_subset(
     key: str | Sequence[str],
     target: str | None = None,
     seed: int | str = SEED,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """About ``n`` rows with the class shares of the whole, at least one row per class.
 
@@ -260,15 +294,17 @@ def proportional_subset(
         share = F.bround(size / F.lit(total) * F.lit(n), 0).cast("bigint")
         return F.least(size, F.greatest(F.lit(1), share))
 
-    hashed = df.withColumn("_hash", sample_hash(key, seed, "subset"))
-    edges = _edges(hashed, [target], key, {"share": rank})
-    kept = hashed.join(edges, target).where(_within("share", rank(F.col("_n")), key)).select(*df.columns)
-    chosen = edges.agg(F.sum(rank(F.col("_n")))).first()[0] or 0
-    return cap_rows(kept, n, key, seed, "trim") if chosen > n else kept
+    placed = _placed(df, target, key, seed, "subset", {"share": rank}, total, window_rows)
+    kept = placed.where(F.col("_in_share")).select(*df.columns)
+    return cap_rows(kept, n, key, seed, "trim", window_rows)
 
 
 def first_rows_in_order(
-    df: DataFrame, n: int | None, key: str | Sequence[str], shuffle_key: str | None = None
+    df: DataFrame,
+    n: int | None,
+    key: str | Sequence[str],
+    shuffle_key: str | None = None,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """The first ``n`` rows by ``shuffle_key`` (then ``key``), or by ``key``; 0 or None is all.
 
@@ -280,4 +316,4 @@ def first_rows_in_order(
     key = _keys(key)
     if shuffle_key is None:
         return df.orderBy(*key).limit(n)
-    return _first_by_hash(df.withColumn("_hash", F.col(shuffle_key)), n, key).select(*df.columns)
+    return _first_by_hash(df.withColumn("_hash", F.col(shuffle_key)), n, key, window_rows).select(*df.columns)

@@ -26,8 +26,13 @@ def table(spark, sizes):
 HOT = {"hot": 3000, **{f"c{size}": size for size in range(1, 60)}, None: 40, " hot ": 7, "": 5}
 
 
+# All ranks from windows, all from edges, and the default, which counts first.
+PATHS = [0, sampling.WINDOW_ROWS]
+
+
+@pytest.mark.parametrize("window_rows", PATHS)
 @pytest.mark.parametrize("low,high", [(20, 50), (0, 1), (30, 10), (0, 100000)])
-def test_balance(spark, low, high):
+def test_balance(spark, low, high, window_rows):
     df, rows = table(spark, HOT)
     classes = defaultdict(list)
     for row in rows:
@@ -36,7 +41,7 @@ def test_balance(spark, low, high):
     for name, members in classes.items():
         n = len(members) if len(members) <= low else min(len(members), high)
         expected |= {(key, name) for key, in ranked(members, "balance")[:n]}
-    found = sampling.balance_classes(df, "class", "id", low, high).collect()
+    found = sampling.balance_classes(df, "class", "id", low, high, window_rows=window_rows).collect()
     assert len(found) == len(expected)
     assert {tuple(row) for row in found} == expected
 
@@ -44,20 +49,21 @@ def test_balance(spark, low, high):
 def test_balance_does_not_depend_on_partitioning(spark):
     df, _ = table(spark, HOT)
     one = sampling.balance_classes(df.coalesce(1), "class", "id", 5, 25).collect()
-    many = sampling.balance_classes(df.repartition(31, "id"), "class", "id", 5, 25).collect()
+    many = sampling.balance_classes(df.repartition(31, "id"), "class", "id", 5, 25, window_rows=0).collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, many))
 
 
-@pytest.mark.parametrize("n", [0, 1, 999, 1001, 2500, 4999, 5000, 6000])
-def test_cap_is_exact(spark, n):
+@pytest.mark.parametrize("window_rows", PATHS)
+@pytest.mark.parametrize("n", [0, 1, 20, 21, 2500, 4999, 5000, 6000])
+def test_cap_is_exact(spark, n, window_rows):
     df = spark.range(5000)
-    found = sorted(row[0] for row in sampling.cap_rows(df, n, "id").collect())
+    found = sorted(row[0] for row in sampling.cap_rows(df, n, "id", window_rows=window_rows).collect())
     assert found == sorted(key for key, in ranked([(key,) for key in range(5000)], "cap")[:n])
 
 
 def test_cap_over_two_key_columns(spark):
     df = spark.range(3000).select(F.concat(F.lit("f"), F.col("id") % 3).alias("file"), (F.col("id") / 3).cast("int").alias("row"))
-    found = sampling.cap_rows(df, 1500, ["file", "row"]).collect()
+    found = sampling.cap_rows(df, 1500, ["file", "row"], window_rows=0).collect()
     expected = sorted(((f"f{at % 3}", at // 3) for at in range(3000)), key=lambda row: (digest(f"{row[0]}|{row[1]}", "cap"), row))
     assert {tuple(row) for row in found} == set(expected[:1500])
 
@@ -77,9 +83,9 @@ def split_of(members, val, test):
     return ["val"] * n_val + ["test"] * n_test + ["train"] * (n - n_val - n_test)
 
 
-@pytest.mark.parametrize("bound", [None, 3000])
+@pytest.mark.parametrize("window_rows", PATHS)
 @pytest.mark.parametrize("val,test", [(0.05, 0.05), (0.5, 0.5), (0.1, 0.25), (0.0, 0.9)])
-def test_split_ladder(spark, val, test, bound):
+def test_split_ladder(spark, val, test, window_rows):
     df, rows = table(spark, {name: size for name, size in HOT.items() if name != " hot "})
     classes = defaultdict(list)
     for key, name in rows:
@@ -89,7 +95,7 @@ def test_split_ladder(spark, val, test, bound):
     for members in classes.values():
         order = ranked(members, "split")
         expected |= {key: split for (key,), split in zip(order, split_of(order, val, test))}
-    found = sampling.stratified_split(df, "class", "id", val, test, class_bound=bound).collect()
+    found = sampling.stratified_split(df, "class", "id", val, test, window_rows=window_rows).collect()
     assert len(found) == len(expected)
     assert {row["id"]: row["split"] for row in found} == expected
 
@@ -108,10 +114,11 @@ def subset_of(rows, n):
     return set(ranked(kept, "trim")[:n])
 
 
+@pytest.mark.parametrize("window_rows", PATHS)
 @pytest.mark.parametrize("n", [10, 200, 1500, 4000, 10**6])
-def test_proportional_subset(spark, n):
+def test_proportional_subset(spark, n, window_rows):
     df, rows = table(spark, HOT)
-    found = sampling.proportional_subset(df, n, "id", "class").collect()
+    found = sampling.proportional_subset(df, n, "id", "class", window_rows=window_rows).collect()
     assert {tuple(row) for row in found} == subset_of(rows, n)
     assert len(found) <= max(n, 0)
 
@@ -137,8 +144,9 @@ def test_first_rows_in_order(spark):
     df = sampling.with_shuffle_key(spark.range(4000), "id")
     wanted = ranked([(key,) for key in range(4000)], "shuffle")
     for n in (7, 1800):
-        found = sampling.first_rows_in_order(df, n, "id", "shuffle_key").collect()
-        assert {row["id"] for row in found} == {key for key, in wanted[:n]}
+        for window_rows in PATHS:
+            found = sampling.first_rows_in_order(df, n, "id", "shuffle_key", window_rows).collect()
+            assert {row["id"] for row in found} == {key for key, in wanted[:n]}
     assert [row["id"] for row in sampling.first_rows_in_order(df, 3, "id").collect()] == [0, 1, 2]
     assert sampling.first_rows_in_order(df, 0, "id").count() == 4000
 
