@@ -5,12 +5,13 @@ independent of partitioning. Each operator hashes with its own purpose: ranking
 one draw by the same hash again would favour the classes that were thinned most.
 
 Tables of up to ``WINDOW_ROWS`` rows (counted first, from the footers where possible) are ranked
-in a plain window. Beyond that no class is sorted in one task. A first pass counts rows per class
-and hash prefix, which partial aggregation reduces on the map side and which spreads a hot class
-over thousands of keys. The running sum of those counts tells in which prefix a rank falls, and
-only that sliver of the class (one in 4096 with the default prefix) is sorted to find the exact
-row, the *edge*. The wide rows are then filtered against one edge per class, without a shuffle as
-long as the table of edges is small enough to broadcast.
+in a plain window. Beyond that no large class is sorted in one task. Class sizes come first, from
+an aggregation that combines on the map side. A large class is then cut into buckets of its hash
+range, about as many as it has bucket loads of rows. The running sum of the bucket counts tells
+in which bucket a wanted rank falls, and only the rows of that sliver are sorted to find the exact
+row, the *edge*. Small classes are ranked whole, and only where their cut is open. The wide rows are
+then filtered against one edge per class, without a shuffle as long as the table of edges is small
+enough to broadcast.
 
 ``key`` must identify a row: a real id, or source file and row ordinal.
 """
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ from tallyloom.constants import (
 from tallyloom.functions.text import class_name
 from tallyloom.sources.workspace import stage
 
-PREFIX_DIGITS = 3
+# Rows of a class that are ranked together, and the most buckets that classes are cut into.
+BUCKET_ROWS = 1000
+MOST_BUCKETS = 100_000
 # A top-n sort moves n rows per input task into its last task, so it is kept for a handful of rows.
 SORTED_LIMIT = 20
 # One task can sort this many rows without trouble, even if they are all of one class.
@@ -57,53 +60,75 @@ def _position(key: list[str]) -> Column:
     return F.struct(F.col("_hash"), *[F.col(name) for name in key])
 
 
-def _edges(
-    hashed: DataFrame,
-    by: list[str],
-    key: list[str],
-    cuts: Mapping[str, Callable[[Column], Column]],
-    prefix_digits: int = PREFIX_DIGITS,
-) -> DataFrame:
-    """Per group: its size ``_n`` and, for each cut, the position of the row at that rank.
+def _edges(hashed: DataFrame, by: str, key: list[str], cuts: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """Per class: its size ``_n`` and, for each cut, the position of the row at that rank.
 
-    A cut maps the group size to a rank. Ranks of zero, and ranks that take in the whole group,
-    need no edge and leave it null. Groups without a name are left out. The result is staged, and
-    so are the slivers on the way, for the planner to see how small they are.
+    A cut maps the class size to a rank. Ranks of zero, and ranks that take in the whole class,
+    need no edge and leave it null. Rows without a class are left out. The result is staged.
     """
-    named = reduce(and_, [F.col(name).isNotNull() for name in by])
-    narrow = hashed.where(named).select(
-        *by, *key, "_hash", F.substring("_hash", 1, prefix_digits).alias("_prefix")
+    narrow = hashed.where(F.col(by).isNotNull()).select(by, *key, "_hash")
+    sizes = stage(narrow.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "class-sizes")
+    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    # Fewer than MOST_BUCKETS classes can exceed this size, which bounds every broadcast below.
+    per_bucket = max(BUCKET_ROWS, -(-(total or 0) // MOST_BUCKETS))
+    is_large = F.col("_n") > per_bucket
+
+    size, marks = F.col("_n"), {name: f"_at_{name}" for name in cuts}
+    wanted = {name: rank(size).cast("bigint") for name, rank in cuts.items()}
+    sized = sizes.withColumns(
+        {marks[name]: F.when((at > 0) & (at < size), at) for name, at in wanted.items()}
     )
-    group = Window.partitionBy(*by)
-    so_far = group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    is_open = F.coalesce(*[F.col(mark) for mark in marks.values()]).isNotNull()
+
+    def hits(ranked: DataFrame) -> DataFrame:
+        """The rows at a marked rank, as one column per cut."""
+        at = {name: F.coalesce(F.col("_rank") == F.col(mark), F.lit(False)) for name, mark in marks.items()}
+        return ranked.where(reduce(or_, at.values())).select(
+            by, *[F.when(hit, _position(key)).alias(f"_edge_{name}") for name, hit in at.items()]
+        )
+
+    def small_hits(rows: DataFrame) -> DataFrame:
+        few = rows.join(sized.where(is_open & ~is_large), by)
+        return hits(few.withColumn("_rank", _ranks([by], key)))
+
+    if (largest or 0) <= per_bucket:
+        found = small_hits(narrow)
+    else:
+        large = sized.where(is_large)
+        slivers = _slivers(narrow, by, large.where(is_open), marks, per_bucket)
+        in_sliver = narrow.join(
+            F.broadcast(slivers.withColumnRenamed(by, "_class")),
+            (F.col(by) == F.col("_class")) & (_bucket() == F.col("_bucket")),
+        )
+        rest = narrow.join(F.broadcast(large.select(by)), by, "left_anti")
+        found = hits(in_sliver.withColumn("_rank", _ranks([by, "_bucket"], key))).unionByName(small_hits(rest))
+    edges = found.groupBy(by).agg(*[F.max(f"_edge_{name}").alias(f"_edge_{name}") for name in cuts])
+    return stage(sizes.join(edges, by, "left"), "edges")
+
+
+def _bucket() -> Column:
+    """Which of the ``_buckets`` equal parts of the hash range a row falls into."""
+    front = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
+    return F.shiftright(front * F.col("_buckets"), 32)
+
+
+def _slivers(narrow: DataFrame, by: str, large: DataFrame, marks: Mapping[str, str], per_bucket: int) -> DataFrame:
+    """The buckets of large classes in which a cut falls, with its rank inside the bucket."""
+    parts = large.withColumn("_buckets", F.ceil(F.col("_n") / per_bucket).cast("bigint"))
     counts = (
-        narrow.groupBy(*by, "_prefix")
+        narrow.join(F.broadcast(parts.select(by, "_buckets")), by)
+        .groupBy(by, _bucket().alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_n", F.sum("_rows").over(group))
-        .withColumn("_upto", F.sum("_rows").over(so_far))
     )
+    so_far = Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    spans = counts.withColumn("_upto", F.sum("_rows").over(so_far)).join(F.broadcast(parts), by)
     before = F.col("_upto") - F.col("_rows")
-    marks = {name: f"_at_{name}" for name in cuts}
-    for name, rank in cuts.items():
-        wanted = rank(F.col("_n")).cast("bigint")
-        here = (wanted < F.col("_n")) & (wanted > before) & (wanted <= F.col("_upto"))
-        counts = counts.withColumn(marks[name], F.when(here, wanted - before))
-    in_sliver = F.coalesce(*[F.col(mark) for mark in marks.values()]).isNotNull()
-    # One row per sliver, and the first prefix of every group for its size.
-    kept = stage(
-        counts.where(in_sliver | (before == 0)).select(*by, "_prefix", "_n", *marks.values()), "slivers"
-    )
-    ranked = narrow.join(kept.where(in_sliver).drop("_n"), [*by, "_prefix"]).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*by, "_prefix").orderBy("_hash", *key))
-    )
-    hits = {name: F.col("_rank") == F.col(mark) for name, mark in marks.items()}
-    found = (
-        ranked.where(reduce(or_, [F.coalesce(hit, F.lit(False)) for hit in hits.values()]))
-        .groupBy(*by)
-        .agg(*[F.max(F.when(hit, _position(key))).alias(f"_edge_{name}") for name, hit in hits.items()])
-    )
-    sizes = kept.groupBy(*by).agg(F.max("_n").alias("_n"))
-    return stage(sizes.join(found, by, "left"), "edges")
+    here = {
+        mark: F.when((F.col(mark) > before) & (F.col(mark) <= F.col("_upto")), F.col(mark) - before)
+        for mark in marks.values()
+    }
+    found = spans.select(by, "_buckets", "_bucket", *[rank.alias(mark) for mark, rank in here.items()])
+    return stage(found.where(F.coalesce(*here).isNotNull()), "slivers")
 
 
 def _ranks(by: Sequence[str], key: list[str]) -> Column:
@@ -128,7 +153,7 @@ def _placed(
         placed = counted.withColumn("_rank", _ranks([target], key))
         inside = {name: F.col("_rank") <= rank(size) for name, rank in cuts.items()}
     else:
-        placed = hashed.join(_edges(hashed, [target], key, cuts), target)
+        placed = hashed.join(_edges(hashed, target, key, cuts), target)
         inside = {
             name: F.when(rank(size) >= size, F.lit(True)).otherwise(
                 F.coalesce(_position(key) <= F.col(f"_edge_{name}"), F.lit(False))
@@ -148,7 +173,7 @@ def _first_by_hash(hashed: DataFrame, n: int, key: list[str], window_rows: int)
     if total is None or total <= window_rows:
         return hashed.orderBy("_hash", *key).limit(n)
     one = hashed.withColumn("_all", F.lit(0))
-    edge = _edges(one, ["_all"], key, {"cap": lambda size: F.lit(n)}).select("_edge_cap").first()["_edge_cap"]
+    edge = _edges(one, "_all", key, {"cap": lambda size: F.lit(n)}).select("_edge_cap").first()["_edge_cap"]
     last = F.struct(*[F.lit(value).alias(name) for name, value in edge.asDict().items()])
     return hashed.where(_position(key) <= last)
 

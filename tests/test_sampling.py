@@ -26,10 +26,16 @@ def table(spark, sizes):
 HOT = {"hot": 3000, **{f"c{size}": size for size in range(1, 60)}, None: 40, " hot ": 7, "": 5}
 
 
-# All ranks from windows, all from edges, and the default, which counts first.
+# All ranks from edges, and from windows.
 PATHS = [0, sampling.WINDOW_ROWS]
 
 
+@pytest.fixture(autouse=True, params=[40, 10**6])
+def bucket_rows(request, monkeypatch):
+    """Large and small classes, or small ones alone."""
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", request.param)
+
+
 @pytest.mark.parametrize("window_rows", PATHS)
 @pytest.mark.parametrize("low,high", [(20, 50), (0, 1), (30, 10), (0, 100000)])
 def test_balance(spark, low, high, window_rows):
