@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.chat import ChatMarks, render_message
+from tallyloom.operators.ordered import join_groups
 from tallyloom.sources.workspace import stage
 
 TURNS_PER_PART = 1000
@@ -39,6 +40,6 @@ def render_turns(
     # Staged, so that the join either broadcasts the ends or can split a hot conversation.
     ends = stage(lines.groupBy(conversation).agg(F.max("part").alias("_last")), "ends")
     prompt = F.when(F.col("part") == F.col("_last"), F.lit(marks.generation_prompt)).otherwise(F.lit(""))
-    return parts.join(ends, conversation).select(
+    return join_groups(parts, ends, [conversation]).select(
         conversation, "part", F.concat(body, prompt).alias("rendered")
     )

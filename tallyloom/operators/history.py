@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordered import CHUNK, running_before
+from tallyloom.operators.ordered import CHUNK, join_groups, running_before
 from tallyloom.sources.workspace import stage
 
 
@@ -114,8 +114,18 @@ def accumulation_windows(
     )
 
 
-def _micros(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+def _micros(start: Column, end: Column, kind: str) -> Column:
+    """Microseconds from ``start`` to ``end``, whatever the time zone of the session."""
+    if kind == "timestamp":
+        return F.unix_micros(end) - F.unix_micros(start)
+    # Times without a zone: their difference is an interval, free of daylight saving.
+    span = end - start
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), span)
+
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
 
 
 def progress(
@@ -136,12 +146,12 @@ def progress(
     """
     if start is None:
         starts = stage(log.groupBy(*by).agg(F.min(ts).alias("_start")), "run-starts")
-        timed = log.join(starts, list(by))
+        timed = join_groups(log, starts, by)
     else:
         timed = log.withColumn("_start", F.col(start))
     total = total_steps if isinstance(total_steps, Column) else F.lit(total_steps)
     done = F.col(step).cast("double")
-    timed = timed.withColumn("elapsed_seconds", _micros(F.col("_start"), F.col(ts)) / F.lit(1e6))
+    timed = timed.withColumn("elapsed_seconds", _micros(F.col("_start"), F.col(ts), dict(log.dtypes)[ts]) / F.lit(1e6))
     elapsed = F.col("elapsed_seconds")
     rate = done / F.greatest(elapsed, F.lit(1e-5))
     return timed.select(
@@ -171,7 +181,7 @@ def wait_share(
     """
     timed = running_before(marks.withColumn("_ready", data_ready), by, order, "last", ts, "_previous", chunk)
     previous = F.col("_previous") if start is None else F.coalesce("_previous", start)
-    spans = timed.select(*by, "_ready", F.coalesce(_micros(previous, F.col(ts)), F.lit(0)).alias("_span"))
+    spans = timed.select(*by, "_ready", F.coalesce(_micros(previous, F.col(ts), dict(marks.dtypes)[ts]), F.lit(0)).alias("_span"))
     sums = spans.groupBy(*by).agg(
         F.sum(F.when(F.col("_ready"), F.col("_span")).otherwise(0)).alias("_wait"),
         F.sum(F.when(F.col("_ready"), 0).otherwise(F.col("_span"))).alias("_compute"),

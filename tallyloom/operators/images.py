@@ -124,7 +124,9 @@ def read_cells(
     kind = _source_cells(manifest.sparkSession, paths, column).schema[column]
     schema = StructType([*manifest.schema.fields, kind])
     names = manifest.columns
-    grouped = manifest.groupBy(
+    # Rows without a pointer would all fall into one group, so they go around the reading.
+    pointed = F.col(FILE_COLUMN).isNotNull() & F.col(ORDINAL_COLUMN).isNotNull()
+    grouped = manifest.where(pointed).groupBy(
         F.col(FILE_COLUMN).alias("_file"), F.floor(F.col(ORDINAL_COLUMN) / rows_per_task).alias("_range")
     ).agg(F.collect_list(F.struct(*names)).alias("_rows"))
 
@@ -139,7 +141,7 @@ def read_cells(
         start = 0
         for group in range(source.num_row_groups):
             end = start + source.metadata.row_group(group).num_rows
-            if any(at is not None and start <= at < end for at in wanted):
+            if any(start <= at < end for at in wanted):
                 at = start
                 for batch in source.iter_batches(batch_rows, row_groups=[group], columns=[column]):
                     hits = [place for place in range(batch.num_rows) if at + place in wanted]
@@ -155,10 +157,10 @@ def read_cells(
 
         for batch in batches:
             for file, rows in zip(batch["_file"], batch["_rows"]):
-                left: dict[int | None, list[dict]] = {}
+                left: dict[int, list[dict]] = {}
                 for row in rows:
                     left.setdefault(row[ORDINAL_COLUMN], []).append(row)
-                source, ready = None if file is None else opened(file), []
+                source, ready = opened(file), []
                 for at, value in cells(source, set(left)) if source is not None else ():
                     ready.extend((row, value) for row in left.pop(at))
                     if len(ready) >= batch_rows:
@@ -168,7 +170,8 @@ def read_cells(
                     source.close()
                 yield frame(ready + [(row, None) for rest in left.values() for row in rest])
 
-    return grouped.select("_file", "_rows").mapInPandas(run, schema)
+    fetched = grouped.select("_file", "_rows").mapInPandas(run, schema)
+    return fetched.unionByName(manifest.where(~pointed).withColumn(column, F.lit(None).cast(kind.dataType)))
 
 
 def source_kind(

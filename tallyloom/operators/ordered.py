@@ -8,6 +8,8 @@ holds a third of the table is thus spread over as many tasks as it has chunks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,15 @@ from pyspark.sql.window import Window
 CHUNK = 100_000
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on group columns in which null is a group like any other."""
+    renamed = right.select(
+        *[F.col(name).alias(f"_right_{name}") if name in keys else F.col(name) for name in right.columns]
+    )
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_right_{name}")) for name in keys])
+    return left.join(renamed, same).drop(*[f"_right_{name}" for name in keys])
+
+
 def running_before(
     df: DataFrame,
     by: Sequence[str],
@@ -58,10 +69,8 @@ def running_before(
         .agg(summary.alias("_summary"))
         .select(*by, "_chunk", carry.over(chunks).alias("_carried"))
     )
-    return (
-        rows.withColumn("_local", local.over(in_chunk))
-        .join(carried, [*by, "_chunk"])
-        .select(*df.columns, both(F.col("_local"), F.col("_carried")).alias(name))
+    return join_groups(rows.withColumn("_local", local.over(in_chunk)), carried, [*by, "_chunk"]).select(
+        *df.columns, both(F.col("_local"), F.col("_carried")).alias(name)
     )
 
 

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 
 def write_csv(report: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
-    """One headed CSV table; with ``order``, the files follow it by name."""
+    """One headed CSV table; with ``order``, the files follow it by name.
+
+    Quotes are doubled, as most readers expect; texts may hold line ends.
+    """
     table = report.orderBy(*order) if order else report
-    table.write.mode("overwrite").option("header", True).csv(path)
+    table.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(report: DataFrame, path: str) -> None:

@@ -43,7 +43,12 @@ def quarantine_batches(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        good_rows(batch, error).write.mode("overwrite").parquet(f"{good_path}/batch={number}")
-        bad_rows(batch, filename, file, ordinal, error).write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
+        batch.persist()  # written twice, computed once
+        try:
+            good_rows(batch, error).write.mode("overwrite").parquet(f"{good_path}/batch={number}")
+            bad = bad_rows(batch, filename, file, ordinal, error)
+            bad.write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return write

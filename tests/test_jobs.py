@@ -134,6 +134,10 @@ def test_report_files(spark, tmp_path):
     assert {"name": "a", "score": None} in lines and {"name": "b", "score": 0.1234} in lines
     reports.write_csv(report, f"{tmp_path}/c", ["name"])
     assert spark.read.option("header", True).csv(f"{tmp_path}/c").columns == ["name", "score"]
+    odd = spark.createDataFrame([('a "b",\nc',)], "name string")
+    reports.write_csv(odd, f"{tmp_path}/o")
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    assert reader.csv(f"{tmp_path}/o").first()[0] == 'a "b",\nc'
 
 
 def test_shared_folder_is_the_one_of_the_session(spark):
