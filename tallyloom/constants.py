@@ -65,9 +65,8 @@ FIELD_ALIASES = {
 UNKNOWN = "Unknown"
 UNKNOWN_TARGET = "Unknown Disease"
 
-# Label that the loss ignores, and the token text that opens an answer.
+# Fixed value: label that the loss ignores.
 IGNORED_LABEL = -100
-ANSWER_MARKER = "<|im_start|>assistant\n"
 
 # Sampling defaults.
 SEED = 42

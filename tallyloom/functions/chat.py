@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import _col
+from tallyloom.functions.text import as_column
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class ChatMarks:
 
 def conversation(image: Column | str, prompt: Column | str, answer: Column | str | None = None) -> Column:
     """A user message of [image, text] and, when ``answer`` is given, an assistant message."""
-    image = _col(image)
+    image = as_column(image)
 
     def part(kind: str, text: Column | None, picture: Column | None) -> Column:
         return F.struct(
@@ -42,15 +42,15 @@ def conversation(image: Column | str, prompt: Column | str, answer: Column | str
     def message(role: str, *parts: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), F.array(*parts).alias("content"))
 
-    messages = [message("user", part("image", None, image), part("text", _col(prompt), None))]
+    messages = [message("user", part("image", None, image), part("text", as_column(prompt), None))]
     if answer is not None:
-        messages.append(message("assistant", part("text", _col(answer), None)))
+        messages.append(message("assistant", part("text", as_column(answer), None)))
     return F.array(*messages)
 
 
 def render_message(role: Column | str, text: Column | str, marks: ChatMarks = ChatMarks()) -> Column:
     """One message between its marks."""
-    return F.concat(marks.opened(_col(role)), F.coalesce(_col(text), F.lit("")), F.lit(marks.closing))
+    return F.concat(marks.opened(as_column(role)), F.coalesce(as_column(text), F.lit("")), F.lit(marks.closing))
 
 
 def render_conversation(
@@ -59,7 +59,7 @@ def render_conversation(
     """C7 for the output of :func:`conversation`: one string per row, an image mark per image part."""
     body = F.array_join(
         F.transform(
-            _col(messages),
+            as_column(messages),
             lambda message: render_message(
                 message["role"],
                 F.array_join(

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tallyloom.functions.text import _col
+from tallyloom.functions.text import as_column
 
 # A longer string is taken for base64, as is one with this prefix.
 BASE64_LENGTH = 256
@@ -36,7 +36,7 @@ def _refused(message: str | Column) -> Column:
 
 def payload_of_struct(cell: Column | str) -> Column:
     """D1 for ``struct<bytes,path>``: the bytes, else the path, else an error."""
-    cell = _col(cell)
+    cell = as_column(cell)
     return (
         F.when(cell.isNull(), _refused("image is null"))
         .when(cell["bytes"].isNotNull(), _payload("bytes", payload=cell["bytes"]))
@@ -47,7 +47,7 @@ def payload_of_struct(cell: Column | str) -> Column:
 
 def payload_of_binary(cell: Column | str) -> Column:
     """D1 for raw bytes."""
-    cell = _col(cell)
+    cell = as_column(cell)
     return F.when(cell.isNull(), _refused("image is null")).otherwise(_payload("bytes", payload=cell))
 
 
@@ -57,8 +57,8 @@ def payload_of_string(cell: Column | str, exists: Column | str | None = None) ->
     ``exists`` says whether the text names an existing file (join a listing to get it); the
     default takes no text for a path.
     """
-    cell = _col(cell)
-    exists = F.lit(False) if exists is None else F.coalesce(_col(exists), F.lit(False))
+    cell = as_column(cell)
+    exists = F.lit(False) if exists is None else F.coalesce(as_column(exists), F.lit(False))
     looks_encoded = cell.startswith(BASE64_PREFIX) | (F.length(cell) > BASE64_LENGTH)
     body = F.when(
         cell.startswith(BASE64_PREFIX), F.regexp_replace(cell, f"^{BASE64_PREFIX}/.+;base64,", "")
@@ -109,7 +109,7 @@ def _frame_sizes(cells: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def image_format(data: Column | str) -> Column:
     """``jpeg``, ``png`` or ``webp`` by signature, else null."""
-    data = _col(data)
+    data = as_column(data)
     return (
         F.when(F.hex(F.substring(data, 1, 3)) == "FFD8FF", F.lit("jpeg"))
         .when(F.hex(F.substring(data, 1, 8)) == "89504E470D0A1A0A", F.lit("png"))
@@ -122,7 +122,7 @@ def image_format(data: Column | str) -> Column:
 
 def fixed_header_size(data: Column | str) -> Column:
     """D2 for formats with sizes at a fixed offset (PNG, WEBP): ``struct<width,height>`` or null."""
-    data = _col(data)
+    data = as_column(data)
     chunk = F.hex(F.substring(data, 13, 4))
     packed = _number(data, 22, 4, little_endian=True)
 
@@ -151,14 +151,14 @@ def jpeg_size(data: Column | str) -> Column:
 
     Other formats are passed as null, so only JPEG bytes travel to Python.
     """
-    data = _col(data)
+    data = as_column(data)
     sizes = F.pandas_udf(_frame_sizes, SIZE_TYPE)
     return sizes(F.when(image_format(data) == "jpeg", data))
 
 
 def header_check(kind: Column | str, width: Column | str, height: Column | str) -> Column:
     """Error text for a payload whose header gave no usable size; null when it is fine."""
-    kind, width, height = _col(kind), _col(width), _col(height)
+    kind, width, height = as_column(kind), as_column(width), as_column(height)
     return F.when(kind.isNull(), F.lit("unknown image format")).when(
         width.isNull() | height.isNull() | (width <= 0) | (height <= 0), F.lit("truncated image header")
     )

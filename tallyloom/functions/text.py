@@ -26,18 +26,19 @@ from tallyloom.constants import (
 )
 
 
-def _col(value: Column | str) -> Column:
+def as_column(value: Column | str) -> Column:
+    """A column given by name or as it is."""
     return F.col(value) if isinstance(value, str) else value
 
 
 def strip(value: Column | str) -> Column:
     """Remove white space from both ends."""
-    return F.btrim(_col(value), F.lit(WHITESPACE))
+    return F.btrim(as_column(value), F.lit(WHITESPACE))
 
 
 def collapse_space(value: Column | str) -> Column:
     """One blank for every run of white space, none at the ends."""
-    return strip(F.regexp_replace(_col(value), SPACE_CLASS + "+", " "))
+    return strip(F.regexp_replace(as_column(value), SPACE_CLASS + "+", " "))
 
 
 def informative(value: Column | str) -> Column:
@@ -45,19 +46,19 @@ def informative(value: Column | str) -> Column:
 
     A floating-point NaN casts to the text ``NaN`` and is caught by the word list.
     """
-    text = _col(value).cast("string")
+    text = as_column(value).cast("string")
     return text.isNotNull() & ~F.lower(strip(text)).isin(UNINFORMATIVE)
 
 
 def clean(value: Column | str) -> Column:
     """Collapsed text, or an empty string when the value is not informative."""
-    value = _col(value)
+    value = as_column(value)
     return F.when(informative(value), collapse_space(value.cast("string"))).otherwise(F.lit(""))
 
 
 def class_name(value: Column | str) -> Column:
     """B1: null becomes "Unknown"; the rest is trimmed. An empty string stays its own class."""
-    return strip(F.coalesce(_col(value).cast("string"), F.lit(UNKNOWN)))
+    return strip(F.coalesce(as_column(value).cast("string"), F.lit(UNKNOWN)))
 
 
 def training_target(target: Column | str, raw: Column | str | None = None) -> Column:
@@ -66,7 +67,7 @@ def training_target(target: Column | str, raw: Column | str | None = None) -> Co
     ``raw=None`` means the table has no raw-label column. A raw label that is itself not
     informative gives an empty string (the answer line is still written).
     """
-    target = _col(target)
+    target = as_column(target)
     fallback = F.lit(UNKNOWN_TARGET) if raw is None else clean(raw)
     return F.when(informative(target), collapse_space(target.cast("string"))).otherwise(fallback)
 
@@ -76,14 +77,14 @@ def scoring_truth(target: Column | str, raw: Column | str | None = None) -> Colu
 
     Unlike the training rule this keeps words such as "Unknown" as they are.
     """
-    target = _col(target).cast("string")
-    rest = [] if raw is None else [_col(raw).cast("string")]
+    target = as_column(target).cast("string")
+    rest = [] if raw is None else [as_column(raw).cast("string")]
     return F.coalesce(F.nullif(target, F.lit("")), *rest, F.lit(UNKNOWN))
 
 
 def labelled_line(label: str, value: Column | str) -> Column:
     """``label: value``, or null when there is nothing informative to say."""
-    value = _col(value)
+    value = as_column(value)
     return F.when(informative(value), F.concat(F.lit(f"{label}: "), collapse_space(value.cast("string"))))
 
 
@@ -128,7 +129,7 @@ def answer_text(
 
 def normalize_label(value: Column | str) -> Column:
     """Lower case, no surrounding punctuation, blanks for runs of space, hyphen, underscore."""
-    bare = F.btrim(F.lower(strip(_col(value))), F.lit(PUNCTUATION + " "))
+    bare = F.btrim(F.lower(strip(as_column(value))), F.lit(PUNCTUATION + " "))
     spaced = F.regexp_replace(bare, SPACE_CLASS[:-1] + r"\-_]+", " ")
     return F.coalesce(strip(spaced), F.lit(""))
 
@@ -144,14 +145,14 @@ def extract_field(text: Column | str, aliases: Sequence[str]) -> Column:
     Aliases match anywhere, also inside a word, and the value may start on the next line.
     A blank left in front of the removed punctuation stays.
     """
-    value = F.regexp_extract(_col(text), _alias_pattern(aliases), 1)
+    value = F.regexp_extract(as_column(text), _alias_pattern(aliases), 1)
     return F.coalesce(F.rtrim(strip(value), F.lit(".,;")), F.lit(""))
 
 
 def first_line(text: Column | str) -> Column:
     """First line that is not blank, trimmed; empty when there is none."""
     # Line ends are white space, so after trimming the left side the wanted line comes first.
-    opened = F.ltrim(_col(text), F.lit(WHITESPACE))
+    opened = F.ltrim(as_column(text), F.lit(WHITESPACE))
     return F.coalesce(strip(F.regexp_extract(opened, f"^[^{LINE_ENDS}]*", 0)), F.lit(""))
 
 
@@ -166,7 +167,7 @@ def parse_answer(
     text: Column | str, aliases: Mapping[str, Sequence[str]] = FIELD_ALIASES
 ) -> Column:
     """C9 + C10 as one struct: every field of ``aliases`` plus ``raw_text``; no field is null."""
-    text = _col(text)
+    text = as_column(text)
     fields = []
     for name, names in aliases.items():
         value = extract_field(text, names)
@@ -181,7 +182,7 @@ def exact_match(truth: Column | str, predicted: Column | str) -> Column:
     """C11: equal after trimming and lower-casing; a null counts as empty text."""
 
     def plain(value: Column | str) -> Column:
-        return F.coalesce(F.lower(strip(_col(value))), F.lit(""))
+        return F.coalesce(F.lower(strip(as_column(value))), F.lit(""))
 
     return plain(truth) == plain(predicted)
 
@@ -197,18 +198,18 @@ def is_correct(
 
 def fill_from(predicted: Column | str, known: Column | str) -> Column:
     """The predicted field when not empty, else the known one, else empty text."""
-    return F.coalesce(F.nullif(_col(predicted), F.lit("")), _col(known).cast("string"), F.lit(""))
+    return F.coalesce(F.nullif(as_column(predicted), F.lit("")), as_column(known).cast("string"), F.lit(""))
 
 
 def thousands(value: Column | str, missing: str = "N/A") -> Column:
     """Whole number with thousands separators; text that is no whole number stays as it is."""
-    value = _col(value)
+    value = as_column(value)
     return F.coalesce(F.format_number(value.try_cast("bigint"), 0), value.cast("string"), F.lit(missing))
 
 
 def duration(seconds: Column | str) -> Column:
     """``Hh MMm`` from one hour on, ``MMm SSs`` below."""
-    seconds = _col(seconds)
+    seconds = as_column(seconds)
     hours = F.floor(seconds / 3600).cast("bigint")
     minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60).cast("bigint")
     rest = F.floor(F.pmod(seconds, F.lit(60))).cast("bigint")

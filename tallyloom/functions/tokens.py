@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyloom.constants import IGNORED_LABEL
-from tallyloom.functions.text import _col
+from tallyloom.functions.text import as_column
 
 
 def marker_end(ids: Column | str, marker: Sequence[int]) -> Column:
@@ -19,7 +19,7 @@ def marker_end(ids: Column | str, marker: Sequence[int]) -> Column:
     """
     if not marker:
         raise ValueError("the marker needs at least one token")
-    text = F.concat(F.lit(","), F.array_join(_col(ids).cast("array<string>"), ",", "?"), F.lit(","))
+    text = F.concat(F.lit(","), F.array_join(as_column(ids).cast("array<string>"), ",", "?"), F.lit(","))
     found = F.instr(text, F.lit("," + ",".join(str(int(token)) for token in marker) + ","))
     before = F.substring(text, F.lit(1), found)
     # As many commas as tokens in front of the marker, plus the one that opens it.
@@ -39,16 +39,16 @@ def loss_labels(
     count as prompt. Everything after the first marker is trained on. ``attention`` has one entry
     per token.
     """
-    ids = _col(ids)
+    ids = as_column(ids)
     ignored = F.lit(IGNORED_LABEL).cast("int")
-    prompt = F.least(F.coalesce(_col(prompt_length), F.lit(0)), F.size(ids))
+    prompt = F.least(F.coalesce(as_column(prompt_length), F.lit(0)), F.size(ids))
     cut = F.coalesce(marker_end(ids, marker), prompt).cast("int")
     labels = F.concat(F.array_repeat(ignored, cut), F.slice(ids, cut + 1, F.size(ids)))
-    return F.zip_with(labels, _col(attention), lambda label, seen: F.when(seen == 0, ignored).otherwise(label))
+    return F.zip_with(labels, as_column(attention), lambda label, seen: F.when(seen == 0, ignored).otherwise(label))
 
 
 def drop_prompt(generated: Column | str, prompt: Column | str) -> Column:
     """The generated ids after as many tokens as the prompt has."""
-    generated, prompt = _col(generated), _col(prompt)
+    generated, prompt = as_column(generated), as_column(prompt)
     left = F.greatest(F.size(generated) - F.size(prompt), F.lit(0))
     return F.slice(generated, F.size(prompt) + 1, left)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.chat import ChatMarks, render_message
-from tallyloom.operators.ordered import join_groups
+from tallyloom.operators.ordered import join_groups, whole_part
 from tallyloom.sources.workspace import stage
 
 TURNS_PER_PART = 1000
@@ -30,7 +30,7 @@ def render_turns(
     """
     lines = turns.select(
         conversation,
-        F.floor(F.col(turn) / turns_per_part).cast("bigint").alias("part"),
+        whole_part(turn, turns_per_part).alias("part"),
         F.struct(F.col(turn).alias("turn"), render_message(role, text, marks).alias("line")).alias("_line"),
     )
     parts = lines.groupBy(conversation, "part").agg(F.array_sort(F.collect_list("_line")).alias("_lines"))

@@ -77,40 +77,42 @@ def accumulation_windows(
     ``total_batches`` is the planned number of batches per epoch; without it the last logged batch
     counts as the last.
     """
+    planned = F.lit(total_batches) if total_batches is None or isinstance(total_batches, int) else total_batches
+    finite = _finite(loss)
+    refused = F.lit(False) if rejected is None else F.coalesce(F.col(rejected), F.lit(False))
+    # Batch number and its two flags as one number: its maximum tells about the last batch, and
+    # a plain maximum keeps the aggregation hash-based.
+    mark = F.col(batch).cast("bigint") * 4 + F.when(finite, 2).otherwise(0) + F.when(refused, 1).otherwise(0)
     rows = log.select(
         *by,
         F.col(batch).cast("bigint").alias("_batch"),
-        F.when(_finite(loss), F.col(loss)).alias("_loss"),
-        (F.lit(False) if rejected is None else F.coalesce(F.col(rejected), F.lit(False))).alias("_rejected"),
-        (F.lit(None) if total_batches is None else total_batches if isinstance(total_batches, Column) else F.lit(total_batches))
-        .cast("bigint")
-        .alias("_planned"),
+        F.when(finite, F.col(loss)).cast("decimal(28,12)").alias("_loss"),
+        mark.alias("_mark"),
+        planned.cast("bigint").alias("_planned"),
+    )
+    last, is_finite, is_refused = (
+        F.shiftright("_mark", 2),
+        F.col("_mark").bitwiseAND(F.lit(2)) > 0,
+        F.col("_mark").bitwiseAND(F.lit(1)) > 0,
     )
     # Nominal windows first: at most `accumulate` rows each, combined on the map side.
     nominal = (
-        rows.groupBy(*by, F.ceil(F.col("_batch") / accumulate).cast("bigint").alias("_window"))
-        .agg(
-            F.sum(F.col("_loss").cast("decimal(28,12)")).alias("_sum"),
-            F.max("_batch").alias("_end"),
-            F.max_by(F.struct(F.col("_loss").isNotNull().alias("finite"), F.col("_rejected").alias("rejected")), "_batch").alias("_last"),
-            F.max("_planned").alias("_planned"),
-        )
-        .withColumn("_closes", (F.col("_last.finite") & (F.col("_end") % accumulate == 0)).cast("bigint"))
+        rows.withColumn("_window", F.expr(f"(_batch + {accumulate - 1}) div {accumulate}"))
+        .groupBy(*by, "_window")
+        .agg(F.sum("_loss").alias("_sum"), F.max("_mark").alias("_mark"), F.max("_planned").alias("_planned"))
+        .withColumn("_closes", (is_finite & (last % accumulate == 0)).cast("bigint"))
     )
     # An open window joins the following ones up to the first that closes.
     joined = running_before(nominal, by, "_window", "sum", "_closes", "_closed_before", chunk)
     steps = joined.groupBy(*by, F.coalesce("_closed_before", F.lit(0)).alias("_step")).agg(
         F.sum("_sum").alias("_sum"),
-        F.max("_end").alias("_end"),
-        F.max_by("_last", "_end").alias("_last"),
+        F.max("_mark").alias("_mark"),
         F.max("_closes").alias("_closes"),
         F.max("_planned").alias("_planned"),
     )
-    ended = (F.col("_closes") == 1) | F.coalesce(F.col("_end") == F.col("_planned"), F.col("_planned").isNull())
-    return steps.where(ended & F.col("_last.finite") & ~F.col("_last.rejected")).select(
-        *by,
-        F.col("_end").alias("last_batch"),
-        (F.col("_sum").cast("double") / accumulate).alias("step_loss"),
+    ended = (F.col("_closes") == 1) | F.coalesce(last == F.col("_planned"), F.col("_planned").isNull())
+    return steps.where(ended & is_finite & ~is_refused).select(
+        *by, last.alias("last_batch"), (F.col("_sum").cast("double") / accumulate).alias("step_loss")
     )
 
 

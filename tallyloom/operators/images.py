@@ -14,7 +14,8 @@ from pyspark.sql.types import StructType
 
 from tallyloom.constants import FILE_COLUMN, ORDINAL_COLUMN
 from tallyloom.functions.payload import payload_of_struct
-from tallyloom.functions.text import _col
+from tallyloom.functions.text import as_column
+from tallyloom.operators.ordered import whole_part
 from tallyloom.sources.shards import list_files
 from tallyloom.sources.workspace import write_once
 
@@ -28,7 +29,7 @@ ROWS_PER_READ = 20_000
 
 def plain_path(path: Column | str) -> Column:
     """Local paths without the URI scheme; other paths as they are."""
-    return F.regexp_replace(_col(path), "^file:/+", "/")
+    return F.regexp_replace(as_column(path), "^file:/+", "/")
 
 
 def resolve_paths(
@@ -127,7 +128,7 @@ def read_cells(
     # Rows without a pointer would all fall into one group, so they go around the reading.
     pointed = F.col(FILE_COLUMN).isNotNull() & F.col(ORDINAL_COLUMN).isNotNull()
     grouped = manifest.where(pointed).groupBy(
-        F.col(FILE_COLUMN).alias("_file"), F.floor(F.col(ORDINAL_COLUMN) / rows_per_task).alias("_range")
+        F.col(FILE_COLUMN).alias("_file"), whole_part(ORDINAL_COLUMN, rows_per_task).alias("_range")
     ).agg(F.collect_list(F.struct(*names)).alias("_rows"))
 
     def opened(file: str) -> ParquetFile | None:
@@ -189,9 +190,9 @@ def source_kind(
     def there(name: Column | str | None, exists: Column | str | None) -> Column:
         if name is None or exists is None:
             return F.lit(False)
-        return F.coalesce((_col(name) != "") & _col(exists), F.lit(False))
+        return F.coalesce((as_column(name) != "") & as_column(exists), F.lit(False))
 
-    inline = F.lit(False) if image is None else _col(image).isNotNull()
+    inline = F.lit(False) if image is None else as_column(image).isNotNull()
     return (
         F.when(there(image_path, path_exists), F.lit("image_path"))
         .when(inline, F.lit("image"))

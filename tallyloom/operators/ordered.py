@@ -8,8 +8,6 @@ holds a third of the table is thus spread over as many tasks as it has chunks.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +16,20 @@ from pyspark.sql.window import Window
 CHUNK = 100_000
 
 
+def whole_part(column: str, size: int) -> Column:
+    """Whole-number quotient of a whole-number column; exact for any bigint."""
+    return F.expr(f"`{column}` div {int(size)}")
+
+
+def group_key(by: Sequence[str]) -> Column:
+    """The group columns as one value that is never null, so that joins keep groups named null."""
+    return F.struct(*by)
+
+
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join on group columns in which null is a group like any other."""
-    renamed = right.select(
-        *[F.col(name).alias(f"_right_{name}") if name in keys else F.col(name) for name in right.columns]
-    )
-    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_right_{name}")) for name in keys])
-    return left.join(renamed, same).drop(*[f"_right_{name}" for name in keys])
+    keyed = left.withColumn("_group", group_key(keys))
+    return keyed.join(right.withColumn("_group", group_key(keys)).drop(*keys), "_group").drop("_group")
 
 
 def running_before(
@@ -38,14 +43,17 @@ def running_before(
 ) -> DataFrame:
     """Add ``name``: sum, max or last non-null of ``value`` over the earlier rows of the group.
 
-    ``order`` is a whole-number column, unique within the group, so a chunk has at most ``chunk``
-    rows. Without earlier rows the result is null.
+    ``order`` is a whole-number column, unique within the group, so a chunk has few more than
+    ``chunk`` rows. Without earlier rows the result is null.
     """
     value = F.col(value) if isinstance(value, str) else value
-    rows = df.withColumn("_value", value).withColumn("_chunk", F.floor(F.col(order) / chunk).cast("bigint"))
+    rows = df.withColumn("_value", value).withColumn("_chunk", whole_part(order, chunk))
+    # One key for window and join, so that both use the same shuffle.
+    rows = rows.withColumn("_part", group_key([*by, "_chunk"]))
     earlier = (Window.unboundedPreceding, -1)
-    in_chunk = Window.partitionBy(*by, "_chunk").orderBy(order).rowsBetween(*earlier)
-    chunks = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(*earlier)
+    in_chunk = Window.partitionBy("_part").orderBy(order).rowsBetween(*earlier)
+    chunks = Window.partitionBy(*[F.col(f"_part.{column}") for column in by])
+    chunks = chunks.orderBy(F.col("_part._chunk")).rowsBetween(*earlier)
     known = F.col("_value").isNotNull()
     summary, carry, local, both = {
         "sum": (
@@ -65,12 +73,12 @@ def running_before(
         ),
     }[kind]
     carried = (
-        rows.groupBy(*by, "_chunk")
-        .agg(summary.alias("_summary"))
-        .select(*by, "_chunk", carry.over(chunks).alias("_carried"))
+        rows.groupBy("_part").agg(summary.alias("_summary")).select("_part", carry.over(chunks).alias("_carried"))
     )
-    return join_groups(rows.withColumn("_local", local.over(in_chunk)), carried, [*by, "_chunk"]).select(
-        *df.columns, both(F.col("_local"), F.col("_carried")).alias(name)
+    return (
+        rows.withColumn("_local", local.over(in_chunk))
+        .join(carried, "_part")
+        .select(*df.columns, both(F.col("_local"), F.col("_carried")).alias(name))
     )
 
 
