@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.constants import FINISHED_BYTES
-from tallyloom.operators.scoring import Transcode, arrow_batches, transcode_batches
+from tallyloom.operators.scoring import IMAGE_ROWS, Transcode, arrow_batches, transcode_batches
 from tallyloom.sources.workspace import stage
 
-IMAGE_ROWS = 64
 # Outputs are spread over directories named after the first digits of their names.
 PREFIX_DIGITS = 3
 

@@ -14,6 +14,8 @@ Predictor = Callable[[pd.DataFrame], Sequence[str]]
 # Bytes to bytes; raises for a payload it cannot read.
 Transcode = Callable[[bytes], bytes]
 
+# Rows per Arrow batch when rows carry images.
+IMAGE_ROWS = 64
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -33,13 +35,16 @@ def score_batches(
     load: Callable[[], Predictor],
     answer: str = "raw_output",
     batch_rows: int = 8,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the text a predictor generates for each row.
 
     ``load`` runs once per task and returns the predictor, which is called with ``batch_rows``
-    rows at a time, however large the Arrow batches are.
+    rows at a time, however large the Arrow batches are. Only ``keep`` columns (default: all)
+    travel back from Python; leave image bytes out.
     """
-    schema = StructType([*rows.schema.fields, StructField(answer, StringType())])
+    kept = list(rows.columns if keep is None else keep)
+    schema = StructType([*[rows.schema[name] for name in kept], StructField(answer, StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
@@ -47,7 +52,7 @@ def score_batches(
             texts: list[str] = []
             for start in range(0, len(batch), batch_rows):
                 texts.extend(predict(batch.iloc[start : start + batch_rows]))
-            yield batch.assign(**{answer: texts})
+            yield batch[kept].assign(**{answer: texts})
 
     return rows.mapInPandas(run, schema)
 

@@ -11,7 +11,7 @@ from tallyloom.functions.text import fill_from, is_correct, parse_answer, scorin
 from tallyloom.operators import metrics
 from tallyloom.operators.records import evaluation_records, failures
 from tallyloom.operators.sampling import first_rows_in_order, sample_rows
-from tallyloom.operators.scoring import Predictor, score_batches
+from tallyloom.operators.scoring import IMAGE_ROWS, Predictor, arrow_batches, score_batches
 from tallyloom.sources import reports
 from tallyloom.sources.workspace import stage
 
@@ -55,10 +55,17 @@ def predict_and_evaluate(
     key: str | Sequence[str],
     folder: str,
     batch_rows: int = 8,
+    heavy: Sequence[str] = ("image", "payload"),
     **columns: str,
 ) -> DataFrame:
-    """U1 and then :func:`evaluate`. Staging the answers keeps the predictor to one run."""
-    return evaluate(stage(score_batches(prompts, load, batch_rows=batch_rows), "answers"), key, folder, **columns)
+    """U1 and then :func:`evaluate`. Staging the answers keeps the predictor to one run.
+
+    ``heavy`` columns reach the predictor, in small Arrow batches, but are not kept.
+    """
+    keep = [name for name in prompts.columns if name not in heavy]
+    with arrow_batches(prompts.sparkSession, max(batch_rows, IMAGE_ROWS)):
+        answers = stage(score_batches(prompts, load, batch_rows=batch_rows, keep=keep), "answers")
+    return evaluate(answers, key, folder, **columns)
 
 
 def sample_predictions(

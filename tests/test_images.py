@@ -216,6 +216,8 @@ def test_predictor_loads_once_per_task_and_sees_small_batches(spark):
     out = score_batches(spark.range(0, 50, 1, 3), load, batch_rows=4).collect()
     assert {row.raw_output for row in out} == {f"Diagnosis: {at}" for at in range(50)}
     assert loads.value == 3
+    heavy = spark.range(3).withColumn("image", F.lit(b"x"))
+    assert score_batches(heavy, load, keep=["id"]).columns == ["id", "raw_output"]
 
 
 def test_transcode_reports_errors(spark):
