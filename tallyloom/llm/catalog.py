@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import packing, sharding, simhash, token_counts
-from tallyloom.llm.common import table
+from tallyloom.llm import language, nearest, packing, pivots, sharding, simhash, token_counts, toxicity
+from tallyloom.llm.common import held_out, table, trainable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs).drop("ids")
+
+
+@query
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op8_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and survivor of every vector."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where(trainable()), labels.where(trainable()))
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.score(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(trainable()))
+    return language.identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,43 +32,3 @@ def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
 def vocabulary_path(name: str) -> str:
     """Where this machine keeps a public vocabulary file."""
     return public_tokenizers.path(name)
-
-
-class Memo:
-    """A bounded table of word -> value: when the young half is full it becomes the old half."""
-
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def fill(self, words: Iterable, compute) -> dict:
-        """Values of all ``words``; ``compute`` gets the list of unknown ones, returns their values in order."""
-        found, missing = {}, []
-        young, old = self.young, self.old
-        for word in words:
-            value = young.get(word)
-            if value is None:
-                value = old.get(word)
-                if value is None:
-                    missing.append(word)
-                    continue
-                young[word] = value
-            found[word] = value
-        if missing:
-            fresh = dict(zip(missing, compute(missing)))
-            found.update(fresh)
-            young.update((word, value) for word, value in fresh.items() if len(word) <= 64)
-        if len(young) > self.limit:
-            self.young, self.old = {}, young
-        return found
-
-
-def groups_by_size(texts: list, limit: int = 1 << 22) -> Iterator[list[int]]:
-    """Positions of consecutive texts that together hold about ``limit`` characters."""
-    start, held = 0, 0
-    for position, text in enumerate(texts):
-        held += len(text) if text else 0
-        if held >= limit:
-            yield list(range(start, position + 1))
-            start, held = position + 1, 0
-    if start < len(texts):
-        yield list(range(start, len(texts)))
