@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import language, nearest, packing, pivots, sharding, simhash, token_counts, toxicity
+from tallyloom.llm import html, language, nearest, packing, piece_scan, pivots, sharding, simhash, token_counts, toxicity
 from tallyloom.llm.common import held_out, table, trainable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,26 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.train(docs.where(trainable()))
     return language.identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
+@query
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.extract(pages)
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as count and CRC-32, and whether they decode to the text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = piece_scan.encode(docs)
+    # Marks in a text are read as spaces, which is what the vocabulary can say.
+    same = F.coalesce(F.replace("text", F.lit(piece_scan.MARK), F.lit(" ")), F.lit("")) == piece_scan.decode("ids")
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        same.alias("round_trip"),
+    )
