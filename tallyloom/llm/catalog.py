@@ -54,7 +54,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs).drop("ids")
+    return packing.pack(docs, ids=False).drop("ids")
 
 
 @query

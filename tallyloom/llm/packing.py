@@ -66,8 +66,9 @@ def task_offsets(stream: DataFrame) -> DataFrame:
     )
 
 
-def cut(stream: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
-    """Pieces of every document, given its ``place`` in the whole stream."""
+def cut(stream: DataFrame, key: str, window: int = WINDOW, ids: bool = True) -> DataFrame:
+    """Pieces of every document, given its ``place`` in the whole stream. Without ``ids`` that column is null."""
+    with_ids = ids
     kind = stream.schema[key].dataType.simpleString()
     schema = (
         f"`{key}` {kind}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -85,7 +86,7 @@ def cut(stream: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
                     sequence, offset = divmod(place + start, window)
                     length = min(window - offset, n - start)
                     part = ids[4 * start : 4 * (start + length)]
-                    rows.append((start, length, part, zlib.crc32(part), n, sequence, offset, start > 0, start + length < n))
+                    rows.append((start, length, part if with_ids else None, zlib.crc32(part), n, sequence, offset, start > 0, start + length < n))
                     took.append(i)
                     start, held = start + length, held + len(part)
                     if len(rows) >= PIECE_ROWS or held >= PIECE_BYTES:
@@ -110,10 +111,11 @@ def pack(
     window: int = WINDOW,
     end: int = END,
     path: str | None = None,
+    ids: bool = True,
 ) -> DataFrame:
     """Pieces with their ids: ``key, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset, goes_back, goes_on``."""
     stream = stage(encoded_stream(docs, text, key, end, path), "packing")
     # A row of 12 bytes per task of the first pass: a million tasks are 12 MB.
     placed = stream.join(F.broadcast(task_offsets(stream)), "task")
     placed = placed.select(key, "ids", (F.col("base") + F.col("before")).alias("place"))
-    return cut(placed, key, window)
+    return cut(placed, key, window, ids)
