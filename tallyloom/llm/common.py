@@ -32,3 +32,27 @@ def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
 def vocabulary_path(name: str) -> str:
     """Where this machine keeps a public vocabulary file."""
     return public_tokenizers.path(name)
+
+
+class Known(dict):
+    """Word -> computed value. When it is full it becomes the ``old`` half of a new table, so memory is bounded."""
+
+    LONGEST = 64
+
+    def __init__(self, compute, old: dict | None = None):
+        super().__init__()
+        self.compute, self.old = compute, old or {}
+
+    def __missing__(self, word: str):
+        value = self.old.get(word)
+        if value is None:
+            value = self.compute(word, self)
+        if len(word) <= self.LONGEST:
+            self[word] = value
+        return value
+
+    def renewed(self, limit: int) -> Known:
+        if len(self) <= limit:
+            return self
+        self.old = {}
+        return Known(self.compute, self)

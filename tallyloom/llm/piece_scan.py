@@ -34,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import vocabulary_path
+from tallyloom.llm.common import Known, vocabulary_path
 from tallyloom.sources.workspace import stage
 
 VOCABULARY = "piece_bpe_32k.model"
 CHUNK = 1 << 15
-UNITS_KEPT, LONGEST_KEPT = 600_000, 64
+UNITS_KEPT = 600_000
 MARK = "▁"
 UNKNOWN_PENALTY = 10
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -67,8 +67,8 @@ class Vocabulary:
         self.beginnings.update((piece, score) for piece, (score, _) in self.pieces.items())
         self.longest = max(map(len, self.pieces))
         self.lost = min(score for score, _ in self.pieces.values()) - UNKNOWN_PENALTY
-        self.units: dict[str, tuple[int, bytes]] = {}
-        self.old: dict[str, tuple[int, bytes]] = {}
+        self.ids = Known(self.solve_unit)
+        self.scores = Known(lambda unit, known: self.best(unit, 0, len(unit))[0][-1])
 
     def spelled(self, char: str) -> list[int]:
         """Ids of a character that is no piece."""
@@ -110,22 +110,18 @@ class Vocabulary:
             end = start
         return [i for each in reversed(pieces) for i in each]
 
-    def unit(self, unit: str) -> tuple[int, bytes]:
-        """Score and ids of a unit that lies between two certain cuts."""
-        found = self.units.get(unit) or self.old.get(unit)
-        if found is None:
-            score, back = self.best(unit, 0, len(unit))
-            found = score[-1], packed(self.trace(unit, 0, len(unit), back))
-        if len(unit) <= LONGEST_KEPT:
-            if len(self.units) >= UNITS_KEPT:
-                self.units, self.old = {}, self.units
-            self.units[unit] = found
-        return found
-
-    def encode(self, text: str) -> tuple[int, bytes]:
-        """Score and ids of a marked text."""
-        found = [self.unit(unit) for unit in UNIT.findall(text)]
-        return sum(score for score, _ in found), b"".join(ids for _, ids in found)
+    def solve_unit(self, unit: str, known: Known) -> bytes:
+        """Ids of a unit that lies between two certain cuts."""
+        return packed(self.trace(unit, 0, len(unit), self.best(unit, 0, len(unit))[1]))
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a marked text."""
+        self.ids, self.scores = self.ids.renewed(UNITS_KEPT), self.scores.renewed(UNITS_KEPT // 4)
+        return b"".join(map(self.ids.__getitem__, UNIT.findall(text)))
+
+    def score(self, text: str) -> int:
+        """Score of a marked text that begins and ends at a certain cut."""
+        return sum(map(self.scores.__getitem__, UNIT.findall(text)))
 
     # --- chunks -----------------------------------------------------------------------------------------------
 
@@ -150,7 +146,7 @@ class Vocabulary:
                 reached = [score[at - enter] if at >= enter else LOW for at in range(size, len(text) + 1)]
                 out[enter, : len(reached)] = reached[:states]
             return out
-        middle = sum(self.unit(unit)[0] for unit in UNIT.findall(text[first:last]))
+        middle = self.score(text[first:last])
         tail, _ = self.best(text, last, len(text), size)
         leave = np.full(states, LOW, dtype=np.int64)
         reached = tail[size - last : size - last + states]
@@ -173,7 +169,7 @@ class Vocabulary:
         _, tail = self.best(text, last, size + leave, size)
         return (
             packed(self.trace(text, enter, first, head))
-            + b"".join(self.unit(unit)[1] for unit in UNIT.findall(text[first:last]))
+            + self.encode(text[first:last])
             + packed(self.trace(text, last, size + leave, tail))
         )
 
@@ -240,7 +236,7 @@ def chunked(docs: DataFrame, text: str, size: int, path: str | None) -> DataFram
             for row, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 whole = marked(raw.as_py())
                 if len(whole) <= size:
-                    rows.append((row, 0, True, words.encode(whole)[1], None, None))
+                    rows.append((row, 0, True, words.encode(whole), None, None))
                     held += len(whole)
                 else:
                     for start in range(0, len(whole), size):

@@ -15,31 +15,15 @@ from functools import lru_cache
 
 import numpy as np
 
-from tallyloom.llm.common import vocabulary_path
+from tallyloom.llm.common import Known, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
-WORDS_KEPT, LONGEST_KEPT = 600_000, 64
+WORDS_KEPT = 600_000
 FINAL_MARKS = ".,;:!?*#$%&|"
 # Code points below this fold case letter by letter, but for the ones left out.
 LATIN_END, FOLDS_ODDLY = "ɐ", "İ"
 
 
-class _Known(dict):
-    """Word -> ids. When it is full it becomes the ``old`` half of a new table, so memory is bounded."""
-
-    def __init__(self, encode, old: dict):
-        super().__init__()
-        self.encode, self.old = encode, old
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(word, self)
-        if len(word) <= LONGEST_KEPT:
-            self[word] = ids
-        return ids
-
-
 class WordTokens:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,12 +32,12 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known = _Known(self._encode, {})
+        self.known = Known(self._encode)
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0x80, ord(LATIN_END))]
         self.level = {ord(c): "".join(x for x, _ in level.pre_tokenize_str(c)) for c in letters if c.isalpha()}
 
-    def _encode(self, word: str, known: _Known) -> bytes:
+    def _encode(self, word: str, known: Known) -> bytes:
         core = word.rstrip(FINAL_MARKS)
         if len(core) < len(word) and core and core[-1].isalnum():
             return known[core] + known[word[len(core) :]]
@@ -67,9 +51,7 @@ class WordTokens:
     def ids(self, texts: list):
         """For each text its ids as little-endian unsigned 32-bit bytes; none for null."""
         for text in texts:
-            if len(self.known) > WORDS_KEPT:
-                self.known.old = {}
-                self.known = _Known(self._encode, self.known)
+            self.known = self.known.renewed(WORDS_KEPT)
             words = (text or "").replace("\n", " ").split(" ")
             yield b"".join(map(self.known.__getitem__, words))
 
