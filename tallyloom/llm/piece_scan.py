@@ -42,6 +42,7 @@ CHUNK = 1 << 15
 UNITS_KEPT = 600_000
 MARK = "▁"
 UNKNOWN_PENALTY = 10
+FINAL_MARKS = ".,;:!?*#$%&|"
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 LOW = -(1 << 60)
 
@@ -68,7 +69,9 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces))
         self.lost = min(score for score, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.ids = Known(self.solve_unit)
-        self.scores = Known(lambda unit, known: self.best(unit, 0, len(unit))[0][-1])
+        self.scores = Known(self.score_unit)
+        joined = {b for piece in self.pieces for a, b in zip(piece, piece[1:]) if a.isalnum()}
+        self.apart = set(FINAL_MARKS) - joined
 
     def spelled(self, char: str) -> list[int]:
         """Ids of a character that is no piece."""
@@ -112,8 +115,22 @@ class Vocabulary:
 
     def solve_unit(self, unit: str, known: Known) -> bytes:
         """Ids of a unit that lies between two certain cuts."""
+        core = self.core(unit)
+        if len(core) < len(unit):
+            return known[core] + known[unit[len(core) :]]
         return packed(self.trace(unit, 0, len(unit), self.best(unit, 0, len(unit))[1]))
 
+    def score_unit(self, unit: str, known: Known) -> int:
+        core = self.core(unit)
+        if len(core) < len(unit):
+            return known[core] + known[unit[len(core) :]]
+        return self.best(unit, 0, len(unit))[0][-1]
+
+    def core(self, unit: str) -> str:
+        """The unit without its final marks, if no piece can span the place before them."""
+        core = unit.rstrip(FINAL_MARKS)
+        return core if core and core != unit and core[-1].isalnum() and unit[len(core)] in self.apart else unit
+
     def encode(self, text: str) -> bytes:
         """Ids of a marked text."""
         self.ids, self.scores = self.ids.renewed(UNITS_KEPT), self.scores.renewed(UNITS_KEPT // 4)
