@@ -15,7 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.sources.workspace import stage
+
 CELL = 2048
+# A list of so many hot buckets, of 12 bytes each, is sent to all tasks; a longer one is joined by shuffle.
+LISTED_BUCKETS = 100_000
 
 
 def split_hot(rows: DataFrame, key: str, cell: int = CELL) -> DataFrame:
@@ -26,7 +30,10 @@ def split_hot(rows: DataFrame, key: str, cell: int = CELL) -> DataFrame:
     """
     hot = rows.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > cell)
     hot = hot.select("bucket", F.ceil(F.col("size") / cell).cast("int").alias("cells"))
-    joined = rows.join(hot, "bucket", "left")
+    # Written first: rows then meet a list whose size is known, and are not shuffled for it while it is short.
+    hot = stage(hot, "hot-buckets")
+    short = hot.count() <= LISTED_BUCKETS
+    joined = rows.join(F.broadcast(hot) if short else hot, "bucket", "left")
     own = F.pmod(F.xxhash64(key, F.lit(11)), F.col("cells")).cast("int")
     others = F.sequence(F.lit(0), F.col("cells") - 1)
     pairs = F.transform(
