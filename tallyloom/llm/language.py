@@ -178,7 +178,8 @@ def word_counts(
                 held: Counter = Counter()
                 for each in texts:
                     held.update(words_of(each))
-                yield pd.DataFrame({"lang": name, "word": list(held), "n": list(held.values())})
+                if held:
+                    yield pd.DataFrame({"lang": name, "word": list(held), "n": list(held.values())})
 
     counts = chosen.mapInPandas(count, "lang string, word string, n long")
     return counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
