@@ -201,6 +201,25 @@ def first_in_order(spark, sf_dir):
     return sampling.first_rows_in_order(events, 1500, "event_id", "shuffle_key").drop("shuffle_key")
 
 
+@query(
+    "q_b9_first_by_number",
+    """SELECT event_id, user_id, value FROM (SELECT *, row_number() OVER (ORDER BY user_id, event_id) AS rn FROM events)
+    WHERE rn <= 777""",
+)
+def first_by_number(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return sampling.first_rows_in_order(events, 777, "event_id", "user_id", range_rows=500)
+
+
+@query(
+    "q_b9_first_by_key",
+    "SELECT event_id, value FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM events) WHERE rn <= 650",
+)
+def first_by_key(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    return sampling.first_rows_in_order(events, 650, "event_id", range_rows=500)
+
+
 @query(
     "q_e1_dataset_statistics",
     f"""{_SELECTED}, sizes AS (SELECT target, count(*) AS n FROM selected GROUP BY target)

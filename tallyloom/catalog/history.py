@@ -41,7 +41,7 @@ ACCUMULATE = 4
         numbered AS (SELECT *, coalesce(sum(CASE WHEN closes THEN 1 ELSE 0 END) OVER (PARTITION BY run, epoch
             ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS step FROM marked)
     SELECT run, epoch, max(batch) AS last_batch,
-        CAST(sum(CASE WHEN finite THEN CAST(loss AS DECIMAL(28, 12)) END) AS DOUBLE) / {ACCUMULATE} AS step_loss
+        list_reduce(list(CAST(loss AS DOUBLE) ORDER BY batch) FILTER (finite), lambda x, y: x + y) / {ACCUMULATE} AS step_loss
     FROM numbered GROUP BY run, epoch, step
     HAVING bool_or(closes) AND NOT bool_or(closes AND rejected)""",
 )

@@ -28,7 +28,7 @@ def _report_sql(by: str = "") -> str:
 
 
 def _sum_sql(value: str) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(28, 12))) AS DOUBLE)"
+    return f"CAST(sum(CAST({value} AS DECIMAL(38, 18))) AS DOUBLE)"
 
 
 _MACRO_SQL = ", ".join(f"{_sum_sql(name)} / count(*) AS macro_{name}" for name in ("precision", "recall", "f1"))

@@ -115,20 +115,19 @@ def conversation(spark, sf_dir):
     ).select("p_partkey", "message", "role", "part", "_part.type", "_part.text", "_part.image")
 
 
-_RENDERED_SQL = """SELECT conv_id, turn // 1000 AS part, string_agg(
+_RENDERED_SQL = """SELECT conv_id, string_agg(
     concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)), '' ORDER BY turn) AS body
-    FROM conversations GROUP BY conv_id, turn // 1000"""
+    FROM conversations GROUP BY conv_id"""
 
 
-@query("q_c7_render_chat", f"SELECT conv_id, part, body AS rendered FROM ({_RENDERED_SQL})")
+@query("q_c7_render_chat", f"SELECT conv_id, body AS rendered FROM ({_RENDERED_SQL})")
 def render_chat(spark, sf_dir):
     return render_turns(table(spark, sf_dir, "conversations"))
 
 
 @query(
     "q_c7_render_for_generation",
-    f"""SELECT conv_id, part, concat(body, CASE WHEN part = max(part) OVER (PARTITION BY conv_id)
-        THEN concat('<|im_start|>assistant', chr(10)) ELSE '' END) AS rendered FROM ({_RENDERED_SQL})""",
+    f"SELECT conv_id, concat(body, '<|im_start|>assistant', chr(10)) AS rendered FROM ({_RENDERED_SQL})",
 )
 def render_for_generation(spark, sf_dir):
     return render_turns(table(spark, sf_dir, "conversations"), add_generation_prompt=True)

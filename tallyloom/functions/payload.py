@@ -67,12 +67,17 @@ def payload_of_string(cell: Column | str, exists: Column | str | None = None) ->
     letters = F.regexp_replace(body, "[^A-Za-z0-9+/=]+", "")
     decoded = F.when(looks_encoded & ~exists, F.try_to_binary(letters, F.lit("base64")))
 
+    # A long text is no path but a payload that does not decode: only its size and hash are reported.
+    named = F.when(F.length(cell) <= BASE64_LENGTH, cell).otherwise(
+        F.concat(F.lit("text of "), F.length(cell).cast("string"), F.lit(" characters, md5 "), F.md5(cell))
+    )
+
     def resolved(data: Column) -> Column:
         return (
             F.when(cell.isNull(), _refused("image is null"))
             .when(exists, _payload("path", path=cell))
             .when(F.octet_length(data) > 0, _payload("base64", payload=data))
-            .otherwise(_refused(F.concat(F.lit("no such image path: "), cell)))
+            .otherwise(_refused(F.concat(F.lit("no such image path: "), named)))
         )
 
     # The one-element array binds the decoded bytes, so that long texts are decoded once.

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.chat import ChatMarks, render_message
-from tallyloom.operators.ordered import join_groups, whole_part
-from tallyloom.sources.workspace import stage
+from tallyloom.operators.ordered import whole_part
 
 TURNS_PER_PART = 1000
 
@@ -22,24 +21,21 @@ def render_turns(
     marks: ChatMarks = ChatMarks(),
     turns_per_part: int = TURNS_PER_PART,
 ) -> DataFrame:
-    """Messages of a conversation in order of turn, as one string per part of the conversation.
+    """Messages of a conversation in order of turn, as one string per conversation.
 
-    A part covers ``turns_per_part`` turn numbers, so almost every conversation is part 0 and an
-    endless one does not end up in a single task or cell. Joining the parts in order gives the
-    whole text. ``turn`` is a whole number, unique within the conversation.
+    Turns are joined in parts of ``turns_per_part`` first, so that the turns of a long conversation
+    combine in many tasks; its parts are then joined in order. A conversation is one training
+    example and has to fit a cell. ``turn`` is a whole number, unique within the conversation.
     """
     lines = turns.select(
         conversation,
-        whole_part(turn, turns_per_part).alias("part"),
+        whole_part(turn, turns_per_part).alias("_part"),
         F.struct(F.col(turn).alias("turn"), render_message(role, text, marks).alias("line")).alias("_line"),
     )
-    parts = lines.groupBy(conversation, "part").agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
-    body = F.array_join(F.col("_lines.line"), "")
-    if not add_generation_prompt:
-        return parts.select(conversation, "part", body.alias("rendered"))
-    # Staged, so that the join either broadcasts the ends or can split a hot conversation.
-    ends = stage(lines.groupBy(conversation).agg(F.max("part").alias("_last")), "ends")
-    prompt = F.when(F.col("part") == F.col("_last"), F.lit(marks.generation_prompt)).otherwise(F.lit(""))
-    return join_groups(parts, ends, [conversation]).select(
-        conversation, "part", F.concat(body, prompt).alias("rendered")
-    )
+    parts = lines.groupBy(conversation, "_part").agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
+    parts = parts.select(conversation, F.struct("_part", F.array_join("_lines.line", "").alias("text")).alias("_text"))
+    whole = parts.groupBy(conversation).agg(F.array_sort(F.collect_list("_text")).alias("_texts"))
+    body = F.array_join("_texts.text", "")
+    if add_generation_prompt:
+        body = F.concat(body, F.lit(marks.generation_prompt))
+    return whole.select(conversation, body.alias("rendered"))

@@ -86,7 +86,7 @@ def accumulation_windows(
     rows = log.select(
         *by,
         F.col(batch).cast("bigint").alias("_batch"),
-        F.when(finite, F.col(loss)).cast("decimal(28,12)").alias("_loss"),
+        F.when(finite, F.struct(F.col(batch).cast("bigint").alias("batch"), F.col(loss).cast("double").alias("loss"))).alias("_loss"),
         mark.alias("_mark"),
         planned.cast("bigint").alias("_planned"),
     )
@@ -99,20 +99,22 @@ def accumulation_windows(
     nominal = (
         rows.withColumn("_window", F.expr(f"(_batch + {accumulate - 1}) div {accumulate}"))
         .groupBy(*by, "_window")
-        .agg(F.sum("_loss").alias("_sum"), F.max("_mark").alias("_mark"), F.max("_planned").alias("_planned"))
+        .agg(F.collect_list("_loss").alias("_losses"), F.max("_mark").alias("_mark"), F.max("_planned").alias("_planned"))
         .withColumn("_closes", (is_finite & (last % accumulate == 0)).cast("bigint"))
     )
     # An open window joins the following ones up to the first that closes.
     joined = running_before(nominal, by, "_window", "sum", "_closes", "_closed_before", chunk)
     steps = joined.groupBy(*by, F.coalesce("_closed_before", F.lit(0)).alias("_step")).agg(
-        F.sum("_sum").alias("_sum"),
+        F.array_sort(F.flatten(F.collect_list("_losses"))).alias("_losses"),
         F.max("_mark").alias("_mark"),
         F.max("_closes").alias("_closes"),
         F.max("_planned").alias("_planned"),
     )
     ended = (F.col("_closes") == 1) | F.coalesce(last == F.col("_planned"), F.col("_planned").isNull())
+    # The batches of one step, added in order: the same sum in any run, whatever the size of the losses.
+    added = F.aggregate("_losses", F.lit(0.0), lambda total, each: total + each["loss"])
     return steps.where(ended & is_finite & ~is_refused).select(
-        *by, last.alias("last_batch"), (F.col("_sum").cast("double") / accumulate).alias("step_loss")
+        *by, last.alias("last_batch"), (added / accumulate).alias("step_loss")
     )
 
 

@@ -82,7 +82,7 @@ def running_before(
     )
 
 
-def exact_sum(value: Column | str, places: int = 12) -> Column:
+def exact_sum(value: Column | str, places: int = 18) -> Column:
     """Sum of fractions that does not depend on the order of the rows."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.sum(value.cast(f"decimal(28,{places})")).cast("double")
+    return F.sum(value.cast(f"decimal(38,{places})")).cast("double")

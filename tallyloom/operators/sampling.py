@@ -40,6 +40,8 @@ from tallyloom.sources.workspace import stage
 # Rows of a class that are ranked together, and the most buckets that classes are cut into.
 BUCKET_ROWS = 1000
 MOST_BUCKETS = 100_000
+# Rows of a range of the order in which the n-th row is looked for.
+RANGE_ROWS = 1_000_000
 # A top-n sort moves n rows per input task into its last task, so it is kept for a handful of rows.
 SORTED_LIMIT = 20
 # One task can sort this many rows without trouble, even if they are all of one class.
@@ -329,16 +331,29 @@ def first_rows_in_order(
     n: int | None,
     key: str | Sequence[str],
     shuffle_key: str | None = None,
-    window_rows: int = WINDOW_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """The first ``n`` rows by ``shuffle_key`` (then ``key``), or by ``key``; 0 or None is all.
 
-    Order by the shuffle key when ``n`` is large: hash values are evenly spread, so the cut is
-    found without sorting the table.
+    The order columns alone are dealt into ranges of their order, whatever their type. Counts tell
+    which range holds the n-th row, only that range is ranked, and rows are filtered in place
+    against the row found. The ranges need not be even for the cut to be exact.
     """
     if not n:
         return df
-    key = _keys(key)
-    if shuffle_key is None:
-        return df.orderBy(*key).limit(n)
-    return _first_by_hash(df.withColumn("_hash", F.col(shuffle_key)), n, key, window_rows).select(*df.columns)
+    order = list(dict.fromkeys([*([shuffle_key] if shuffle_key else []), *_keys(key)]))
+    total = df.count()
+    if n >= total:
+        return df
+    ranged = df.select(*order).repartitionByRange(total // range_rows + 1, *order)
+    ranged = stage(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    here = counts.where((F.col("_before") < n) & (F.col("_before") + F.col("_rows") >= n)).first()
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    inside = ranged.where(F.col("_range") == here["_range"]).withColumn("_rank", rank)
+    edge = inside.where(F.col("_rank") == n - here["_before"]).select(*order).first()
+    cut = F.struct(*[F.lit(edge[name]).cast(df.schema[name].dataType).alias(name) for name in order])
+    return df.where(F.struct(*order) <= cut)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,9 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only for a local master."""
+    """The checkpoint folder of the session, or a folder of its warehouse, which is shared as well."""
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

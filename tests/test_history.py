@@ -100,3 +100,10 @@ def test_wait_share(spark):
         rows = {row.run: tuple(row)[1:] for row in history.wait_share(df, F.col("ready"), chunk=chunk).collect()}
         assert rows["a"] == (9.0, 1.0, 90.0)
         assert rows["b"] == (0.0, 0.0, 0.0)
+
+
+def test_accumulation_of_huge_and_tiny_losses(spark):
+    rows = [("r", 0, 1, 1e17), ("r", 0, 2, 1.0), ("r", 0, 3, 1e-13), ("r", 0, 4, 2e-13)]
+    df = spark.createDataFrame(rows, "run string, epoch int, batch int, loss double")
+    found = sorted(row.step_loss for row in history.accumulation_windows(df, 2, total_batches=4).collect())
+    assert found == [(1e-13 + 2e-13) / 2, (1e17 + 1.0) / 2]

@@ -150,12 +150,22 @@ def test_first_rows_in_order(spark):
     df = sampling.with_shuffle_key(spark.range(4000), "id")
     wanted = ranked([(key,) for key in range(4000)], "shuffle")
     for n in (7, 1800):
-        for window_rows in PATHS:
-            found = sampling.first_rows_in_order(df, n, "id", "shuffle_key", window_rows).collect()
+        for range_rows in (100, 10**6):
+            found = sampling.first_rows_in_order(df, n, "id", "shuffle_key", range_rows).collect()
             assert {row["id"] for row in found} == {key for key, in wanted[:n]}
-    assert [row["id"] for row in sampling.first_rows_in_order(df, 3, "id").collect()] == [0, 1, 2]
+    assert {row["id"] for row in sampling.first_rows_in_order(df, 3, "id").collect()} == {0, 1, 2}
     assert sampling.first_rows_in_order(df, 0, "id").count() == 4000
 
 
+@pytest.mark.parametrize("made", ["id * 7919 % 4001 - 2000", "IF(id % 5 = 0, NULL, id % 3)", "concat('g', id % 97)", "id / 7D"])
+def test_first_rows_by_any_column(spark, made):
+    df = spark.range(4000).selectExpr("id", f"{made} AS place")
+    order = sorted(df.collect(), key=lambda row: (row.place is not None, row.place, row.id) if row.place is not None else (False, 0, row.id))
+    for n in (1, 1234, 3999, 5000):
+        found = sampling.first_rows_in_order(df, n, "id", "place", 300)
+        assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {row.id for row in found.collect()} == {row.id for row in order[:n]}
+
+
 def test_total_cap():
     assert sampling.total_cap() == 222222

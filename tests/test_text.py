@@ -188,3 +188,13 @@ def test_conversation_shape(spark):
     ]
     assert with_answer[1].content[0].text == "a"
     assert len(bare) == 1
+
+
+def test_long_conversations_stay_one_row(spark):
+    from tallyloom.operators.conversations import render_turns
+
+    turns = spark.range(2500).selectExpr("1 AS conv_id", "2499 - id AS turn", "'user' AS role", "concat('t', 2499 - id) AS text")
+    found = render_turns(turns.repartition(7), add_generation_prompt=True).collect()
+    assert len(found) == 1
+    lines = [f"<|im_start|>user\nt{i}<|im_end|>\n" for i in range(2500)]
+    assert found[0].rendered == "".join(lines) + "<|im_start|>assistant\n"
