@@ -236,58 +236,52 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
 
 
 def chunked(docs: DataFrame, text: str, size: int, path: str | None) -> DataFrame:
-    """``row, chunk, last, ids, part, transfer`` per chunk; ordinary texts are one chunk that is already encoded."""
-    kinds = [("chunk", pa.int64()), ("last", pa.bool_()), ("ids", pa.binary()), ("part", pa.string()), ("transfer", pa.binary())]
-    schema = "row long, chunk long, last boolean, ids binary, part string, transfer binary"
+    """``__row, chunk, last, part, transfer``: the chunks of giant texts with their transfer matrices."""
+    kinds = [("chunk", pa.int64()), ("last", pa.bool_()), ("part", pa.string()), ("transfer", pa.binary())]
+    schema = "__row long, chunk long, last boolean, part string, transfer binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*rows))
-            arrays = [pa.array(columns[0], pa.int64()), *[pa.array(c, k) for c, (_, k) in zip(columns[1:], kinds)]]
-            return pa.RecordBatch.from_arrays(arrays, names=["row", *[name for name, _ in kinds]])
-
         for batch in batches:
-            rows, held = [], 0
             for row, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                whole = marked(raw.as_py())
-                if len(whole) <= size:
-                    rows.append((row, 0, True, words.encode(whole), None, None))
-                    held += len(whole)
-                else:
-                    for start in range(0, len(whole), size):
-                        part = whole[start : start + size + words.longest - 1]
-                        inside = min(size, len(whole) - start)
-                        matrix = words.transfer(part, inside)
-                        rows.append((row, start // size, start + size >= len(whole), None, part, matrix.tobytes()))
-                        held += len(part)
-                if held > 1 << 23 or len(rows) >= 5000:
-                    yield out(rows)
-                    rows, held = [], 0
-            if rows:
-                yield out(rows)
-
-    return docs.select("row", text).mapInArrow(work, schema)
+                whole, rows = marked(raw.as_py()), []
+                for start in range(0, len(whole), size):
+                    part = whole[start : start + size + words.longest - 1]
+                    matrix = words.transfer(part, min(size, len(whole) - start))
+                    rows.append((start // size, start + size >= len(whole), part, matrix.tobytes()))
+                columns = [pa.array(column, kind) for column, (_, kind) in zip(zip(*rows), kinds)]
+                rows_of = pa.array([row] * len(rows), pa.int64())
+                yield pa.RecordBatch.from_arrays([rows_of, *columns], names=["__row", *[name for name, _ in kinds]])
+
+    return docs.select("__row", text).mapInArrow(work, schema)
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CHUNK, path: str | None = None) -> DataFrame:
-    """``docs`` with ``ids``: little-endian unsigned 32-bit numbers."""
+    """``docs`` with ``ids``: little-endian unsigned 32-bit numbers. Only texts of ``size`` characters or more are
+    written and shuffled, as chunks."""
     if size < 64:
         raise ValueError("chunks must be longer than any piece")
-    docs = stage(docs.withColumn("row", F.monotonically_increasing_id()), "pieces") if "row" not in docs.columns else docs
-    chunks = stage(chunked(docs, text, size, path), "pieces")
-    giant = chunks.where(F.col("transfer").isNotNull())
+
+    @F.pandas_udf("binary")
+    def whole_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = vocabulary(path)
+        for texts in batches:
+            yield pd.Series([words.encode(marked(each)) for each in texts.tolist()], dtype=object)
+
+    long = F.coalesce(F.char_length(text) >= size, F.lit(False))
+    ordinary = docs.where(~long).withColumn(ids, whole_texts(text))
+    giant = stage(docs.where(long).withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    chunks = stage(chunked(giant, text, size, path), "pieces")
 
     def scan(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("chunk")
         matrices = [np.frombuffer(m, dtype=np.int64) for m in rows["transfer"]]
         matrices = [m.reshape(round(len(m) ** 0.5), -1) for m in matrices]
         states = boundary_states(matrices)
-        return pd.DataFrame({"row": rows["row"], "chunk": rows["chunk"], "enter": states[:-1], "leave": states[1:]})
+        return pd.DataFrame({"__row": rows["__row"], "chunk": rows["chunk"], "enter": states[:-1], "leave": states[1:]})
 
-    states = giant.select("row", "chunk", "transfer").groupBy("row").applyInPandas(
-        scan, "row long, chunk long, enter int, leave int"
+    states = chunks.select("__row", "chunk", "transfer").groupBy("__row").applyInPandas(
+        scan, "__row long, chunk long, enter int, leave int"
     )
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,17 +292,16 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CH
                 inside = len(part) if last else min(size, len(part))
                 found.append(words.between(part, inside, enter, leave))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "chunk", "ids"]
+                [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["__row", "chunk", "__ids"]
             )
 
-    traced = giant.select("row", "chunk", "part", "last").join(states, ["row", "chunk"])
-    traced = traced.select("row", "chunk", "part", "last", "enter", "leave").mapInArrow(trace, "row long, chunk long, ids binary")
+    traced = chunks.select("__row", "chunk", "part", "last").join(states, ["__row", "chunk"])
+    traced = traced.select("__row", "chunk", "part", "last", "enter", "leave")
+    traced = traced.mapInArrow(trace, "__row long, chunk long, __ids binary")
     # A document's chunks are as long as its own ids, which must fit a cell anyway.
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda c: F.hex(c["ids"]))
-    whole = traced.groupBy("row").agg(F.unhex(F.array_join(ordered, "")).alias("ids"))
-    whole = chunks.where(F.col("transfer").isNull()).select("row", "ids").unionByName(whole)
-    whole = whole.withColumnRenamed("ids", "__ids")
-    return docs.join(whole, "row").drop("row").withColumnRenamed("__ids", ids)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "__ids"))), lambda c: F.hex(c["__ids"]))
+    whole = traced.groupBy("__row").agg(F.unhex(F.array_join(ordered, "")).alias(ids))
+    return ordinary.unionByName(giant.join(whole, "__row").select(*docs.columns, ids))
 
 
 def decode(ids: Column | str, path: str | None = None) -> Column:
