@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tallyloom.llm.common import Known, vocabulary_path
 from tallyloom.sources.workspace import stage
@@ -262,14 +263,18 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CH
     if size < 64:
         raise ValueError("chunks must be longer than any piece")
 
-    @F.pandas_udf("binary")
-    def whole_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    place = docs.columns.index(text)
+
+    def whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for texts in batches:
-            yield pd.Series([words.encode(marked(each)) for each in texts.tolist()], dtype=object)
+        for batch in batches:
+            found = [words.encode(marked(each)) for each in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=names)
 
     long = F.coalesce(F.char_length(text) >= size, F.lit(False))
-    ordinary = docs.where(~long).withColumn(ids, whole_texts(text))
+    names = [*docs.columns, ids]
+    # Not a column function: those are evaluated again inside each function that reads them.
+    ordinary = docs.where(~long).mapInArrow(whole_texts, StructType([*docs.schema.fields, StructField(ids, BinaryType())]))
     giant = stage(docs.where(long).withColumn("__row", F.monotonically_increasing_id()), "pieces")
     chunks = stage(chunked(giant, text, size, path), "pieces")
 
