@@ -240,12 +240,15 @@ def extract(
     """``pages`` with the markup replaced by the main text."""
     host = F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     kept = [name for name in pages.columns if name not in (page, text)]
-    # Deal pages out: parsing is the work, and files may hold many long pages.
     hosted = pages.select(page, *kept).withColumn("__host", host)
     parsed = stage(parsed_pages(hosted, page, "__host").withColumn("__page", F.monotonically_increasing_id()), "pages")
     templates = stage(site_templates(parsed, least_pages, least_share), "templates")
-    inside = parsed.select("__page", "__host", F.explode("__hashes").alias("hash"))
+    # Most pages mark their article, and then no countable element is around their text: they need no join.
+    bare = ~F.exists("__blocks", lambda b: F.size(b["around"]) > 0)
+    around = F.array_distinct(F.flatten(F.transform("__blocks", lambda b: b["around"])))
+    inside = parsed.where(~bare).select("__page", "__host", F.explode(around).alias("hash"))
     marks = inside.join(templates, ["__host", "hash"]).groupBy("__page").agg(F.collect_set("hash").alias("__template"))
-    marked = parsed.join(marks, "__page", "left")
+    marked = parsed.where(~bare).join(marks, "__page", "left")
     found = F.filter("__blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("__template")), F.lit(False)))
-    return marked.select(*kept, F.array_join(F.transform(found, lambda b: b["text"]), "\n").alias(text))
+    rest = marked.select(*kept, found.alias("__blocks")).unionByName(parsed.where(bare).select(*kept, "__blocks"))
+    return rest.select(*kept, F.array_join(F.transform("__blocks", lambda b: b["text"]), "\n").alias(text))
