@@ -6,7 +6,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from tallyloom.catalog import QUERIES
 from tallyloom.functions import text
 from tallyloom.operators import metrics, sampling
 from tallyloom.sources.shards import scan_metadata, table_profile
@@ -17,9 +17,9 @@ SF_DIR = "/root/testdata/sf0.001"
 PYTHON = {"q_d2_header_check", "q_d4_read_in_tasks", "q_d6_preprocess_images", "q_e15_job_tallies", "q_u1_batch_scoring", "q_u2_transcode"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairwise_joins_and_no_stray_python(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     python = re.search("Python|InPandas|ArrowEval", plan) is not None
     # The conversions of D6 and E15 have run by the time the result is read.
@@ -43,7 +43,7 @@ def test_filters_reach_the_scan(spark):
 
 def test_text_work_needs_no_shuffle(spark):
     for name in ("q_c5_answer_text", "q_c9_extract_fields", "q_c14_loss_mask", "q_e12_evaluation_records", "q_e13_failures"):
-        assert "Exchange" not in plan_of(queries()[name](spark, SF_DIR)), name
+        assert "Exchange" not in plan_of(QUERIES[name](spark, SF_DIR)), name
 
 
 def test_wide_rows_are_not_shuffled_to_be_sampled(spark):
