@@ -100,9 +100,9 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document as count and CRC-32, and whether they decode to the text again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = piece_scan.encode(docs)
+    encoded = piece_scan.encode(docs, decoded="decoded")
     # Marks in a text are read as spaces, which is what the vocabulary can say.
-    same = F.coalesce(F.replace("text", F.lit(piece_scan.MARK), F.lit(" ")), F.lit("")) == piece_scan.decode("ids")
+    same = F.coalesce(F.replace("text", F.lit(piece_scan.MARK), F.lit(" ")), F.lit("")) == F.col("decoded")
     return encoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_ids"),

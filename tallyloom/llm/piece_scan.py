@@ -6,7 +6,8 @@ mark U+2581 with one before the text, a character no piece covers costs ten belo
 byte pieces. Scores are whole numbers, so sums are exact whatever the order.
 
 **Ordinary texts.** No piece but a run of marks has a mark inside, so every best segmentation cuts before
-each run of marks; each unit between two such cuts is solved once per bounded table.
+each run of marks; each unit between two such cuts is solved once per bounded table, by the Unigram model of the
+``tokenizers`` package over the same pieces and scores: it settles ties and unknown characters alike.
 
 **Giant texts** are cut into chunks of ``CHUNK`` characters anywhere. A chunk's *boundary state* is how far the first cut
 at or after the boundary lies behind it (less than the longest piece). Pass 1 gives for each chunk the *transfer matrix*:
@@ -26,21 +27,23 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tallyloom.llm.common import Known, vocabulary_path
 from tallyloom.sources.workspace import stage
 
 VOCABULARY = "piece_bpe_32k.model"
 CHUNK = 1 << 15
-UNITS_KEPT = 600_000
+UNITS_KEPT = 120_000
+# Bytes of ids after which a task hands rows on.
+BATCH_BYTES = 1 << 22
 MARK = "▁"
 UNKNOWN_PENALTY = 10
 FINAL_MARKS = ".,;:!?*#$%&|"
@@ -62,11 +65,12 @@ class Vocabulary:
         self.byte_of = {i: byte for byte, i in self.bytes.items()}
         self.silent = {i for i in range(len(self.names)) if model.is_control(i)}
         self.unknown = model.unk_id()
+        # An ASCII byte is a character of its own whatever stands beside it; the other ids cannot simply be joined.
+        self.texts = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else name for i, name in enumerate(self.names)]
+        self.unlike = np.zeros(len(self.names), dtype=bool)
+        self.unlike[[*(i for i, byte in self.byte_of.items() if byte > 127), *self.silent, self.unknown]] = True
         plain = [i for i in range(len(self.names)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.pieces = {self.names[i]: (round(model.get_score(i)), i) for i in plain}
-        # Every beginning of a piece, with the score where it is one itself.
-        self.beginnings = {piece[:k]: LOW for piece in self.pieces for k in range(1, len(piece))}
-        self.beginnings.update((piece, score) for piece, (score, _) in self.pieces.items())
         self.longest = max(map(len, self.pieces))
         self.lost = min(score for score, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.ids = Known(self.solve_unit)
@@ -74,6 +78,33 @@ class Vocabulary:
         joined = {b for piece in self.pieces for a, b in zip(piece, piece[1:]) if a.isalnum()}
         self.apart = set(FINAL_MARKS) - joined
 
+    # Only workers that encode build what follows, and only those with giant texts all of it.
+
+    @cached_property
+    def beginnings(self) -> dict[str, int]:
+        """Every beginning of a piece, with the score where it is one itself."""
+        found = {piece[:k]: LOW for piece in self.pieces for k in range(1, len(piece))}
+        found.update((piece, score) for piece, (score, _) in self.pieces.items())
+        return found
+
+    @cached_property
+    def unigram(self):
+        """Place 0 stands for what no piece covers; its name holds a space, which no marked text has."""
+        from tokenizers.models import Unigram
+
+        listed = [(f"{MARK} {MARK}", 0.0), *((piece, float(score)) for piece, (score, _) in self.pieces.items())]
+        return Unigram(listed, 0, False)
+
+    @cached_property
+    def numbers(self) -> list[bytes]:
+        """Packed id by place in the unigram model."""
+        return [b"", *(packed([i]) for _, i in self.pieces.values())]
+
+    @cached_property
+    def gains(self) -> list[int]:
+        """Score by place in the unigram model."""
+        return [0, *(score for score, _ in self.pieces.values())]
+
     def spelled(self, char: str) -> list[int]:
         """Ids of a character that is no piece."""
         if not self.bytes:
@@ -119,13 +150,17 @@ class Vocabulary:
         core = self.core(unit)
         if len(core) < len(unit):
             return known[core] + known[unit[len(core) :]]
-        return packed(self.trace(unit, 0, len(unit), self.best(unit, 0, len(unit))[1]))
+        tokens = self.unigram.tokenize(unit)
+        return b"".join(
+            [self.numbers[t.id] if t.id else packed([i for c in t.value for i in self.spelled(c)]) for t in tokens]
+        )
 
     def score_unit(self, unit: str, known: Known) -> int:
         core = self.core(unit)
         if len(core) < len(unit):
             return known[core] + known[unit[len(core) :]]
-        return self.best(unit, 0, len(unit))[0][-1]
+        tokens = self.unigram.tokenize(unit)
+        return sum(self.gains[t.id] if t.id else self.lost * len(t.value) for t in tokens)
 
     def core(self, unit: str) -> str:
         """The unit without its final marks, if no piece can span the place before them."""
@@ -192,6 +227,8 @@ class Vocabulary:
         )
 
     def decode(self, ids: np.ndarray) -> str:
+        if not self.unlike[ids].any():
+            return "".join(map(self.texts.__getitem__, ids.tolist())).replace(MARK, " ").removeprefix(" ")
         out: list[str] = []
         held = bytearray()
         for i in ids.tolist():
@@ -213,6 +250,19 @@ def vocabulary(path: str | None = None) -> Vocabulary:
     return Vocabulary(path or vocabulary_path(VOCABULARY))
 
 
+def in_parts(batch: pa.RecordBatch, ids_of) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of a batch with the ids of their rows, about ``BATCH_BYTES`` of ids each: one text at a time is a Python object."""
+    found, size, begin = [], 0, 0
+    for row in zip(*batch.columns):
+        found.append(ids_of(row))
+        size += len(found[-1])
+        if size >= BATCH_BYTES:
+            yield batch.slice(begin, len(found)), pa.array(found, pa.binary())
+            begin, found, size = begin + len(found), [], 0
+    if found:
+        yield batch.slice(begin), pa.array(found, pa.binary())
+
+
 def marked(text: str | None) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
@@ -257,9 +307,17 @@ def chunked(docs: DataFrame, text: str, size: int, path: str | None) -> DataFram
     return docs.select("__row", text).mapInArrow(work, schema)
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CHUNK, path: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    text: str = "text",
+    ids: str = "ids",
+    size: int = CHUNK,
+    path: str | None = None,
+    decoded: str | None = None,
+) -> DataFrame:
     """``docs`` with ``ids``: little-endian unsigned 32-bit numbers. Only texts of ``size`` characters or more are
-    written and shuffled, as chunks."""
+    written and shuffled, as chunks. A name for ``decoded`` adds what the ids decode to, for ordinary texts without a second
+    Python worker."""
     if size < 64:
         raise ValueError("chunks must be longer than any piece")
 
@@ -268,13 +326,15 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CH
     def whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            found = [words.encode(marked(each)) for each in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=names)
+            for rows, found in in_parts(batch, lambda row: words.encode(marked(row[place].as_py()))):
+                more = [decoded_texts(words, found)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*rows.columns, found, *more], names=names)
 
     long = F.coalesce(F.char_length(text) >= size, F.lit(False))
-    names = [*docs.columns, ids]
+    added = [StructField(ids, BinaryType()), *([StructField(decoded, StringType())] if decoded else [])]
+    names = [*docs.columns, *(field.name for field in added)]
     # Not a column function: those are evaluated again inside each function that reads them.
-    ordinary = docs.where(~long).mapInArrow(whole_texts, StructType([*docs.schema.fields, StructField(ids, BinaryType())]))
+    ordinary = docs.where(~long).mapInArrow(whole_texts, StructType([*docs.schema.fields, *added]))
     giant = stage(docs.where(long).withColumn("__row", F.monotonically_increasing_id()), "pieces")
     chunks = stage(chunked(giant, text, size, path), "pieces")
 
@@ -292,13 +352,13 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CH
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            found = []
-            for part, last, enter, leave in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
-                inside = len(part) if last else min(size, len(part))
-                found.append(words.between(part, inside, enter, leave))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["__row", "chunk", "__ids"]
-            )
+
+            def traced(row: tuple) -> bytes:
+                part, last, enter, leave = (each.as_py() for each in row[2:])
+                return words.between(part, len(part) if last else min(size, len(part)), enter, leave)
+
+            for rows, found in in_parts(batch, traced):
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), found], names=["__row", "chunk", "__ids"])
 
     traced = chunks.select("__row", "chunk", "part", "last").join(states, ["__row", "chunk"])
     traced = traced.select("__row", "chunk", "part", "last", "enter", "leave")
@@ -306,16 +366,22 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", size: int = CH
     # A document's chunks are as long as its own ids, which must fit a cell anyway.
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "__ids"))), lambda c: F.hex(c["__ids"]))
     whole = traced.groupBy("__row").agg(F.unhex(F.array_join(ordered, "")).alias(ids))
-    return ordinary.unionByName(giant.join(whole, "__row").select(*docs.columns, ids))
+    solved = giant.join(whole, "__row").select(*docs.columns, ids)
+    return ordinary.unionByName(solved.withColumn(decoded, decode(ids, path)) if decoded else solved)
+
+
+def decoded_texts(words: Vocabulary, ids: pa.Array) -> pa.Array:
+    views = (np.frombuffer(raw.as_buffer() if raw.is_valid else b"", dtype="<u4") for raw in ids)
+    return pa.array((words.decode(view) for view in views), pa.string(), size=len(ids))
 
 
 def decode(ids: Column | str, path: str | None = None) -> Column:
     """Text of an ids column."""
 
-    @F.pandas_udf("string")
-    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = vocabulary(path)
         for each in batches:
-            yield pd.Series([words.decode(np.frombuffer(raw or b"", dtype="<u4")) for raw in each], dtype=object)
+            yield decoded_texts(words, each)
 
     return texts(ids)
