@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, table
@@ -187,6 +189,33 @@ def pointer_lookup(spark, sf_dir):
     return cells.select("doc_id", F.md5("text").alias("digest"))
 
 
+def _manifest_by_path(spark, sf_dir):
+    """Pointers with paths as a user writes them, without a scheme."""
+    return document_scan(spark, sf_dir, ("doc_id",)).withColumn(FILE_COLUMN, images.plain_path(FILE_COLUMN))
+
+
+@query("q_d4_plain_paths", "SELECT doc_id, md5(text) AS digest FROM documents")
+def plain_paths(spark, sf_dir):
+    cells = images.fetch_cells(spark, _manifest_by_path(spark, sf_dir), f"{sf_dir}/documents.parquet", "text")
+    return cells.select("doc_id", F.md5("text").alias("digest"))
+
+
+@query(
+    "q_d5_resolve_then_fetch",
+    "SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN md5(text) END AS digest FROM documents",
+)
+def resolve_then_fetch(spark, sf_dir):
+    """References below the data folder, some of them wrong, resolved against its listing and then read."""
+    root = re.sub("^file:/+", "/", sf_dir).rstrip("/")
+    below = F.replace(FILE_COLUMN, F.lit(f"{root}/"), F.lit(""))
+    refs = F.when(F.col("doc_id") % 5 != 0, below).otherwise(F.concat(F.lit("gone/"), below, F.lit(".old")))
+    manifest = _manifest_by_path(spark, sf_dir).withColumn(FILE_COLUMN, refs)
+    listing = document_scan(spark, sf_dir, ()).select(FILE_COLUMN).distinct()
+    found = images.resolve_pointers(manifest, listing, root, FILE_COLUMN)
+    cells = images.fetch_cells(spark, found, f"{sf_dir}/documents.parquet", "text")
+    return cells.select("doc_id", F.md5("text").alias("digest"))
+
+
 _TAIL = "concat(CAST(page_id % 40 AS VARCHAR), '-', length(url), '.parquet')"
 
 

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyarrow import ArrowInvalid
 from pyarrow.fs import FileSystem
 from pyarrow.parquet import ParquetFile
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +65,18 @@ def resolve_paths(
     )
 
 
+def resolve_pointers(
+    manifest: DataFrame, listing: DataFrame, data_dir: str | None = None, path: str = "path"
+) -> DataFrame:
+    """The manifest with each file reference replaced by the listed path it stands for (D5), ready for D4.
+
+    References without a match stay as they are. One row per distinct reference joins back.
+    """
+    found = resolve_paths(manifest, FILE_COLUMN, listing, data_dir, path)
+    placed = manifest.join(found.select(FILE_COLUMN, F.col("resolved").alias("_resolved")), FILE_COLUMN, "left")
+    return placed.withColumn(FILE_COLUMN, F.col("_resolved")).select(*manifest.columns)
+
+
 def _source_cells(spark: SparkSession, paths: str | Sequence[str], column: str) -> DataFrame:
     return (
         spark.read.option("recursiveFileLookup", True)
@@ -87,7 +100,7 @@ def fetch_cells(
 ) -> DataFrame:
     """The manifest with the cell its pointer names; null where there is none.
 
-    Reads ``column`` alone. When the manifest touches few files, they are named in a filter that
+    Files may be named by path or by URI: local ones are compared without their scheme. Reads ``column`` alone. When the manifest touches few files, they are named in a filter that
     keeps the scan from opening the others. Pointers are then written as 8-byte hashes; when they
     take no more than ``pointer_bytes`` they are broadcast to drop unwanted cells during the scan,
     so that only wanted cells can meet a shuffle. The join proper compares file and ordinal,
@@ -95,18 +108,22 @@ def fetch_cells(
     pointers instead of cells.
     """
     source = _source_cells(spark, paths, column)
+    file = plain_path(FILE_COLUMN)
     if listed_files:
-        files = manifest.select(FILE_COLUMN).distinct().limit(listed_files + 1).collect()
+        files = manifest.select(file).distinct().limit(listed_files + 1).collect()
         if len(files) <= listed_files:
-            source = source.where(F.col(FILE_COLUMN).isin([row[0] for row in files if row[0] is not None]))
-    pointer = F.xxhash64(F.col(FILE_COLUMN), F.col(ORDINAL_COLUMN).cast("bigint")).alias("_pointer")
+            source = source.where(file.isin([row[0] for row in files if row[0] is not None]))
+    pointer = F.xxhash64(file, F.col(ORDINAL_COLUMN).cast("bigint")).alias("_pointer")
     written = write_once(manifest.select(pointer).distinct(), "pointers")
     size = list_files(spark, written, "*.parquet").agg(F.sum("n_bytes")).first()[0] or 0
     if size <= pointer_bytes:
         wanted = spark.read.schema("_pointer bigint").parquet(written)
         source = source.withColumn("_pointer", pointer).join(F.broadcast(wanted), "_pointer", "left_semi")
         source = source.drop("_pointer")
-    return manifest.join(source, [FILE_COLUMN, ORDINAL_COLUMN], "left")
+    source = source.withColumn(FILE_COLUMN, file).withColumnRenamed(FILE_COLUMN, "_file")
+    others = [name for name in manifest.columns if name not in (FILE_COLUMN, ORDINAL_COLUMN)]
+    joined = manifest.withColumn("_file", file).join(source, ["_file", ORDINAL_COLUMN], "left")
+    return joined.select(FILE_COLUMN, ORDINAL_COLUMN, *others, column)
 
 
 def read_cells(
@@ -120,7 +137,8 @@ def read_cells(
 
     Rows are grouped by file and range of ordinals, so a file that holds most of the rows is read
     by many tasks. Each opens the file, skips row groups it does not need and streams the others.
-    Needs storage that pyarrow can open. A file or row that is gone gives null.
+    Needs storage that pyarrow can open. A file or row that is gone gives null, and so does a file that is not Parquet:
+    a broken file costs its own rows only.
     """
     kind = _source_cells(manifest.sparkSession, paths, column).schema[column]
     schema = StructType([*manifest.schema.fields, kind])
@@ -135,7 +153,7 @@ def read_cells(
         try:
             files, path = FileSystem.from_uri(re.sub("^s3a:", "s3:", file))
             return ParquetFile(files.open_input_file(path))
-        except FileNotFoundError:
+        except (FileNotFoundError, ArrowInvalid):
             return None
 
     def cells(source: ParquetFile, wanted: set[int]) -> Iterator[tuple[int, object]]:

@@ -101,6 +101,28 @@ def test_resolve_paths(spark):
     }
 
 
+def test_resolved_pointers_lead_to_cells(spark, tmp_path):
+    shards = write_shards(spark, tmp_path)
+    scan = scan_metadata(spark, shards, ["label"])
+    moved = scan.withColumn("shard_path", F.concat(F.lit("/old/place/"), F.substring_index("shard_path", "/", -1)))
+    listing = scan.select("shard_path").distinct()
+    found = images.resolve_pointers(moved, listing, shards, "shard_path")
+    cells = images.fetch_cells(spark, found, shards).collect()
+    assert len(cells) == 40 and all(row.image is not None for row in cells)
+    unknown = images.resolve_pointers(moved, listing, "/nowhere", "shard_path")
+    assert [row.image for row in images.fetch_cells(spark, unknown, shards).collect()] == [None] * 40
+
+
+def test_a_broken_file_costs_its_own_rows(spark, tmp_path):
+    shards = write_shards(spark, tmp_path)
+    scan = scan_metadata(spark, shards, ["label"])
+    broken = tmp_path / "broken.parquet"
+    broken.write_bytes(b"no table at all")
+    lost = scan.limit(2).withColumn("shard_path", F.lit(f"file://{broken}"))
+    cells = images.read_cells(scan.unionByName(lost), shards).collect()
+    assert len(cells) == 42 and sum(row.image is None for row in cells) == 2
+
+
 def write_shards(spark, folder, n=40, files=4):
     rows = [(f"name {at}", bytes([at]) * (600 if at % 10 else 0)) for at in range(n)]
     df = spark.createDataFrame(rows, "label string, image binary").repartition(files, "label")
@@ -115,6 +137,9 @@ def test_pointers_lead_back_to_their_rows(spark, tmp_path):
     assert "image" not in scan._jdf.queryExecution().executedPlan().toString()
     ways = [images.fetch_cells(spark, scan, shards, "image", listed) for listed in (0, 1, 1000)]
     ways += [images.fetch_cells(spark, scan, shards, pointer_bytes=0)]
+    by_path = scan.withColumn("shard_path", images.plain_path("shard_path"))
+    assert not by_path.where("shard_path LIKE 'file:%'").count()
+    ways += [images.fetch_cells(spark, by_path, shards, "image", listed) for listed in (0, 1000)]
     ways += [images.read_cells(scan, shards, rows_per_task=size, batch_rows=3) for size in (1, 4, 100)]
     for way in ways:
         assert way.columns[-1] == "image"
