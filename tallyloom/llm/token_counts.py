@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.word_tokens import word_tokens
+from tallyloom.sources.workspace import stage
 
 RANGE = 1024
 
@@ -42,6 +43,8 @@ def length_histogram(docs: DataFrame, text: str = "text", extra: int = 0, path:
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
     """One row per length L with totals of the documents of at least L tokens, and totals truncated at L."""
+    # Read twice below; without this, each reading would encode all documents.
+    histogram = stage(histogram, "lengths")
     bucket = F.floor(F.col("n_tokens") / RANGE).alias("bucket")
     totals = (
         histogram.groupBy(bucket)
