@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyloom.constants import UNKNOWN
 from tallyloom.functions.text import exact_match, normalize_label
 from tallyloom.operators.ordered import exact_sum
+from tallyloom.sources.workspace import stage
 
 # Names of the ten summary scores, in report order.
 SCORES = [
@@ -234,8 +235,11 @@ def confusion_matrix(counts: DataFrame, k: int = MATRIX_CLASSES) -> DataFrame:
     """Counts between the ``k`` classes of largest support, zeros included, in long form.
 
     Pairs with another class are left out; fewer than two classes give no matrix. The frame of
-    cells grows from the one array of class names, so it has at most ``k`` squared rows.
+    cells grows from the one array of class names, so it has at most ``k`` squared rows. The pairs
+    are counted and written once, as both the ranking and the cells read them.
     """
+    sums = [F.sum(name).alias(name) for name in ("n", "n_exact")]
+    counts = stage(counts.groupBy("gt", "pred").agg(*sums), "pairs")
     top = (
         class_tallies(counts)
         .orderBy(F.desc("support"), "class")
@@ -246,8 +250,7 @@ def confusion_matrix(counts: DataFrame, k: int = MATRIX_CLASSES) -> DataFrame:
     cells = top.select("classes", F.explode("classes").alias("gt")).select(
         "gt", F.explode("classes").alias("pred")
     )
-    found = counts.groupBy("gt", "pred").agg(F.sum("n").alias("n"))
-    return cells.join(found, ["gt", "pred"], "left").select(
+    return cells.join(counts.drop("n_exact"), ["gt", "pred"], "left").select(
         F.col("gt").alias("ground_truth"),
         F.col("pred").alias("predicted"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
