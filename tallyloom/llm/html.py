@@ -1,15 +1,17 @@
 """Main text of web pages by site template removal.
 
 **Pass 1** parses each page once and writes its text blocks. Every element gets a hash of its whole subtree (tag, attributes,
-text, children). A block remembers the hashes of the elements it lies in.
-**Templates.** Spark counts on how many pages of its host each subtree occurs, combined on the map side; subtrees on at least
-``LEAST_PAGES`` pages and ``LEAST_SHARE`` of a host's pages are the site's template.
-**Pass 2** deletes blocks that lie in such a subtree and joins the rest.
-
-Two rules keep the text whole. Elements that say what they are (menus, footers, forms, scripts, adverts, comments, by tag,
-role, class or id) go also when a host has too few pages to show a template. Running text inside an article (paragraphs,
-headings, list items, tables, quotes) is never taken for a template, so passages that many articles share stay. If a page
-marks an article or main part with any text, the text is taken from there alone.
+text, children), and so does every text block by itself. A block remembers the hashes of the elements it lies in, inside an
+article as elsewhere.
+**Templates.** Spark counts on how many different pages of its host each subtree occurs, combined on the map side; pages with the
+same main text are one. Subtrees on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of a host's pages are its template.
+Passages that fewer articles share, and articles that stand on many pages, are not.
+**Pass 2** deletes blocks that lie in such a subtree. If a page marks an article or main part and any of its text is left, the
+text is taken from there alone.
+
+Counts cannot see what differs from page to page (menus of related pages, comments, adverts), nor anything on a small host.
+There, elements that say what they are by tag, role, class or id go on every host. A class or id counts only if the
+listed word is what it names ("user-comments"), not where it describes something else ("has-sidebar", "header-image").
 
 Character references are decoded, white space inside a block becomes one space (a line break too), blocks are trimmed
 and joined by line feeds. Null and empty pages give an empty text. Pages are rows: repeated ids and urls are kept apart.
@@ -24,12 +26,12 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.sources.workspace import stage
 
-LEAST_PAGES, LEAST_SHARE = 8, 0.005
+LEAST_PAGES, LEAST_SHARE = 8, 0.5
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z) | <[!?][^>]*+(?:>|\Z) | <(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""",
@@ -70,10 +72,19 @@ OTHER_NAMES = frozenset(
     " recommended newsletter subscribe subscription signup login search widget pagination pager skip toolbar".split()
 )
 CONTAINERS = frozenset(("html", "body", "main", "article"))
-PROSE = frozenset(
-    "p h1 h2 h3 h4 h5 h6 li dd dt td th tr table tbody thead tfoot blockquote pre figure figcaption ul ol dl b i em strong"
-    " a span br code q cite small sub sup u s mark abbr time caption hgroup".split()
-)
+# First words of classes that describe a page or box by what it has or lacks.
+STATES = frozenset("has have no not with without is hide show shows after before under above below".split())
+
+
+def _names_other(value: str) -> bool:
+    """Whether a class or id names one of ``OTHER_NAMES``: its last word, or the one before a number."""
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        while len(words) > 1 and words[-1].isdigit():
+            words.pop()
+        if words and words[-1] in OTHER_NAMES and words[0] not in STATES:
+            return True
+    return False
 
 
 def _says_other(tag: str, attributes: str, in_article: bool) -> bool:
@@ -87,7 +98,7 @@ def _says_other(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in OTHER_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body") and OTHER_NAMES.intersection(re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id") and tag not in CONTAINERS and _names_other(value):
             return True
     return False
 
@@ -103,11 +114,13 @@ class _Element:
         self.other = (parent is not None and parent.other) or _says_other(tag, attributes, inside)
         self.article = inside or (tag in ("article", "main") and not self.other)
         self.hash = xxhash.xxh64(f"{tag}{attributes}")
-        self.countable = tag not in CONTAINERS and not (self.article and tag in PROSE)
+        self.countable = tag not in CONTAINERS
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int]]:
-    """Text blocks in page order as (text, hashes of the countable elements around it, in an article), and all hashes."""
+    """Text blocks in page order as (text, hashes of itself and the elements around it, in an article), and all hashes."""
+    import xxhash
+
     page = page or ""
     blocks: list[tuple[str, list[int], bool]] = []
     done: dict[int, int] = {}
@@ -191,40 +204,51 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
     end_block()
     while stack:
         close()
-    found = [(t, [done[n] for n in around], article) for t, around, article in blocks]
-    return found, list(dict.fromkeys(done.values()))
+    found = []
+    for t, around, article in blocks:
+        own = xxhash.xxh64_intdigest(b"#text " + t.encode("utf-8", "surrogatepass")) - (1 << 63)
+        found.append((t, [own, *(done[n] for n in around)], article))
+    return found, list(dict.fromkeys(h for _, around, _ in found for h in around))
 
 
 def parsed_pages(pages: DataFrame, page: str, host: str) -> DataFrame:
-    """``pages`` without the markup, with ``__blocks`` and ``__hashes``."""
+    """``pages`` without the markup, with ``__blocks`` and ``__print``, a hash of the text that tags and names leave."""
     rest = [name for name in pages.columns if name != page]
     given = ", ".join(f"`{name}` {pages.schema[name].dataType.simpleString()}" for name in rest)
-    block = pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])
+    block = pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64())), ("article", pa.bool_())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
-                blocks, hashes = [], []
+                blocks, prints = [], []
                 for raw in part.column(0).to_pylist():
-                    found, all_hashes = parse(raw)
-                    if any(article for _, _, article in found):
-                        found = [each for each in found if each[2]]
-                    blocks.append([{"text": text, "around": around} for text, around, _ in found])
-                    hashes.append(all_hashes)
+                    found = parse(raw)[0]
+                    marked = any(article for _, _, article in found)
+                    main = "\n".join(text for text, _, article in found if article or not marked)
+                    prints.append(xxhash.xxh64_intdigest(main.encode("utf-8", "surrogatepass")) - (1 << 63))
+                    blocks.append([{"text": text, "around": around, "article": article} for text, around, article in found])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(blocks, pa.list_(block)), pa.array(hashes, pa.list_(pa.int64()))],
-                    names=[*rest, "__blocks", "__hashes"],
+                    [*part.columns[1:], pa.array(blocks, pa.list_(block)), pa.array(prints, pa.int64())],
+                    names=[*rest, "__blocks", "__print"],
                 )
 
-    schema = f"{given}, __blocks array<struct<text: string, around: array<long>>>, __hashes array<long>"
+    schema = f"{given}, __blocks array<struct<text: string, around: array<long>, article: boolean>>, __print long"
     return pages.select(page, *rest).mapInArrow(work, schema)
 
 
+def _around() -> Column:
+    return F.array_distinct(F.flatten(F.transform("__blocks", lambda b: b["around"])))
+
+
 def site_templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``__host, hash``: subtrees on many pages of their host."""
-    totals = parsed.groupBy("__host").agg(F.count("*").alias("pages"))
-    counts = parsed.select("__host", F.explode("__hashes").alias("hash")).groupBy("__host", "hash").agg(F.count("*").alias("n"))
+    """``__host, hash``: subtrees on many different pages of their host."""
+    firsts = stage(parsed.groupBy("__host", "__print").agg(F.min("__page").alias("__page")), "templates")
+    totals = firsts.groupBy("__host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
+    different = parsed.select("__host", "__page", "__blocks").join(firsts.select("__page"), "__page", "left_semi")
+    counts = different.select("__host", F.explode(_around()).alias("hash")).groupBy("__host", "hash").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= least_pages).join(totals, "__host")
     return often.where(F.col("n") >= F.col("pages") * least_share).select("__host", "hash")
 
@@ -243,12 +267,12 @@ def extract(
     hosted = pages.select(page, *kept).withColumn("__host", host)
     parsed = stage(parsed_pages(hosted, page, "__host").withColumn("__page", F.monotonically_increasing_id()), "pages")
     templates = stage(site_templates(parsed, least_pages, least_share), "templates")
-    # Most pages mark their article, and then no countable element is around their text: they need no join.
-    bare = ~F.exists("__blocks", lambda b: F.size(b["around"]) > 0)
-    around = F.array_distinct(F.flatten(F.transform("__blocks", lambda b: b["around"])))
-    inside = parsed.where(~bare).select("__page", "__host", F.explode(around).alias("hash"))
+    inside = parsed.select("__page", "__host", F.explode(_around()).alias("hash"))
     marks = inside.join(templates, ["__host", "hash"]).groupBy("__page").agg(F.collect_set("hash").alias("__template"))
-    marked = parsed.where(~bare).join(marks, "__page", "left")
-    found = F.filter("__blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("__template")), F.lit(False)))
-    rest = marked.select(*kept, found.alias("__blocks")).unionByName(parsed.where(bare).select(*kept, "__blocks"))
-    return rest.select(*kept, F.array_join(F.transform("__blocks", lambda b: b["text"]), "\n").alias(text))
+    # Written first: while few pages hold a template, the texts are not shuffled for them.
+    marked = parsed.join(stage(marks, "templates"), "__page", "left")
+    left = F.filter("__blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("__template")), F.lit(False)))
+    left = marked.select(*kept, left.alias("__blocks"))
+    bare = ~F.exists("__blocks", lambda b: b["article"])
+    main = F.filter("__blocks", lambda b: b["article"] | bare)
+    return left.select(*kept, F.array_join(F.transform(main, lambda b: b["text"]), "\n").alias(text))

@@ -44,3 +44,24 @@ def test_templates_go_and_articles_stay(spark):
     assert texts[100, "http://two.example/"] == "Welcome here"
     assert texts[101, None] == "" and texts[0, "nohost"] == "a"
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_counts_decide_inside_articles_too(spark):
+    share = "<ul><li>Share this</li><li>Print</li></ul>"
+    page = "<div class='layout has-sidebar'><article><h1>T{0}</h1><p>body {0}</p>{1}<p>Subscribe now</p>bare line</article></div>"
+    rows = [(i, "http://a.example/x", page.format(i, share)) for i in range(20)]
+    rows += [(100 + i, "http://a.example/copy", f"<nav>{i}</nav>" + page.format("copied", "<p>passage</p>")) for i in range(60)]
+    rows += [(200, "http://small.example/", page.format(1, share))]
+    rows += [(300 + i, "http://b.example/", f"<article>Sign up</article><article>own {i}</article>") for i in range(9)]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    texts = {r.page_id: r.text for r in found}
+    assert all(texts[i] == f"T{i}\nbody {i}" for i in range(20))
+    assert all(texts[100 + i] == "Tcopied\nbody copied\npassage" for i in range(60))
+    assert texts[200] == "T1\nbody 1\nShare this\nPrint\nSubscribe now\nbare line"
+    assert all(texts[300 + i] == f"own {i}" for i in range(9))
+
+
+@pytest.mark.parametrize("name, other", [("user-comments", True), ("sidebar", True), ("ad-3", True), ("has-sidebar", False),
+                                         ("no-comments", False), ("header-image", False), ("post share_text", False)])
+def test_names_count_where_they_name_the_element(name, other):
+    assert html._names_other(name) == other
