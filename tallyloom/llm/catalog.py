@@ -31,8 +31,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards under the law ``rows``: counts at most one apart."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    digests = docs.withColumns(sharding.text_digests()).drop("text")
-    return sharding.shuffle_into_shards(digests, 40).select(
+    placed = sharding.shuffle_into_shards(docs, 40)
+    return placed.withColumns(sharding.text_digests()).select(
         "doc_id",
         "size",
         "text_crc32",

@@ -8,7 +8,7 @@ second random key (permute again). Every assignment of rows to shards and slots
 sizes differ by one row at most.
 
 Row work is DataFrame operations only. The matrix has at most ``BLOCKS`` x shards numbers, whatever the
-data; only row counts of blocks reach the driver. Ranks are taken inside key ranges of about ``RANGE_ROWS`` rows with
+data; only row counts of blocks reach the driver. Rows are written once and exchanged once, with all their columns. Ranks are taken inside key ranges of about ``RANGE_ROWS`` rows with
 offsets from counted ranges, so neither a block nor a shard is ever sorted in one task. Keys and blocks are
 written once: a lost task re-reads the same draw.
 
@@ -112,9 +112,16 @@ def shuffle_into_shards(
     total = sum(counts.values())
     sizes = [total // shards + (i < total % shards) for i in range(shards)]
     matrix = dict(zip(counts, communication_matrix(list(counts.values()), sizes, seed)))
-    ranked = _ranked(tagged, BLOCK, FIRST, max(counts.values(), default=0), RANK)
+    # Ranked without the rows: what is kept is the last key of each (block, shard), as many numbers as the matrix has.
+    key = F.struct(FIRST, SECOND)
+    ranked = _ranked(tagged.select(BLOCK, FIRST, SECOND), BLOCK, FIRST, max(counts.values(), default=0), RANK)
     ranked = ranked.join(F.broadcast(_bounds(spark, matrix)), BLOCK)
-    sent = ranked.withColumn(shard, F.size(F.filter("__shard_ends", lambda end: end <= F.col(RANK))))
+    ranked = ranked.withColumn("to", F.size(F.filter("__shard_ends", lambda end: end <= F.col(RANK))))
+    last = ranked.groupBy(BLOCK, "to").agg(F.max(key).alias("last"))
+    cuts = last.groupBy(BLOCK).agg(F.sort_array(F.collect_list(F.struct("last", "to"))).alias("__shard_cuts"))
+    # The rows then find their shard where they lie, and move once.
+    sent = tagged.join(F.broadcast(stage(cuts, "sharding")), BLOCK)
+    sent = sent.withColumn(shard, F.filter("__shard_cuts", lambda cut: key <= cut["last"])[0]["to"]).drop("__shard_cuts")
     done = _ranked(sent, shard, SECOND, max(sizes), slot)
     return done.select(*rows.columns, shard, F.col(slot).cast("long").alias(slot))
 

@@ -1,6 +1,7 @@
 """Near duplicates, components and neighbours against brute force; sharding against its law."""
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -162,3 +163,21 @@ def test_communication_matrix_follows_its_law():
     first = np.array([matrix[1][0] for matrix in drawn])
     reference = np.random.default_rng(0).hypergeometric(8, 12, 9, 100_000)
     assert abs(first.mean() - 9 * 8 / 20) < 0.1 and abs(first.var() - reference.var()) < 0.15
+
+
+def test_op5_shards_the_texts_themselves(spark, tmp_path, monkeypatch):
+    from tallyloom.llm import catalog
+
+    texts = [None if i % 7 == 0 else "é" * i for i in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    given, real = [], sharding.shuffle_into_shards
+    monkeypatch.setattr(sharding, "shuffle_into_shards", lambda rows, *more: given.append(rows.columns) or real(rows, *more))
+    found = catalog.op5_sharding(spark, str(tmp_path)).toPandas().set_index("doc_id")
+    assert given == [["doc_id", "text"]]
+    for i, text in enumerate(texts):
+        data = (text or "").encode()
+        assert found["size"][i] == len(data) + 16 and found.text_crc32[i] == zlib.crc32(data)
+    sizes = found.groupby("shard").size()
+    assert len(sizes) == 40 and sizes.max() - sizes.min() <= 1
+    assert all(sorted(part.slot) == list(range(len(part))) for _, part in found.groupby("shard"))
