@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.constants import ANSWER_LABELS, INSTRUCTION
+from tallyloom.constants import ANSWER_LABELS, FILE_COLUMN, INSTRUCTION
 from tallyloom.functions import chat, text
-from tallyloom.functions.payload import payload_of_binary, payload_of_struct
-from tallyloom.operators.images import read_cells
+from tallyloom.functions.payload import BASE64_LENGTH, payload_of_binary, payload_of_string, payload_of_struct
+from tallyloom.operators.images import plain_path, read_cells, resolve_paths, resolve_pointers
 from tallyloom.operators.preprocess import preprocess_images, with_image_path
 from tallyloom.operators.sampling import proportional_subset
 from tallyloom.operators.scoring import Transcode
@@ -20,6 +20,44 @@ from tallyloom.sources.manifests import PREPROCESSED, read_manifest, write_manif
 from tallyloom.sources.workspace import stage
 
 
+def image_payloads(
+    pending: DataFrame,
+    source_paths: str | Sequence[str],
+    image: str = "image",
+    image_paths: str | Sequence[str] | None = None,
+    listing: DataFrame | None = None,
+    data_dir: str | None = None,
+) -> DataFrame:
+    """``pending`` with its cell and ``payload``, whatever form the cell has; null where there is no image."""
+    if image in pending.columns:
+        cells = pending
+    elif listing is None:
+        cells = read_cells(pending, source_paths, image)
+    else:
+        # The reference given is part of the row key, so it comes back after the reading.
+        placed = resolve_pointers(pending.withColumn("_given", F.col(FILE_COLUMN)), listing, data_dir)
+        cells = read_cells(placed, source_paths, image).drop(FILE_COLUMN).withColumnRenamed("_given", FILE_COLUMN)
+    kind = dict(cells.dtypes)[image]
+    if kind == "binary":
+        return cells.withColumn("payload", payload_of_binary(image)["payload"])
+    cell = payload_of_string(image) if kind == "string" else payload_of_struct(image)
+    if image_paths is None:
+        return cells.withColumn("payload", cell["payload"])
+    spark = cells.sparkSession
+    named = F.when(F.length(image) <= BASE64_LENGTH, F.col(image)) if kind == "string" else F.when(cell["kind"] == "path", cell["path"])
+    # Cells are read once; rows that name no file go around the joins.
+    cells = stage(cells.withColumn("_ref", named), "image-cells")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = files.load([image_paths] if isinstance(image_paths, str) else list(image_paths))
+    found = resolve_paths(cells, "_ref", files.select("path"), data_dir).where("found")
+    wanted = found.select("_ref", F.col("resolved").alias("_path"))
+    contents = files.select(plain_path("path").alias("_path"), F.col("content").alias("_content"))
+    opened = cells.where("_ref IS NOT NULL").join(wanted.join(contents, "_path").drop("_path"), "_ref", "left")
+    opened = opened.withColumn("payload", F.coalesce("_content", cell["payload"])).drop("_content")
+    rest = cells.where("_ref IS NULL").withColumn("payload", cell["payload"])
+    return rest.unionByName(opened).drop("_ref")
+
+
 def preprocess_manifest(
     spark: SparkSession,
     manifest_folder: str,
@@ -29,10 +67,15 @@ def preprocess_manifest(
     max_rows: int | None = None,
     target: str = "canonical_disease",
     image: str = "image",
+    image_paths: str | Sequence[str] | None = None,
+    listing: DataFrame | None = None,
+    data_dir: str | None = None,
 ) -> DataFrame:
     """D6 for the train split (a subset of it, if asked) and the whole val split.
 
-    Writes ``manifest_folder``/preprocessed_manifest; returns the tallies of the job.
+    Cells may be structs, bytes, or texts (a path or base64), in the source files or in the manifest itself. Paths
+    in cells are looked up in the folders ``image_paths``; source files that moved are found in ``listing`` (D5), both
+    below ``data_dir`` as well. Writes ``manifest_folder``/preprocessed_manifest; returns the tallies of the job.
     """
     train = proportional_subset(
         read_manifest(spark, "train", [manifest_folder]).drop("image_path"), max_rows, POINTER, target
@@ -41,12 +84,9 @@ def preprocess_manifest(
     rows = stage(train.unionByName(val), "to-preprocess")
 
     def payloads(pending: DataFrame) -> DataFrame:
-        cells = read_cells(pending, source_paths, image)
-        binary = dict(cells.dtypes)[image] == "binary"
-        cell = payload_of_binary(image) if binary else payload_of_struct(image)
-        return cells.withColumn("payload", cell["payload"])
+        return image_payloads(pending, source_paths, image, image_paths, listing, data_dir)
 
-    keys = rows.select(*POINTER)
+    keys = rows.select(*POINTER, *([image] if image in rows.columns else []))
     outcome = preprocess_images(keys, payloads, POINTER, transcode, image_folder)
     manifest = stage(with_image_path(rows, outcome, POINTER, image_folder), "with-images")
     write_manifest(manifest, f"{manifest_folder.rstrip('/')}/{PREPROCESSED}")
