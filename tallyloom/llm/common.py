@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.workspace import new_folder
+
 HELD_OUT_FOLDS, HELD_OUT_FOLD = 4, 2
 
 
@@ -29,6 +33,15 @@ def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     return rows.repartition(partitions) if partitions else rows
 
 
+def gathered(spark: SparkSession, name: str, parts: Iterable[DataFrame], schema: str) -> DataFrame:
+    """Rows of all ``parts``, each written before the next one is built, so a long row of blocks is no long plan."""
+    folder, paths = new_folder(spark, name), []
+    for part in parts:
+        paths.append(f"{folder}/{len(paths)}")
+        part.write.parquet(paths[-1])
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def vocabulary_path(name: str) -> str:
     """Where this machine keeps a public vocabulary file."""
     return public_tokenizers.path(name)

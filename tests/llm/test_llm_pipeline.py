@@ -23,6 +23,9 @@ COLUMNS = {
     8: ["vec_id", "n_links", "component_id", "kept"],
     9: ["doc_id", "n_ids", "ids_crc32", "round_trip"],
     10: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+    11: ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    12: ["item_id", "rank", "doc_id", "score"],
+    13: ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
 }
 
 
@@ -32,13 +35,13 @@ def test_query_columns_and_rows(spark, name):
     found = QUERIES[name](spark, SF_DIR)
     assert found.columns[: len(COLUMNS[number])] == COLUMNS[number]
     rows = found.count()
-    if number in (1, 4, 5, 6, 9):
+    if number in (1, 4, 5, 6, 9, 11):
         assert rows == table(spark, SF_DIR, "documents").count()
     assert rows > 0
 
 
 def test_all_numbers_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert "pipeline" in queries()
 
 
