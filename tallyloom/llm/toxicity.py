@@ -12,8 +12,8 @@ documents and shifted so that the best F1 lies at ``THRESHOLD``, gives a score f
 texts have no window and get the curve's value for no evidence.
 
 **Sample.** Training reads at most about ``TRAIN_DOCS`` documents per label, chosen by the hash of their id. Whole texts are
-used; scoring covers all windows of every text. Without labels of both kinds every score is the share of toxic
-labels (0 if there are none).
+used; scoring covers all windows of every text. Without labels of both kinds, or where no passage sets toxic
+documents apart, there is no evidence: every score is then the share of toxic labels (0 if there are none).
 """
 
 from __future__ import annotations
@@ -28,7 +28,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.sources.workspace import stage
+
 TRAIN_DOCS = 1500
+# A list of so many ids is sent to all tasks; a longer one, from a larger sample asked for, is joined by shuffle.
+MOST_LISTED = 200_000
 WINDOW = 12
 LONGEST_WORD = 128
 LEAST_Z, LEAST_LIFT, LEAST_SHARE, SAME_DOCS = 3.0, 20.0, 0.03, 0.9
@@ -172,34 +176,39 @@ def _fit_curve(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return weights
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Dictionaries from all given texts; the curve from the same texts' window lengths."""
-    if not toxic or not ordinary:
-        return Model(base=1.0 if toxic else 0.0)
-    telling = [b" " + passage.encode() for passage in telling_passages(toxic, ordinary)]
+def fit(toxic: list[str], ordinary: list[str], base: float | None = None) -> Model:
+    """Dictionaries from all given texts; the curve from the same texts' window lengths. ``base``: share of toxic labels."""
+    base = len(toxic) / max(1, len(toxic) + len(ordinary)) if base is None else base
+    telling = [b" " + passage.encode() for passage in telling_passages(toxic, ordinary)] if toxic and ordinary else []
+    if not telling:
+        return Model(base=base)
     held = Counter()
     plain = [w for text in ordinary for w in windows(text)]
     stride = max(1, len(plain) // 20_000)
-    model = Model(train_dictionary(plain[::stride], ORDINARY_BYTES))
-    if telling:
-        for text in toxic:
-            data = b" " + b" ".join((text or "").lower().encode("utf-8", "surrogatepass").split())
-            held.update(p for p in telling if p in data)
-        samples = [p + APART for p in telling for _ in range(held[p])]
-        model.toxic = train_dictionary(samples, TOXIC_BYTES, telling)
+    model = Model(train_dictionary(plain[::stride], ORDINARY_BYTES), base=base)
+    for text in toxic:
+        data = b" " + b" ".join((text or "").lower().encode("utf-8", "surrogatepass").split())
+        held.update(p for p in telling if p in data)
+    samples = [p + APART for p in telling for _ in range(held[p])]
+    model.toxic = train_dictionary(samples, TOXIC_BYTES, telling)
     labels = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
     model.weights = _fit_curve(model.features([*toxic, *ordinary]), labels).tolist()
     return model
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, bound: int) -> DataFrame:
-    """About ``bound`` documents of each label by the hash of their id, so the sample never depends on row order."""
+    """About ``bound`` documents of each label by the hash of their id, so the sample never depends on row order.
+
+    The chosen ids are written and counted first: about two times ``bound`` of them, so they are sent to the texts.
+    """
     labels = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).alias("__toxic"))
     sizes = {row[0]: row[1] for row in labels.groupBy("__toxic").count().collect()}
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("__toxic") == 1, bound / max(1, sizes.get(1, 0))).otherwise(bound / max(1, sizes.get(0, 0)))
     chosen = labels.where(draw < share).groupBy(key).agg(F.max("__toxic").alias("__toxic"))
-    return docs.where(F.col(text).isNotNull()).join(chosen, key).select(F.col(text).alias("text"), "__toxic")
+    chosen = stage(chosen, "toxicity-sample", compact=True)
+    listed = F.broadcast(chosen) if chosen.count() <= MOST_LISTED else chosen
+    return docs.where(F.col(text).isNotNull()).join(listed, key).select(F.col(text).alias("text"), "__toxic")
 
 
 def train(
@@ -213,7 +222,8 @@ def train(
     """Fit on a bounded sample of labelled documents. ``docs`` should hold training rows only."""
     rows = training_rows(docs, labels, text, key, label, bound).toPandas()
     rows = rows.sort_values(["__toxic", "text"])
-    return fit(rows.text[rows["__toxic"] == 1].tolist(), rows.text[rows["__toxic"] == 0].tolist())
+    share = labels.where(F.col(label).isin(0, 1)).agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
+    return fit(rows.text[rows["__toxic"] == 1].tolist(), rows.text[rows["__toxic"] == 0].tolist(), share)
 
 
 def score(model: Model, text: Column | str) -> Column:
