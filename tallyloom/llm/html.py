@@ -247,8 +247,9 @@ def site_templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_shar
     """``__host, hash``: subtrees on many different pages of their host."""
     firsts = stage(parsed.groupBy("__host", "__print").agg(F.min("__page").alias("__page")), "templates")
     totals = firsts.groupBy("__host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    different = parsed.select("__host", "__page", "__blocks").join(firsts.select("__page"), "__page", "left_semi")
-    counts = different.select("__host", F.explode(_around()).alias("hash")).groupBy("__host", "hash").agg(F.count("*").alias("n"))
+    # Hashes alone go through the join, never texts.
+    hashes = parsed.select("__host", "__page", _around().alias("around")).join(firsts.select("__page"), "__page", "left_semi")
+    counts = hashes.select("__host", F.explode("around").alias("hash")).groupBy("__host", "hash").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= least_pages).join(totals, "__host")
     return often.where(F.col("n") >= F.col("pages") * least_share).select("__host", "hash")
 
