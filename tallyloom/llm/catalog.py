@@ -52,9 +52,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of 2048 tokens."""
+    """All documents as pieces of sequences of 2048 tokens; the ids as their CRC-32."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, ids=False).drop("ids")
+    pieces = packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "goes_back", "goes_on"
+    )
 
 
 @query

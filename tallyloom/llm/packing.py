@@ -14,7 +14,6 @@ Repeated rows are separate documents.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,15 +65,14 @@ def task_offsets(stream: DataFrame) -> DataFrame:
     )
 
 
-def cut(stream: DataFrame, key: str, window: int = WINDOW, ids: bool = True) -> DataFrame:
-    """Pieces of every document, given its ``place`` in the whole stream. Without ``ids`` that column is null."""
-    with_ids = ids
+def cut(stream: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
+    """Pieces of every document, given its ``place`` in the whole stream."""
     kind = stream.schema[key].dataType.simpleString()
     schema = (
-        f"`{key}` {kind}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long,"
+        f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long,"
         " offset long, goes_back boolean, goes_on boolean"
     )
-    names = ["start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset", "goes_back", "goes_on"]
+    names = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset", "goes_back", "goes_on"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,7 +84,7 @@ def cut(stream: DataFrame, key: str, window: int = WINDOW, ids: bool = True) ->
                     sequence, offset = divmod(place + start, window)
                     length = min(window - offset, n - start)
                     part = ids[4 * start : 4 * (start + length)]
-                    rows.append((start, length, part if with_ids else None, zlib.crc32(part), n, sequence, offset, start > 0, start + length < n))
+                    rows.append((start, length, part, n, sequence, offset, start > 0, start + length < n))
                     took.append(i)
                     start, held = start + length, held + len(part)
                     if len(rows) >= PIECE_ROWS or held >= PIECE_BYTES:
@@ -99,7 +97,7 @@ def cut(stream: DataFrame, key: str, window: int = WINDOW, ids: bool = True) ->
 
 
 def _batch(key: str, names: list[str], keys: pa.Array, took: list[int], rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4, pa.bool_(), pa.bool_()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3, pa.bool_(), pa.bool_()]
     columns = [pa.array(column, type=kind) for column, kind in zip(zip(*rows), kinds)]
     return pa.RecordBatch.from_arrays([keys.take(pa.array(took, type=pa.int64())), *columns], names=[key, *names])
 
@@ -111,11 +109,10 @@ def pack(
     window: int = WINDOW,
     end: int = END,
     path: str | None = None,
-    ids: bool = True,
 ) -> DataFrame:
-    """Pieces with their ids: ``key, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset, goes_back, goes_on``."""
+    """Pieces with their ids: ``key, start, length, ids, doc_tokens, sequence_id, offset, goes_back, goes_on``."""
     stream = stage(encoded_stream(docs, text, key, end, path), "packing")
     # A row of 12 bytes per task of the first pass: a million tasks are 12 MB.
     placed = stream.join(F.broadcast(task_offsets(stream)), "task")
     placed = placed.select(key, "ids", (F.col("base") + F.col("before")).alias("place"))
-    return cut(placed, key, window, ids)
+    return cut(placed, key, window)

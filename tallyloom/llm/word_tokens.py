@@ -3,7 +3,8 @@
 The vocabulary's own rules never join characters across a space or a line feed: its normalizer
 only composes, folds case and squeezes white space, and its splitting pattern excludes it. Cutting at
 these two characters and joining the ids is therefore exact. The pattern also always cuts between a
-letter or digit and a final mark such as a comma. Each task encodes a word once while it stays
+letter or digit and a final mark such as a comma, where the letter is still one after folding (one folds to a
+letter and a combining dot). Each task encodes a word once while it stays
 in a bounded table. Tests compare with encoding whole texts.
 """
 
@@ -39,7 +40,7 @@ class WordTokens:
 
     def _encode(self, word: str, known: Known) -> bytes:
         core = word.rstrip(FINAL_MARKS)
-        if len(core) < len(word) and core and core[-1].isalnum():
+        if len(core) < len(word) and core and core[-1].lower()[-1].isalnum():
             return known[core] + known[word[len(core) :]]
         if word.isalpha() and max(word) < LATIN_END and FOLDS_ODDLY not in word and unicodedata.is_normalized("NFC", word):
             tokens = self.model.tokenize(word.lower().translate(self.level))

@@ -1,6 +1,6 @@
 """Token counts, packing, languages, toxicity and pieces against plain versions."""
 
-import zlib
+import random
 
 import numpy as np
 import pytest
@@ -34,6 +34,14 @@ def test_words_encode_as_whole_texts(text, plain_ids):
     assert np.frombuffer(next(word_tokens().ids([text])), dtype="<u4").tolist() == plain_ids(text)
 
 
+def test_random_words_encode_as_whole_texts(plain_ids):
+    draw = random.Random(4)
+    pool = "aAbBzZ09 .,;:!?*#$%&|-_()'\"\nİIıéÉȩ\u0301\u0307ßſ\u2028\u00a0İǅẞЖж中あ𝒜ﬁ²½हिन्दी"
+    texts = ["YENİ.", "İ", "aİ,", "İ!?"] + ["".join(draw.choices(pool, k=draw.randrange(1, 14))) for _ in range(20_000)]
+    for text, ids in zip(texts, word_tokens().ids(texts)):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == plain_ids(text), text
+
+
 def test_suffix_sums_answer_every_limit(spark, docs, plain_ids):
     lengths = [len(plain_ids(row.text)) for row in docs.collect()]
     sums = token_counts.suffix_sums(token_counts.length_histogram(docs)).collect()
@@ -64,7 +72,6 @@ def test_packing_cuts_the_whole_stream_once(docs, plain_ids):
         assert set(own.doc_tokens) == {len(ids)}
         assert own.goes_back.tolist() == (own.start > 0).tolist()
         assert own.goes_on.tolist() == (own.start + own.length < len(ids)).tolist()
-        assert [zlib.crc32(x) for x in own.ids] == own.ids_crc32.tolist()
     assert packing.pack(docs.limit(0)).count() == 0
 
 
@@ -120,6 +127,35 @@ def test_toxic_texts_score_higher(spark):
     assert toxicity.train(data.limit(0), data.limit(0)).scores(["a", None]).tolist() == [0, 0]
 
 
+def test_without_evidence_the_score_is_the_share_of_toxic_labels(spark):
+    rows = [(k, f"all the same words {k}", int(k % 10 == 0)) for k in range(200)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert toxicity.train(data, data).scores(["all the same words", None, ""]) == pytest.approx([0.1] * 3)
+    only = data.where("toxic = 1")
+    assert toxicity.train(only, only).scores(["a"]).tolist() == [1.0]
+
+
+def test_training_sample_reaches_texts_without_moving_them(spark):
+    data = spark.createDataFrame([(k, f"text {k}", k % 2) for k in range(50)], "doc_id long, text string, toxic int")
+    chosen = toxicity.training_rows(data.select("doc_id", "text"), data, "text", "doc_id", "toxic", 1500)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert chosen.count() == 50
+
+
+def test_scores_are_those_of_windows_compressed_one_by_one(spark):
+    zstandard = pytest.importorskip("zstandard")
+    toxic = [f"some plain words {k} idiots and scumbags {k * 7}" for k in range(60)]
+    model = toxicity.fit(toxic, [f"some plain words {k} kind people {k * 5}" for k in range(60)])
+    ordinary, both = model.compressors()
+    for text in ["idiots", "some plain words", "x " * 100 + "scumbags and idiots " * 9, None]:
+        gains = [abs(len(ordinary.compress(w)) - len(both.compress(w))) for w in toxicity.windows(text)] or [0]
+        found = model.features([text])[0]
+        assert found[: len(toxicity.GAINS)] == pytest.approx([np.log1p(sum(g >= least for g in gains)) for least in toxicity.GAINS])
+        assert found[len(toxicity.GAINS)] == max(gains) / 4
+    assert isinstance(ordinary, zstandard.ZstdCompressor)
+
+
 def plain_viterbi(words, text):
     best = [(0, ())] + [(piece_scan.LOW, ())] * len(text)
     for end in range(1, len(text) + 1):
