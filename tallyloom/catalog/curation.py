@@ -63,9 +63,9 @@ def balance(spark, sf_dir):
 
 @query("q_b2_balance_by_edges", f"WITH {_BALANCED} SELECT * FROM balanced")
 def balance_by_edges(spark, sf_dir):
-    """The path for tables too large to rank in a window."""
+    """The path for caps too large to keep the first rows of every part: cuts found by counting."""
     rows = document_rows(spark, sf_dir)
-    return sampling.balance_classes(rows, "target", "doc_id", MIN_ROWS, MAX_ROWS, window_rows=0)
+    return sampling.balance_classes(rows, "target", "doc_id", MIN_ROWS, MAX_ROWS, top_rows=0)
 
 
 @query(
@@ -94,7 +94,7 @@ def global_cap(spark, sf_dir):
 )
 def global_cap_by_edge(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return sampling.cap_rows(events, 2500, "event_id", window_rows=0)
+    return sampling.cap_rows(events, 2500, "event_id")
 
 
 @query(
@@ -131,7 +131,7 @@ def stratified_split(spark, sf_dir):
 )
 def split_by_edges(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return sampling.stratified_split(part, "p_name", "p_partkey", 0.05, 0.1, window_rows=0)
+    return sampling.stratified_split(part, "p_name", "p_partkey", 0.05, 0.1)
 
 
 @query("q_b4_balance_then_split", f"{_SELECTED} SELECT doc_id, target, segment, organ, split FROM selected")
@@ -175,7 +175,7 @@ def subset_with_trim(spark, sf_dir):
 @query("q_b6_subset_by_edges", _subset_sql("part", "p_partkey", "p_name", 100))
 def subset_by_edges(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_name", "p_partkey")
-    return sampling.proportional_subset(part, 100, "p_partkey", "p_name", window_rows=0)
+    return sampling.proportional_subset(part, 100, "p_partkey", "p_name")
 
 
 @query("q_b7_subset_first_column", _subset_sql("events", "event_id", "event_type", 1000))

@@ -164,3 +164,13 @@ def sql_rank(key: str, purpose: str, by: str = "", seed: int = 42) -> str:
         f"row_number() OVER ({partition}ORDER BY md5(concat_ws('|', '{seed}', '{purpose}', "
         f"CAST({key} AS VARCHAR))), {key})"
     )
+
+
+def sql_exact_sum(value: str) -> str:
+    """Sum of doubles below 2**62 that does not depend on the order of the rows: whole multiples of powers of two are added."""
+    parts, usual = [], f"CAST({value} AS DOUBLE)"
+    for above, exponent in ((0, 0), (0, -32), (-32, -64), (-64, -96)):
+        rest = usual if exponent == 0 else f"({usual} % pow(2.0::DOUBLE, {above}))"
+        unit = f"pow(2.0::DOUBLE, {exponent})"
+        parts.append(f"coalesce(CAST(sum(CAST(trunc({rest} / {unit}) AS BIGINT)) AS DOUBLE), 0) * {unit}")
+    return "(" + " + ".join(reversed(parts)) + ")"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.fixtures import EVAL_ROWS_SQL, LOSS_ROWS_SQL, eval_rows, loss_rows
+from tallyloom.catalog.fixtures import EVAL_ROWS_SQL, LOSS_ROWS_SQL, eval_rows, loss_rows, sql_exact_sum
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators import history
 
@@ -30,6 +30,20 @@ def running_best(spark, sf_dir):
     return history.running_best(eval_rows(spark, sf_dir))
 
 
+@query(
+    "q_t1_running_best_by_time",
+    """WITH log AS (SELECT user_id AS run, ts AS moment, max(value) AS score FROM events GROUP BY user_id, ts),
+        bars AS (SELECT *, greatest(CAST(10 AS DOUBLE), max(score) OVER (PARTITION BY run ORDER BY moment
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS bar FROM log)
+    SELECT run, moment, score, coalesce(score > bar, false) AS improved, greatest(bar, score) AS best_so_far FROM bars""",
+)
+def running_best_by_time(spark, sf_dir):
+    """Times in place of step numbers: ranges hold as many rows however far apart the times are."""
+    log = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("run"), F.col("ts").alias("moment"))
+    log = log.agg(F.max("value").alias("score"))
+    return history.running_best(log, step="moment", metric="score", floor=10.0, chunk=500)
+
+
 ACCUMULATE = 4
 
 
@@ -41,7 +55,7 @@ ACCUMULATE = 4
         numbered AS (SELECT *, coalesce(sum(CASE WHEN closes THEN 1 ELSE 0 END) OVER (PARTITION BY run, epoch
             ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS step FROM marked)
     SELECT run, epoch, max(batch) AS last_batch,
-        list_reduce(list(CAST(loss AS DOUBLE) ORDER BY batch) FILTER (finite), lambda x, y: x + y) / {ACCUMULATE} AS step_loss
+        {sql_exact_sum('CASE WHEN finite THEN loss END')} / {ACCUMULATE} AS step_loss
     FROM numbered GROUP BY run, epoch, step
     HAVING bool_or(closes) AND NOT bool_or(closes AND rejected)""",
 )

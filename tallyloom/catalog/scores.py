@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.fixtures import EVENT_PAIRS_SQL, PART_PAIRS_SQL, event_pairs, part_pairs, sql_normalize, sql_strip
+from tallyloom.catalog.fixtures import EVENT_PAIRS_SQL, PART_PAIRS_SQL, event_pairs, part_pairs, sql_exact_sum, sql_normalize, sql_strip
 from tallyloom.catalog.registry import query
 from tallyloom.operators import metrics
 
@@ -28,7 +28,7 @@ def _report_sql(by: str = "") -> str:
 
 
 def _sum_sql(value: str) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(38, 18))) AS DOUBLE)"
+    return sql_exact_sum(value)
 
 
 _MACRO_SQL = ", ".join(f"{_sum_sql(name)} / count(*) AS macro_{name}" for name in ("precision", "recall", "f1"))

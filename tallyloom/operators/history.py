@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordered import CHUNK, join_groups, running_before
+from tallyloom.operators.ordered import CHUNK, exact_sum, join_groups, running_before
 from tallyloom.sources.workspace import stage
 
 
@@ -46,7 +46,7 @@ def running_best(
     floor: float = -1.0,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """Every evaluation with the best metric so far and whether it improved on it."""
+    """Every evaluation with the best metric so far and whether it improved on it. ``step``: a number or a time."""
     value = F.when(_usable(metric), F.col(metric))
     before = running_before(log, by, step, "max", value, "_before", chunk)
     bar = F.greatest(F.col("_before"), F.lit(floor))
@@ -86,7 +86,7 @@ def accumulation_windows(
     rows = log.select(
         *by,
         F.col(batch).cast("bigint").alias("_batch"),
-        F.when(finite, F.struct(F.col(batch).cast("bigint").alias("batch"), F.col(loss).cast("double").alias("loss"))).alias("_loss"),
+        F.when(finite, F.col(loss).cast("double")).alias("_loss"),
         mark.alias("_mark"),
         planned.cast("bigint").alias("_planned"),
     )
@@ -95,26 +95,27 @@ def accumulation_windows(
         F.col("_mark").bitwiseAND(F.lit(2)) > 0,
         F.col("_mark").bitwiseAND(F.lit(1)) > 0,
     )
-    # Nominal windows first: at most `accumulate` rows each, combined on the map side.
+    rows = rows.withColumn("_window", F.expr(f"(_batch + {accumulate - 1}) div {accumulate}"))
+    # Which nominal windows close: one flag per window, combined on the map side.
     nominal = (
-        rows.withColumn("_window", F.expr(f"(_batch + {accumulate - 1}) div {accumulate}"))
-        .groupBy(*by, "_window")
-        .agg(F.collect_list("_loss").alias("_losses"), F.max("_mark").alias("_mark"), F.max("_planned").alias("_planned"))
-        .withColumn("_closes", (is_finite & (last % accumulate == 0)).cast("bigint"))
+        rows.groupBy(*by, "_window")
+        .agg(F.max("_mark").alias("_mark"))
+        .select(*by, "_window", (is_finite & (last % accumulate == 0)).cast("bigint").alias("_closes"))
     )
     # An open window joins the following ones up to the first that closes.
     joined = running_before(nominal, by, "_window", "sum", "_closes", "_closed_before", chunk)
-    steps = joined.groupBy(*by, F.coalesce("_closed_before", F.lit(0)).alias("_step")).agg(
-        F.array_sort(F.flatten(F.collect_list("_losses"))).alias("_losses"),
+    joined = joined.select(*by, "_window", "_closes", F.coalesce("_closed_before", F.lit(0)).alias("_step"))
+    # Losses meet the number of their step; a step without end is a sum like any other, added on the map side.
+    numbered = join_groups(rows, joined, [*by, "_window"])
+    steps = numbered.groupBy(*by, "_step").agg(
+        exact_sum("_loss").alias("_total"),
         F.max("_mark").alias("_mark"),
         F.max("_closes").alias("_closes"),
         F.max("_planned").alias("_planned"),
     )
     ended = (F.col("_closes") == 1) | F.coalesce(last == F.col("_planned"), F.col("_planned").isNull())
-    # The batches of one step, added in order: the same sum in any run, whatever the size of the losses.
-    added = F.aggregate("_losses", F.lit(0.0), lambda total, each: total + each["loss"])
     return steps.where(ended & is_finite & ~is_refused).select(
-        *by, last.alias("last_batch"), (added / accumulate).alias("step_loss")
+        *by, last.alias("last_batch"), (F.col("_total") / accumulate).alias("step_loss")
     )
 
 

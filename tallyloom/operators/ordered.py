@@ -1,8 +1,9 @@
-"""Running values over long ordered groups, without one task per group.
+"""Running values over long ordered groups, without one task per group, and sums that do not depend on order.
 
-Rows of a group are cut into chunks by a number that grows with the order. Windows run inside a
-chunk; what the earlier chunks contribute comes from one summary row per chunk. A group that
-holds a third of the table is thus spread over as many tasks as it has chunks.
+Rows are dealt into ranges of (group, order) that hold about equally many rows, whatever the order column is and
+however sparse its values are. Windows run inside a range; what the earlier ranges of a group contribute comes
+from one summary row per (range, group), combined over teams of ranges first. A group that holds a third of
+the table is thus spread over a third of the ranges.
 """
 
 from __future__ import annotations
@@ -13,7 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-CHUNK = 100_000
+from tallyloom.sources.workspace import stage
+
+# Rows of a range, and ranges whose summaries are combined before all are.
+CHUNK, TEAM = 100_000, 1000
+# Exponents of the bins of a sum: multiples of 2**k below 2**32 of them. All bits of numbers from 2**-43 to 2**62 fall into them.
+BINS = (32, 0, -32, -64, -96)
+HUGE = 2.0**62
 
 
 def whole_part(column: str, size: int) -> Column:
@@ -43,46 +50,76 @@ def running_before(
 ) -> DataFrame:
     """Add ``name``: sum, max or last non-null of ``value`` over the earlier rows of the group.
 
-    ``order`` is a whole-number column, unique within the group, so a chunk has few more than
-    ``chunk`` rows. Without earlier rows the result is null.
+    ``order`` is a column of any sortable type, unique within the group. About ``chunk`` rows are handled
+    together. Without earlier rows the result is null.
     """
     value = F.col(value) if isinstance(value, str) else value
-    rows = df.withColumn("_value", value).withColumn("_chunk", whole_part(order, chunk))
-    # One key for window and join, so that both use the same shuffle.
-    rows = rows.withColumn("_part", group_key([*by, "_chunk"]))
+    rows = df.withColumn("_value", value)
+    ranges = rows.count() // chunk + 1
+    rows = rows.repartitionByRange(ranges, *by, order).withColumn("_range", F.spark_partition_id())
+    # Written once: ranges keep their rows if a task is repeated.
+    rows = stage(rows, "ranges").withColumn("_part", group_key([*by, "_range"]))
     earlier = (Window.unboundedPreceding, -1)
-    in_chunk = Window.partitionBy("_part").orderBy(order).rowsBetween(*earlier)
-    chunks = Window.partitionBy(*[F.col(f"_part.{column}") for column in by])
-    chunks = chunks.orderBy(F.col("_part._chunk")).rowsBetween(*earlier)
+    in_range = Window.partitionBy("_part").orderBy(order).rowsBetween(*earlier)
     known = F.col("_value").isNotNull()
-    summary, carry, local, both = {
+    summary, over, local, both = {
         "sum": (
             F.sum("_value"),
-            F.sum("_summary"),
+            F.sum,
             F.sum("_value"),
             lambda a, b: F.when(a.isNull() & b.isNull(), None).otherwise(
                 F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
             ),
         ),
-        "max": (F.max("_value"), F.max("_summary"), F.max("_value"), F.greatest),
+        "max": (F.max("_value"), F.max, F.max("_value"), F.greatest),
         "last": (
             F.max_by("_value", F.when(known, F.col(order))),
-            F.last("_summary", ignorenulls=True),
+            lambda column: F.last(column, ignorenulls=True),
             F.last("_value", ignorenulls=True),
             F.coalesce,
         ),
     }[kind]
-    carried = (
-        rows.groupBy("_part").agg(summary.alias("_summary")).select("_part", carry.over(chunks).alias("_carried"))
-    )
+    summaries = rows.groupBy("_part").agg(summary.alias("_summary"))
+    carried = _carried(summaries, by, over, both)
     return (
-        rows.withColumn("_local", local.over(in_chunk))
+        rows.withColumn("_local", local.over(in_range))
         .join(carried, "_part")
         .select(*df.columns, both(F.col("_local"), F.col("_carried")).alias(name))
     )
 
 
-def exact_sum(value: Column | str, places: int = 18) -> Column:
-    """Sum of fractions that does not depend on the order of the rows."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.sum(value.cast(f"decimal(38,{places})")).cast("double")
+def _carried(summaries: DataFrame, by: Sequence[str], over, both) -> DataFrame:
+    """``_part, _carried``: what the earlier ranges of each range's group add up to.
+
+    A window holds the ranges of one team at most, and the teams of one group: a thousandth of its ranges.
+    """
+    group = F.struct(*[F.col(f"_part.{column}") for column in by])
+    placed = summaries.withColumns({"_group": group, "_range": F.col("_part._range"), "_team": F.floor(F.col("_part._range") / TEAM)})
+    team = Window.partitionBy("_group", "_team").orderBy("_range")
+    before = team.rowsBetween(Window.unboundedPreceding, -1)
+    upto = team.rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.withColumns({"_inside": over("_summary").over(before), "_sofar": over("_summary").over(upto)})
+    ends = inside.groupBy("_group", "_team").agg(F.max_by("_sofar", "_range").alias("_whole"))
+    earlier = Window.partitionBy("_group").orderBy("_team").rowsBetween(Window.unboundedPreceding, -1)
+    teams = ends.select("_group", "_team", over("_whole").over(earlier).alias("_base"))
+    return inside.join(teams, ["_group", "_team"]).select("_part", both(F.col("_inside"), F.col("_base")).alias("_carried"))
+
+
+def exact_sum(value: Column | str) -> Column:
+    """Sum of doubles that does not depend on the order of the rows, for up to 2**31 finite rows of a group.
+
+    Every number is split into whole multiples of the powers of two in ``BINS``; the multiples are added as whole numbers, which
+    combine on the map side, and the few totals are added from the smallest power up. What lies below the last bin is
+    cut off row by row. Numbers from ``HUGE`` on are added as they are.
+    """
+    value = (F.col(value) if isinstance(value, str) else value).cast("double")
+    huge = F.abs(value) >= HUGE
+    usual, totals = F.when(~huge, value), []
+    for above, exponent in zip((None, *BINS), BINS):
+        # The remainder and the quotient by a power of two are exact.
+        rest = usual if above is None else usual % F.lit(2.0**above)
+        totals.append(F.sum((rest / F.lit(2.0**exponent)).cast("bigint")).cast("double") * F.lit(2.0**exponent))
+    added = F.coalesce(totals[-1], F.lit(0.0))
+    for total in reversed(totals[:-1]):
+        added = added + F.coalesce(total, F.lit(0.0))
+    return F.when(F.count(value) > 0, added + F.coalesce(F.sum(F.when(huge, value)), F.lit(0.0)))

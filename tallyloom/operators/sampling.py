@@ -4,14 +4,16 @@ Rows are ranked by an md5 over seed, purpose and row key, so a draw is uniform,
 independent of partitioning. Each operator hashes with its own purpose: ranking the survivors of
 one draw by the same hash again would favour the classes that were thinned most.
 
-Tables of up to ``WINDOW_ROWS`` rows (counted first, from the footers where possible) are ranked
-in a plain window. Beyond that no large class is sorted in one task. Class sizes come first, from
-an aggregation that combines on the map side. A large class is then cut into buckets of its hash
-range, about as many as it has bucket loads of rows. The running sum of the bucket counts tells
-in which bucket a wanted rank falls, and only the rows of that sliver are sorted to find the exact
-row, the *edge*. Small classes are ranked whole, and only where their cut is open. The wide rows are
-then filtered against one edge per class, without a shuffle as long as the table of edges is small
-enough to broadcast.
+No class is ever sorted in one task because the table happens to be small, and none has to be: every cut
+comes from one *edge* row per class, and the wide rows are then filtered against the edges, without a
+shuffle as long as the table of edges is small enough to broadcast. Key columns and hashes are read once for the
+edges, the wide rows once for the result.
+
+A cap of at most ``TOP_ROWS`` rows keeps the first rows of every one of ``PARTS`` parts of a class and then
+the first of the class, both with a literal limit that map tasks apply as well. Other cuts depend on the class
+size: sizes are counted, large classes cut into buckets of their hash range, about as many as they have bucket
+loads of rows; the running sum of the bucket counts tells in which bucket a wanted rank falls, and only the
+rows of that sliver go on to the next round, until slivers are small enough to be ranked.
 
 ``key`` must identify a row: a real id, or source file and row ordinal.
 """
@@ -38,14 +40,16 @@ from tallyloom.functions.text import class_name
 from tallyloom.sources.workspace import stage
 
 # Rows of a class that are ranked together, and the most buckets that classes are cut into.
-BUCKET_ROWS = 1000
+BUCKET_ROWS = 100_000
 MOST_BUCKETS = 100_000
 # Rows of a range of the order in which the n-th row is looked for.
 RANGE_ROWS = 1_000_000
-# A top-n sort moves n rows per input task into its last task, so it is kept for a handful of rows.
-SORTED_LIMIT = 20
-# One task can sort this many rows without trouble, even if they are all of one class.
-WINDOW_ROWS = 1_000_000
+# Rounds in which buckets are cut again; two suffice for 10**12 rows.
+ROUNDS = 4
+# Largest cap that is found by keeping the first rows of every part of a class.
+TOP_ROWS, PARTS = 10_000, 64
+# A class that is proven to have no more rows than this is ranked whole.
+BOUND_ROWS = 100_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -68,69 +72,79 @@ def _edges(hashed: DataFrame, by: str, key: list[str], cuts: Mapping[str, Callab
     A cut maps the class size to a rank. Ranks of zero, and ranks that take in the whole class,
     need no edge and leave it null. Rows without a class are left out. The result is staged.
     """
-    narrow = hashed.where(F.col(by).isNotNull()).select(by, *key, "_hash")
+    narrow = stage(hashed.where(F.col(by).isNotNull()).select(by, *key, "_hash"), "sample-keys")
     sizes = stage(narrow.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "class-sizes")
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    # Fewer than MOST_BUCKETS classes can exceed this size, which bounds every broadcast below.
-    per_bucket = max(BUCKET_ROWS, -(-(total or 0) // MOST_BUCKETS))
-    is_large = F.col("_n") > per_bucket
-
     size, marks = F.col("_n"), {name: f"_at_{name}" for name in cuts}
     wanted = {name: rank(size).cast("bigint") for name, rank in cuts.items()}
-    sized = sizes.withColumns(
-        {marks[name]: F.when((at > 0) & (at < size), at) for name, at in wanted.items()}
-    )
-    is_open = F.coalesce(*[F.col(mark) for mark in marks.values()]).isNotNull()
+    open_at = [F.when((at > 0) & (at < size), at).alias(marks[name]) for name, at in wanted.items()]
 
-    def hits(ranked: DataFrame) -> DataFrame:
-        """The rows at a marked rank, as one column per cut."""
+    def hits(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        """The rows at a marked rank of their group, as one column per cut."""
+        ranked = rows.join(groups, [by, "_path"]).withColumn("_rank", _ranks([by, "_path"], key))
         at = {name: F.coalesce(F.col("_rank") == F.col(mark), F.lit(False)) for name, mark in marks.items()}
         return ranked.where(reduce(or_, at.values())).select(
             by, *[F.when(hit, _position(key)).alias(f"_edge_{name}") for name, hit in at.items()]
         )
 
-    def small_hits(rows: DataFrame) -> DataFrame:
-        few = rows.join(sized.where(is_open & ~is_large), by)
-        return hits(few.withColumn("_rank", _ranks([by], key)))
-
-    if (largest or 0) <= per_bucket:
-        found = small_hits(narrow)
-    else:
-        large = sized.where(is_large)
-        slivers = _slivers(narrow, by, large.where(is_open), marks, per_bucket)
-        in_sliver = narrow.join(
-            F.broadcast(slivers.withColumnRenamed(by, "_class")),
-            (F.col(by) == F.col("_class")) & (_bucket() == F.col("_bucket")),
-        )
-        rest = narrow.join(F.broadcast(large.select(by)), by, "left_anti")
-        found = hits(in_sliver.withColumn("_rank", _ranks([by, "_bucket"], key))).unionByName(small_hits(rest))
-    edges = found.groupBy(by).agg(*[F.max(f"_edge_{name}").alias(f"_edge_{name}") for name in cuts])
-    return stage(sizes.join(edges, by, "left"), "edges")
-
-
-def _bucket() -> Column:
-    """Which of the ``_buckets`` equal parts of the hash range a row falls into."""
+    # A group is a class or a sliver of one; ``_front`` is a row's place in its group's hash range, in 2**-32.
+    groups = sizes.select(by, F.lit("").alias("_path"), size.alias("_rows"), *open_at)
+    groups = groups.where(F.coalesce(*marks.values()).isNotNull())
     front = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
-    return F.shiftright(front * F.col("_buckets"), 32)
+    rows, found = narrow.withColumns({"_path": F.lit(""), "_front": front}), []
+    for left in reversed(range(ROUNDS)):
+        total, largest = groups.agg(F.sum("_rows"), F.max("_rows")).first()
+        # Fewer than MOST_BUCKETS groups can exceed this size, which bounds every broadcast below.
+        per_bucket = max(BUCKET_ROWS, -(-(total or 0) // MOST_BUCKETS))
+        if not left or (largest or 0) <= per_bucket:
+            found.append(hits(rows, groups))
+            break
+        found.append(hits(rows, groups.where(F.col("_rows") <= per_bucket)))
+        groups, rows = _slivers(rows, by, key, groups.where(F.col("_rows") > per_bucket), list(marks.values()), per_bucket)
+    edges = reduce(DataFrame.unionByName, found).groupBy(by).agg(*[F.max(f"_edge_{name}").alias(f"_edge_{name}") for name in cuts])
+    return stage(sizes.join(edges, by, "left"), "edges")
 
 
-def _slivers(narrow: DataFrame, by: str, large: DataFrame, marks: Mapping[str, str], per_bucket: int) -> DataFrame:
-    """The buckets of large classes in which a cut falls, with its rank inside the bucket."""
-    parts = large.withColumn("_buckets", F.ceil(F.col("_n") / per_bucket).cast("bigint"))
-    counts = (
-        narrow.join(F.broadcast(parts.select(by, "_buckets")), by)
-        .groupBy(by, _bucket().alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+def _slivers(
+    rows: DataFrame, by: str, key: list[str], large: DataFrame, marks: list[str], per_bucket: int
+) -> tuple[DataFrame, DataFrame]:
+    """The buckets of large groups in which a cut falls, with its rank inside the bucket, and their rows."""
+    parts = large.withColumn("_buckets", F.ceil(F.col("_rows") / per_bucket).cast("bigint"))
+    scaled = F.col("_front") * F.col("_buckets")
+    placed = rows.join(F.broadcast(parts.select(by, "_path", "_buckets")), [by, "_path"])
+    placed = placed.withColumns({"_bucket": F.shiftright(scaled, 32), "_front": scaled.bitwiseAND(F.lit((1 << 32) - 1))})
+    counts = placed.groupBy(by, "_path", "_bucket").agg(F.count(F.lit(1)).alias("_held"))
+    so_far = Window.partitionBy(by, "_path").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    spans = counts.withColumn("_upto", F.sum("_held").over(so_far)).join(F.broadcast(parts.drop("_rows")), [by, "_path"])
+    before = F.col("_upto") - F.col("_held")
+    here = [F.when((F.col(mark) > before) & (F.col(mark) <= F.col("_upto")), F.col(mark) - before) for mark in marks]
+    within = F.concat_ws(".", "_path", F.col("_bucket").cast("string"))
+    slivers = spans.select(
+        by, F.col("_path").alias("_outer"), "_bucket", within.alias("_path"), F.col("_held").alias("_rows"),
+        *[rank.alias(mark) for mark, rank in zip(marks, here)],
+    )
+    slivers = stage(slivers.where(F.coalesce(*marks).isNotNull()), "slivers")
+    kept = placed.withColumnRenamed("_path", "_outer").join(
+        F.broadcast(slivers.select(by, "_outer", "_bucket", "_path")), [by, "_outer", "_bucket"]
     )
-    so_far = Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    spans = counts.withColumn("_upto", F.sum("_rows").over(so_far)).join(F.broadcast(parts), by)
-    before = F.col("_upto") - F.col("_rows")
-    here = {
-        mark: F.when((F.col(mark) > before) & (F.col(mark) <= F.col("_upto")), F.col(mark) - before)
-        for mark in marks.values()
-    }
-    found = spans.select(by, "_buckets", "_bucket", *[rank.alias(mark) for mark, rank in here.items()])
-    return stage(found.where(F.coalesce(*here).isNotNull()), "slivers")
+    kept = stage(kept.select(by, *key, "_hash", "_path", "_front"), "sliver-rows")
+    return slivers.select(by, "_path", "_rows", *marks), kept
+
+
+def _cap_edges(hashed: DataFrame, by: str, key: list[str], min_rows: int, max_rows: int) -> DataFrame:
+    """Per class the position of its last row: of the whole class up to ``min_rows`` rows, else of the first ``max_rows``. Staged."""
+    most = max(min_rows + 1, max_rows)
+    # The end of a hash says nothing about its place in the order.
+    part = F.pmod(F.conv(F.substring("_hash", 29, 4), 16, 10).cast("int"), F.lit(PARTS))
+    narrow = hashed.where(F.col(by).isNotNull()).select(by, *key, "_hash", part.alias("_part"))
+    first = narrow.withColumn("_rank", _ranks([by, "_part"], key)).where(F.col("_rank") <= most)
+    first = first.withColumn("_rank", _ranks([by], key)).where(F.col("_rank") <= most)
+    ends = first.groupBy(by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(_position(key)).alias("_last"),
+        F.max(F.when(F.col("_rank") <= max_rows, _position(key))).alias("_capped"),
+    )
+    edge = F.when(F.col("_n") <= min_rows, F.col("_last")).otherwise(F.col("_capped"))
+    return stage(ends.select(by, edge.alias("_edge_cap")), "edges")
 
 
 def _ranks(by: Sequence[str], key: list[str]) -> Column:
@@ -144,18 +158,18 @@ def _placed(
     seed: int | str,
     purpose: str,
     cuts: Mapping[str, Callable[[Column], Column]],
-    class_bound: int,
-    window_rows: int,
+    class_bound: int | None = None,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with a class, plus its size ``_n`` and, per cut, ``_in_<cut>``: ranks at or before it."""
     hashed = df.where(F.col(target).isNotNull()).withColumn("_hash", sample_hash(key, seed, purpose))
     size = F.col("_n")
-    if class_bound <= window_rows:
+    if class_bound is not None and class_bound <= BOUND_ROWS:
         counted = hashed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(target)))
         placed = counted.withColumn("_rank", _ranks([target], key))
         inside = {name: F.col("_rank") <= rank(size) for name, rank in cuts.items()}
     else:
-        placed = hashed.join(_edges(hashed, target, key, cuts), target)
+        placed = hashed.join(_edges(hashed, target, key, cuts) if edges is None else edges, target)
         inside = {
             name: F.when(rank(size) >= size, F.lit(True)).otherwise(
                 F.coalesce(_position(key) <= F.col(f"_edge_{name}"), F.lit(False))
@@ -165,21 +179,6 @@ def _placed(
     return placed.select(*df.columns, "_n", *[met.alias(f"_in_{name}") for name, met in inside.items()])
 
 
-def _first_by_hash(hashed: DataFrame, n: int, key: list[str], window_rows: int) -> DataFrame:
-    """The ``n`` rows with the smallest ``_hash``; exact for any ``n``."""
-    if n <= 0:
-        return hashed.limit(0)
-    total = None if n <= SORTED_LIMIT else hashed.count()
-    if total is not None and total <= n:
-        return hashed
-    if total is None or total <= window_rows:
-        return hashed.orderBy("_hash", *key).limit(n)
-    one = hashed.withColumn("_all", F.lit(0))
-    edge = _edges(one, "_all", key, {"cap": lambda size: F.lit(n)}).select("_edge_cap").first()["_edge_cap"]
-    last = F.struct(*[F.lit(value).alias(name) for name, value in edge.asDict().items()])
-    return hashed.where(_position(key) <= last)
-
-
 def balance_classes(
     df: DataFrame,
     target: str,
@@ -187,36 +186,45 @@ def balance_classes(
     min_rows: int = MIN_CLASS_ROWS,
     max_rows: int = MAX_CLASS_ROWS,
     seed: int | str = SEED,
-    window_rows: int = WINDOW_ROWS,
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """B1 + B2: clean class names; keep classes of up to ``min_rows`` whole, cap the others."""
+    """B1 + B2: clean class names; keep classes of up to ``min_rows`` whole, cap the others.
+
+    Up to ``top_rows`` kept rows of a class, the cut is found among the first rows of its parts, beyond by counting.
+    """
     key = _keys(key)
     named = df.withColumn(target, class_name(target))
-    bound = df.count()
-    if bound <= window_rows and min_rows <= max_rows:
-        # The literal limit lets the window drop surplus rows ahead of the shuffle.
+    if max(min_rows + 1, max_rows) <= top_rows:
         hashed = named.withColumn("_hash", sample_hash(key, seed, "balance"))
-        return hashed.withColumn("_rank", _ranks([target], key)).where(F.col("_rank") <= max_rows).select(*df.columns)
+        kept = hashed.join(_cap_edges(hashed, target, key, min_rows, max_rows), target)
+        return kept.where(_position(key) <= F.col("_edge_cap")).select(*df.columns)
 
     def rank(size: Column) -> Column:
         return F.when(size <= min_rows, size).otherwise(F.least(size, F.lit(max_rows)))
 
-    placed = _placed(named, target, key, seed, "balance", {"cap": rank}, bound, window_rows)
+    placed = _placed(named, target, key, seed, "balance", {"cap": rank})
     return placed.where(F.col("_in_cap")).select(*df.columns)
 
 
 def cap_rows(
-    df: DataFrame,
-    n: int,
-    key: str | Sequence[str],
-    seed: int | str = SEED,
-    purpose: str = "cap",
-    window_rows: int = WINDOW_ROWS,
+    df: DataFrame, n: int, key: str | Sequence[str], seed: int | str = SEED, purpose: str = "cap"
 ) -> DataFrame:
-    """``n`` rows chosen uniformly, whatever their class; all of them when there are no more."""
+    """``n`` rows chosen uniformly, whatever their class; all of them when there are no more.
+
+    The row at rank ``n`` is found by counting ranges of the hash, narrower ones round by round. Rows
+    are then filtered where they are: nothing is sorted or shuffled for the result, which keeps its partitions.
+    """
     key = _keys(key)
+    if n <= 0:
+        return df.limit(0)
     hashed = df.withColumn("_hash", sample_hash(key, seed, purpose))
-    return _first_by_hash(hashed, n, key, window_rows).select(*df.columns)
+    one = hashed.withColumn("_all", F.lit(0))
+    found = _edges(one, "_all", key, {"cap": lambda size: F.lit(n)}).select("_edge_cap").first()
+    if found is None or found["_edge_cap"] is None:
+        return df
+    types = {name: hashed.schema[name].dataType for name in ["_hash", *key]}
+    last = F.struct(*[F.lit(value).cast(types[name]).alias(name) for name, value in found["_edge_cap"].asDict().items()])
+    return hashed.where(_position(key) <= last).select(*df.columns)
 
 
 def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int | str = SEED) -> DataFrame:
@@ -259,7 +267,6 @@ def stratified_split(
     test_fraction: float = TEST_FRACTION,
     seed: int | str = SEED,
     class_bound: int | None = None,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``split``. Rows without a class are left out.
 
@@ -267,7 +274,7 @@ def stratified_split(
     the first go to val, the next to test and the rest to train.
 
     ``class_bound`` states a proven upper bound on the rows of a class (after
-    :func:`balance_classes`, its cap); without it, the rows are counted.
+    :func:`balance_classes`, its cap): up to ``BOUND_ROWS`` such classes are ranked in one shuffle.
     """
 
     def first_cut(size: Column) -> Column:
@@ -277,9 +284,8 @@ def stratified_split(
         val, test = _ladder(size, val_fraction, test_fraction)
         return F.when(size == 2, F.lit(1)).otherwise(val + test)
 
-    bound = df.count() if class_bound is None else class_bound
     cuts = {"first": first_cut, "second": second_cut}
-    placed = _placed(df, target, _keys(key), seed, "split", cuts, bound, window_rows)
+    placed = _placed(df, target, _keys(key), seed, "split", cuts, class_bound)
     size, in_first, in_second = F.col("_n"), F.col("_in_first"), F.col("_in_second")
     split = (
         F.when(size == 1, "train")
@@ -302,7 +308,6 @@ def proportional_subset(
     key: str | Sequence[str],
     target: str | None = None,
     seed: int | str = SEED,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """About ``n`` rows with the class shares of the whole, at least one row per class.
 
@@ -321,9 +326,13 @@ def proportional_subset(
         share = F.bround(size / F.lit(total) * F.lit(n), 0).cast("bigint")
         return F.least(size, F.greatest(F.lit(1), share))
 
-    placed = _placed(df, target, key, seed, "subset", {"share": rank}, total, window_rows)
+    cuts = {"share": rank}
+    edges = _edges(df.withColumn("_hash", sample_hash(key, seed, "subset")), target, key, cuts)
+    placed = _placed(df, target, key, seed, "subset", cuts, edges=edges)
     kept = placed.where(F.col("_in_share")).select(*df.columns)
-    return cap_rows(kept, n, key, seed, "trim", window_rows)
+    if (edges.agg(F.sum(rank(F.col("_n")))).first()[0] or 0) <= n:
+        return kept
+    return cap_rows(kept, n, key, seed, "trim")
 
 
 def first_rows_in_order(

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import history
-from tallyloom.operators.ordered import running_before
+from tallyloom.operators import ordered
+from tallyloom.operators.ordered import exact_sum, running_before
+from tallyloom.sources.workspace import stage
 
 NAN = float("nan")
 
@@ -32,6 +34,52 @@ def test_running_before(spark, kind):
         assert {(row.run, row.seq): row.before for row in found} == expected
 
 
+def test_sparse_steps_give_few_ranges(spark, monkeypatch):
+    rows = [("hot" if at % 3 else f"r{at}", at * 1_000_000, float(at % 97)) for at in range(900)]
+    df = spark.createDataFrame(rows, "run string, step long, x double")
+    staged = []
+    monkeypatch.setattr(ordered, "stage", lambda df, name, compact=False: staged.append(stage(df, name, compact)) or staged[-1])
+    monkeypatch.setattr(ordered, "TEAM", 3)
+    found = running_before(df, ["run"], "step", "max", "x", "before", 100).collect()
+    assert staged[0].select("_range").distinct().count() <= 10
+    assert staged[0].where("run = 'hot'").select("_range").distinct().count() >= 5
+    best = None
+    for row in sorted((row for row in found if row.run == "hot"), key=lambda row: row.step):
+        assert row.before == best
+        best = row.x if best is None else max(best, row.x)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "date", "string", "double"])
+def test_order_of_any_type(spark, kind):
+    made = {"timestamp": "timestamp_seconds(id * 3601)", "date": "date_add(DATE'2020-01-01', cast(id as int))",
+            "string": "lpad(id, 5, '0')", "double": "id / 7D"}[kind]
+    df = spark.range(60).selectExpr("'r' AS run", f"{made} AS at", "id AS x")
+    assert {row.x: row.before for row in running_before(df, ["run"], "at", "last", "x", "before", 9).collect()} == {
+        x: x - 1 if x else None for x in range(60)
+    }
+
+
+def test_exact_sum_is_the_same_in_any_order(spark):
+    draw = random.Random(6)
+    values = [draw.choice([1, -1]) * draw.random() * 2.0 ** draw.randrange(-30, 50) for _ in range(3000)] + [0.1] * 500 + [1e17, 1e-12]
+    sums = set()
+    for seed in range(3):
+        draw.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(seed + 1)
+        sums.add(df.agg(exact_sum("x")).first()[0])
+    assert sums == {math.fsum(values)}
+    odd = spark.createDataFrame([("a", None), ("b", 1e300), ("b", 2.0), ("c", -0.5), ("c", None)], "g string, x double")
+    assert {r[0]: r[1] for r in odd.groupBy("g").agg(exact_sum("x")).collect()} == {"a": None, "b": 1e300, "c": -0.5}
+
+
+def test_a_window_that_never_closes_stays_split(spark):
+    """Batches 1, 11, 21, ... never fall on a closing position: one step, added without gathering its losses."""
+    df = spark.range(5000).selectExpr("'r' AS run", "0 AS epoch", "id * 10 + 1 AS batch", "CAST(0.1 AS DOUBLE) AS loss")
+    found = history.accumulation_windows(df, 4, chunk=300)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert [tuple(r) for r in found.collect()] == [("r", 0, 49991, math.fsum([0.1] * 5000) / 4)]
+
+
 def test_best_checkpoint(spark):
     log = [("a", 1, 0.5), ("a", 2, NAN), ("a", 3, 0.7), ("a", 4, 0.7), ("a", 5, 0.1), ("b", 1, NAN), ("c", 9, 0.0), ("d", 1, -1.0)]
     df = spark.createDataFrame(log, "run string, step int, macro_f1 double")

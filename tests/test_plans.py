@@ -49,9 +49,9 @@ def test_text_work_needs_no_shuffle(spark):
 def test_wide_rows_are_not_shuffled_to_be_sampled(spark):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for drawn in (
-        sampling.balance_classes(documents, "lang", "doc_id", 5, 30, window_rows=0),
-        sampling.stratified_split(documents, "lang", "doc_id", window_rows=0),
-        sampling.proportional_subset(documents, 150, "doc_id", "lang", window_rows=0),
+        sampling.balance_classes(documents, "lang", "doc_id", 5, 30),
+        sampling.stratified_split(documents, "lang", "doc_id"),
+        sampling.proportional_subset(documents, 150, "doc_id", "lang"),
     ):
         plan = plan_of(drawn)
         assert "Exchange hashpartitioning" not in plan and "Window" not in plan
@@ -64,7 +64,7 @@ def test_edges_are_shuffled_once_they_are_large(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
     try:
-        drawn = sampling.balance_classes(documents, "lang", "doc_id", 5, 30, window_rows=0)
+        drawn = sampling.balance_classes(documents, "lang", "doc_id", 5, 30)
         assert "Broadcast" not in plan_of(drawn)
         found = {row.doc_id for row in drawn.collect()}
     finally:
@@ -72,10 +72,12 @@ def test_edges_are_shuffled_once_they_are_large(spark):
     assert found == {row.doc_id for row in sampling.balance_classes(documents, "lang", "doc_id", 5, 30).collect()}
 
 
-def test_small_tables_drop_surplus_rows_ahead_of_the_shuffle(spark):
+def test_map_tasks_drop_surplus_keys_ahead_of_both_shuffles(spark, monkeypatch):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
-    plan = plan_of(sampling.balance_classes(documents, "lang", "doc_id", 5, 30))
-    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+    plans = []
+    monkeypatch.setattr(sampling, "stage", lambda df, name, compact=False: plans.append(plan_of(df)) or stage(df, name, compact))
+    sampling.balance_classes(documents, "lang", "doc_id", 5, 30)
+    assert len(plans) == 1 and plans[0].count("WindowGroupLimit") == 4 and plans[0].count("Exchange hashpartitioning") == 2
 
 
 def test_capped_classes_are_ranked_in_one_shuffle(spark):

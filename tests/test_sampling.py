@@ -26,19 +26,16 @@ def table(spark, sizes):
 HOT = {"hot": 3000, **{f"c{size}": size for size in range(1, 60)}, None: 40, " hot ": 7, "": 5}
 
 
-# All ranks from edges, and from windows.
-PATHS = [0, sampling.WINDOW_ROWS]
-
-
-@pytest.fixture(autouse=True, params=[40, 10**6])
+@pytest.fixture(autouse=True, params=[(10**6, 100_000), (10, 12)])
 def bucket_rows(request, monkeypatch):
-    """Large and small classes, or small ones alone."""
-    monkeypatch.setattr(sampling, "BUCKET_ROWS", request.param)
+    """Small classes alone, and large ones with so few buckets that it takes several rounds."""
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", request.param[0])
+    monkeypatch.setattr(sampling, "MOST_BUCKETS", request.param[1])
 
 
-@pytest.mark.parametrize("window_rows", PATHS)
+@pytest.mark.parametrize("top_rows", [0, sampling.TOP_ROWS])
 @pytest.mark.parametrize("low,high", [(20, 50), (0, 1), (30, 10), (0, 100000)])
-def test_balance(spark, low, high, window_rows):
+def test_balance(spark, low, high, top_rows):
     df, rows = table(spark, HOT)
     classes = defaultdict(list)
     for row in rows:
@@ -47,7 +44,7 @@ def test_balance(spark, low, high, window_rows):
     for name, members in classes.items():
         n = len(members) if len(members) <= low else min(len(members), high)
         expected |= {(key, name) for key, in ranked(members, "balance")[:n]}
-    found = sampling.balance_classes(df, "class", "id", low, high, window_rows=window_rows).collect()
+    found = sampling.balance_classes(df, "class", "id", low, high, top_rows=top_rows).collect()
     assert len(found) == len(expected)
     assert {tuple(row) for row in found} == expected
 
@@ -55,21 +52,36 @@ def test_balance(spark, low, high, window_rows):
 def test_balance_does_not_depend_on_partitioning(spark):
     df, _ = table(spark, HOT)
     one = sampling.balance_classes(df.coalesce(1), "class", "id", 5, 25).collect()
-    many = sampling.balance_classes(df.repartition(31, "id"), "class", "id", 5, 25, window_rows=0).collect()
+    many = sampling.balance_classes(df.repartition(31, "id"), "class", "id", 5, 25, top_rows=0).collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, many))
 
 
-@pytest.mark.parametrize("window_rows", PATHS)
-@pytest.mark.parametrize("n", [0, 1, 20, 21, 2500, 4999, 5000, 6000])
-def test_cap_is_exact(spark, n, window_rows):
+@pytest.mark.parametrize("n", [0, 1, 2500, 4999, 6000])
+def test_cap_is_exact(spark, n):
     df = spark.range(5000)
-    found = sorted(row[0] for row in sampling.cap_rows(df, n, "id", window_rows=window_rows).collect())
+    found = sorted(row[0] for row in sampling.cap_rows(df, n, "id").collect())
     assert found == sorted(key for key, in ranked([(key,) for key in range(5000)], "cap")[:n])
 
 
+def test_cap_filters_rows_where_they_are(spark):
+    df = spark.range(5000).repartition(13)
+    found = sampling.cap_rows(df, 16, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Sort" not in plan and plan.count("Exchange") == 1
+    assert found.rdd.getNumPartitions() == 13 and found.count() == 16
+
+
+def test_rounds_reach_the_row_in_a_class_of_any_size(spark, monkeypatch):
+    """With two buckets a round, all rounds are used and what is left is ranked."""
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", 1)
+    monkeypatch.setattr(sampling, "MOST_BUCKETS", 2)
+    found = sorted(row[0] for row in sampling.cap_rows(spark.range(900), 450, "id").collect())
+    assert found == sorted(key for key, in ranked([(key,) for key in range(900)], "cap")[:450])
+
+
 def test_cap_over_two_key_columns(spark):
     df = spark.range(3000).select(F.concat(F.lit("f"), F.col("id") % 3).alias("file"), (F.col("id") / 3).cast("int").alias("row"))
-    found = sampling.cap_rows(df, 1500, ["file", "row"], window_rows=0).collect()
+    found = sampling.cap_rows(df, 1500, ["file", "row"]).collect()
     expected = sorted(((f"f{at % 3}", at // 3) for at in range(3000)), key=lambda row: (digest(f"{row[0]}|{row[1]}", "cap"), row))
     assert {tuple(row) for row in found} == set(expected[:1500])
 
@@ -89,9 +101,8 @@ def split_of(members, val, test):
     return ["val"] * n_val + ["test"] * n_test + ["train"] * (n - n_val - n_test)
 
 
-@pytest.mark.parametrize("window_rows", PATHS)
 @pytest.mark.parametrize("val,test", [(0.05, 0.05), (0.5, 0.5), (0.1, 0.25), (0.0, 0.9)])
-def test_split_ladder(spark, val, test, window_rows):
+def test_split_ladder(spark, val, test):
     df, rows = table(spark, {name: size for name, size in HOT.items() if name != " hot "})
     classes = defaultdict(list)
     for key, name in rows:
@@ -101,7 +112,7 @@ def test_split_ladder(spark, val, test, window_rows):
     for members in classes.values():
         order = ranked(members, "split")
         expected |= {key: split for (key,), split in zip(order, split_of(order, val, test))}
-    found = sampling.stratified_split(df, "class", "id", val, test, window_rows=window_rows).collect()
+    found = sampling.stratified_split(df, "class", "id", val, test).collect()
     assert len(found) == len(expected)
     assert {row["id"]: row["split"] for row in found} == expected
 
@@ -120,11 +131,10 @@ def subset_of(rows, n):
     return set(ranked(kept, "trim")[:n])
 
 
-@pytest.mark.parametrize("window_rows", PATHS)
 @pytest.mark.parametrize("n", [10, 200, 1500, 4000, 10**6])
-def test_proportional_subset(spark, n, window_rows):
+def test_proportional_subset(spark, n):
     df, rows = table(spark, HOT)
-    found = sampling.proportional_subset(df, n, "id", "class", window_rows=window_rows).collect()
+    found = sampling.proportional_subset(df, n, "id", "class").collect()
     assert {tuple(row) for row in found} == subset_of(rows, n)
     assert len(found) <= max(n, 0)
 
