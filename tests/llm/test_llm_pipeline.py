@@ -1,16 +1,20 @@
 """Registered queries and the pipeline against plain versions over a small table."""
 
 import os
+import re
+from collections import Counter, defaultdict
 
 import pytest
 
 import corpus_pipeline
 from __spark_entry__ import queries
-from tallyloom.llm import language, simhash, toxicity
+from tallyloom.llm import language, toxicity
 from tallyloom.llm.catalog import QUERIES
 from tallyloom.llm.common import table, trainable
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+# Large enough for toxic documents to be told apart, and for near copies.
+PIPELINE_DIR = os.environ.get("TEST_PIPELINE_DIR", "/root/testdata/sf0.01")
 
 COLUMNS = {
     1: ["doc_id", "held_out", "lang_pred", "score"],
@@ -45,31 +49,64 @@ def test_all_numbers_are_registered():
     assert "pipeline" in queries()
 
 
+def plain_shingles(text, words=5):
+    found = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]+", lambda m: m.group().lower(), text or ""))
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def plain_survivors(texts, least=0.8):
+    """Smallest id of each group of texts linked by Jaccard similarity, all pairs of an inverted list compared."""
+    shingles, parent = {i: plain_shingles(text) for i, text in texts.items()}, {i: i for i in texts}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    shared, holders = Counter(), defaultdict(list)
+    for i in sorted(texts):
+        for shingle in shingles[i]:
+            shared.update((j, i) for j in holders[shingle])
+            holders[shingle].append(i)
+    for (j, i), both in shared.items():
+        if both >= least * (len(shingles[i]) + len(shingles[j]) - both) - 1e-9:
+            a, b = sorted((find(i), find(j)))
+            parent[b] = a
+    return sorted(i for i in texts if find(i) == i)
+
+
 def test_pipeline_keeps_what_plain_versions_keep(spark):
-    docs = table(spark, SF_DIR, "documents")
+    docs = table(spark, PIPELINE_DIR, "documents")
     rows = {row.doc_id: row for row in docs.collect()}
-    labels = table(spark, SF_DIR, "labels")
+    labels = table(spark, PIPELINE_DIR, "labels")
     model = toxicity.train(docs.select("doc_id", "text").where(trainable()), labels.where(trainable()))
     scores = dict(zip(rows, model.scores([row.text for row in rows.values()])))
     clean = {i for i in rows if scores[i] < toxicity.THRESHOLD}
+    assert 0.8 * len(rows) < len(clean) <= len(rows)
     kept = docs.where(docs.doc_id.isin(clean))
     known = language.train(kept.select("doc_id", "text", "lang").where(trainable()))
     memory = language.KnownWords()
     sure = {i for i in clean for found in known.predict([rows[i].text], memory) if found[0] != "und" and found[1] > 0.5}
-    prints = {i: simhash.fingerprint_of(rows[i].text, corpus_pipeline.SHINGLE) % 2**64 for i in sure}
-    left, survivors = sorted(sure), []
-    while left:
-        group, ahead = {left[0]}, [left[0]]
-        while ahead:
-            at = ahead.pop()
-            new = {i for i in left if i not in group and (prints[at] ^ prints[i]).bit_count() <= corpus_pipeline.MOST_BITS}
-            group |= new
-            ahead += new
-        survivors.append(left[0])
-        left = [i for i in left if i not in group]
-    found = corpus_pipeline.run(spark, SF_DIR).toPandas()
+    survivors = plain_survivors({i: rows[i].text for i in sure})
+    assert 0.5 * len(rows) < len(survivors) < len(sure)
+    found = corpus_pipeline.run(spark, PIPELINE_DIR).toPandas()
     assert sorted(set(found.doc_id)) == survivors
     assert (found.groupby("doc_id").length.sum() == found.groupby("doc_id").doc_tokens.first()).all()
+    assert (found.ids.str.len() == 4 * found.length).all()
+
+
+def test_rows_of_files_keep_their_numbers(spark, tmp_path):
+    made = spark.range(1000).selectExpr("id % 7 AS doc_id", "'t' AS text").repartition(5)
+    made.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    one = corpus_pipeline.numbered(docs)
+    assert one.select("__llm_row").distinct().count() == 1000 and one.columns == [*docs.columns, "__llm_row"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        again = corpus_pipeline.numbered(docs.select("doc_id", "text"))
+        assert one.exceptAll(again).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_stages_take_odd_rows_and_extra_columns(spark):
