@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, table
@@ -11,9 +13,13 @@ from tallyloom.catalog.scans import document_scan
 from tallyloom.constants import FILE_COLUMN, ORDINAL_COLUMN
 from tallyloom.functions import payload
 from tallyloom.operators import images
-from tallyloom.operators.preprocess import preprocess_images, with_image_path
+from tallyloom.operators.preprocess import FolderStore, preprocess_images, with_image_path
+from tallyloom.operators.scoring import transcode_batches
 from tallyloom.operators.statistics import job_tallies
-from tallyloom.sources.workspace import new_folder
+from tallyloom.plans.preprocessing import BAD_SAMPLES, preprocess_manifest
+from tallyloom.sources.manifests import PREPROCESSED, write_manifest
+from tallyloom.sources.shards import scan_metadata
+from tallyloom.sources.workspace import new_folder, stage
 
 
 def _bytes(name="text"):
@@ -176,10 +182,12 @@ def source_precedence(spark, sf_dir):
 
 
 @query("q_d4_read_in_tasks", "SELECT doc_id, md5(text) AS digest FROM documents")
-def read_in_tasks(spark, sf_dir):
+def read_in_passes(spark, sf_dir):
+    """Cells pass by pass through Spark's scan, for manifests whose pointers are too many for one broadcast."""
     manifest = document_scan(spark, sf_dir, ("doc_id",))
-    cells = images.read_cells(manifest, f"{sf_dir}/documents.parquet", "text")
-    return cells.select("doc_id", F.md5("text").alias("digest"))
+    passes = images.cell_passes(manifest, f"{sf_dir}/documents.parquet", "text")
+    parts = [stage(cells.select("doc_id", F.md5("text").alias("digest")), "cells") for cells in passes]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("q_d4_pointer_lookup", "SELECT doc_id, md5(text) AS digest FROM documents")
@@ -275,9 +283,57 @@ def _preprocess(spark, sf_dir, folder):
     return rows, preprocess_images(rows, payloads, "doc_id", shrink, folder)
 
 
+def _mixed_source(spark, sf_dir, folder):
+    """Source files whose cells hold bytes, a path, a path to nothing, neither, or null; and one file that is no table.
+
+    Returns the pointers with ``doc_id``, ``lang`` and ``split``.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    kind = F.col("doc_id") % 6
+    name = F.concat(F.lit("by-path/"), F.col("doc_id").cast("string"), F.lit(".img"))
+    written = docs.where(kind == 1).select(name.alias("path"), _bytes().alias("payload"))
+    written = transcode_batches(written, bytes, store=FolderStore(folder), path="path")
+    stage(written, "by-path")
+    path = F.when(kind == 1, name).when(kind == 2, F.concat(name, F.lit(".gone")))
+    cell = F.when(kind != 5, F.struct(F.when((kind == 0) | (kind == 3), _bytes()).alias("bytes"), path.alias("path")))
+    docs.select("doc_id", "lang", cell.alias("image")).write.parquet(f"{folder}/source")
+    rows = scan_metadata(spark, f"{folder}/source", ["doc_id", "lang"])
+    broken = spark.range(1).select(F.lit("broken.parquet").alias("path"), F.lit(b"no table").alias("payload"))
+    stage(transcode_batches(broken, bytes, store=FolderStore(f"{folder}/source"), path="path"), "broken")
+    lost = F.col("doc_id") % 6 == 3
+    file = F.when(lost, F.lit(f"{folder}/source/broken.parquet")).otherwise(F.col(FILE_COLUMN))
+    split = F.when(F.col("doc_id") % 4 == 0, "val").otherwise("train")
+    return rows.withColumns({FILE_COLUMN: file, "split": split, "filename": F.col("doc_id").cast("string")})
+
+
 _SIZE = "octet_length(encode(text))"
 
 
+@query(
+    "q_d6_mixed_cells",
+    f"""SELECT doc_id, lang, CASE WHEN doc_id % 4 = 0 THEN 'val' ELSE 'train' END AS split,
+        CASE WHEN doc_id % 6 < 2 AND {_SIZE} <= 60000 THEN md5(concat('IMG0', text)) END AS digest,
+        CASE WHEN doc_id % 6 < 2 AND {_SIZE} <= 60000 THEN NULL WHEN doc_id % 6 < 2 THEN 'ValueError: too large'
+             WHEN doc_id % 6 = 2 THEN 'FileNotFoundError' WHEN doc_id % 6 = 3 THEN 'cannot read source row'
+             ELSE 'ValueError: no payload' END AS error FROM documents""",
+)
+def mixed_cells(spark, sf_dir):
+    """The whole plan over cells of every form: contents of the written images, and the quarantined rows with their errors."""
+    folder = new_folder(spark, "mixed")
+    write_manifest(_mixed_source(spark, sf_dir, folder), f"{folder}/manifest")
+    preprocess_manifest(
+        spark, folder, f"{folder}/source", f"{folder}/images", shrink, target="lang", image_paths=f"{folder}/by-path", data_dir=folder
+    )
+    rows = spark.read.parquet(f"{folder}/{PREPROCESSED}").select("doc_id", "lang", "split", images.plain_path("image_path").alias("path"))
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/images")
+    digests = contents.select(images.plain_path("path").alias("path"), F.md5("content").alias("digest"))
+    bad = spark.read.parquet(f"{folder}/{BAD_SAMPLES}").select(
+        F.col("filename").cast("long").alias("doc_id"),
+        F.when(F.col("error").startswith("FileNotFoundError"), "FileNotFoundError").otherwise(F.col("error")).alias("error"),
+    )
+    return rows.join(digests, "path", "left").drop("path").join(bad, "doc_id", "left")
+
+
 @query(
     "q_d6_preprocess_images",
     f"""SELECT doc_id, lang, CASE WHEN {_SIZE} <= 60000 THEN concat(substr(md5(CAST(doc_id AS VARCHAR)), 1, 3), '/',

@@ -5,27 +5,22 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyarrow import ArrowInvalid
-from pyarrow.fs import FileSystem
-from pyarrow.parquet import ParquetFile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyloom.constants import FILE_COLUMN, ORDINAL_COLUMN
 from tallyloom.functions.payload import payload_of_struct
 from tallyloom.functions.text import as_column
-from tallyloom.operators.ordered import whole_part
-from tallyloom.sources.shards import list_files
-from tallyloom.sources.workspace import write_once
+from tallyloom.sources.shards import list_files, parquet_reader
+from tallyloom.sources.workspace import new_folder, stage, write_once
 
 # Up to this many files, the scan is told which ones to open.
 LISTED_FILES = 1000
-# Pointer hashes up to this size are broadcast to the scan.
+# Pointers up to this size are broadcast to the scan.
 POINTER_BYTES = 64 * 1024 * 1024
-# Rows of one file that one group of read_cells covers.
-ROWS_PER_READ = 20_000
+# Files that one pass of cell_passes names, and what a broadcast row weighs beyond its text.
+PASS_FILES, ROW_BYTES = 10_000, 64
 
 
 def plain_path(path: Column | str) -> Column:
@@ -33,25 +28,47 @@ def plain_path(path: Column | str) -> Column:
     return F.regexp_replace(as_column(path), "^file:/+", "/")
 
 
-def resolve_paths(
-    refs: DataFrame, ref: str, listing: DataFrame, data_dir: str | None = None, path: str = "path"
-) -> DataFrame:
-    """Distinct references with the listed path they stand for.
+def plain_root(folder: str) -> str:
+    """A folder as :func:`plain_path` writes what lies in it."""
+    return re.sub("^file:/+", "/", folder).rstrip("/")
 
-    Tried in order: the reference when absolute, under ``data_dir``, its base name under
-    ``data_dir``, the reference as given. Without a match ``resolved`` is the reference and
-    ``found`` is false. One join over all candidates.
-    """
+
+def tried_paths(ref: Column | str, data_dir: str | None = None) -> list[Column]:
+    """The paths a reference may stand for, in the order of D5; some may be null."""
     plain = plain_path(ref)
     tried = [F.when(plain.startswith("/"), plain)]
     if data_dir is not None:
-        root = data_dir.rstrip("/")
+        root = plain_root(data_dir)
         base = F.substring_index(plain, "/", -1)
         tried += [
             F.when(plain.startswith("/"), plain).otherwise(F.concat(F.lit(root + "/"), plain)),
             F.concat(F.lit(root + "/"), base),
         ]
-    tried.append(plain)
+    return [*tried, plain]
+
+
+def paths_below(ref: Column | str, roots: Sequence[str], data_dir: str | None = None) -> Column:
+    """The paths a reference may stand for that lie below one of ``roots``, as an array in the order of D5."""
+
+    def below(path: Column) -> Column:
+        inside = F.lit(False)
+        for root in roots:
+            inside = inside | path.startswith(plain_root(root) + "/")
+        return path.isNotNull() & inside & ~path.contains("/../")
+
+    return F.array_distinct(F.filter(F.array(*tried_paths(ref, data_dir)), below))
+
+
+def resolve_paths(
+    refs: DataFrame, ref: str, listing: DataFrame, data_dir: str | None = None, path: str = "path"
+) -> DataFrame:
+    """Distinct references with the listed path they stand for.
+
+    Tried in order: the reference when absolute, under ``data_dir``, its base name under
+    ``data_dir``, the reference as given. Without a match ``resolved`` is the reference and
+    ``found`` is false. One join over all candidates.
+    """
+    tried = tried_paths(ref, data_dir)
     distinct = refs.select(ref).where(F.col(ref).isNotNull()).distinct()
     candidates = distinct.select(ref, F.posexplode(F.array(*tried)).alias("_place", "_path")).where(
         F.col("_path").isNotNull()
@@ -77,11 +94,19 @@ def resolve_pointers(
     return placed.withColumn(FILE_COLUMN, F.col("_resolved")).select(*manifest.columns)
 
 
-def _source_cells(spark: SparkSession, paths: str | Sequence[str], column: str) -> DataFrame:
+def _source_cells(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    column: str,
+    schema: StructType | str | None = None,
+    skip_broken: bool = False,
+) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    if skip_broken:
+        # The columns come from all footers, because the first file may be the broken one.
+        reader = parquet_reader(spark, schema).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(*([paths] if isinstance(paths, str) else paths))
+        reader.parquet(*([paths] if isinstance(paths, str) else paths))
         .select(
             F.col(column),
             F.col("_metadata.file_path").alias(FILE_COLUMN),
@@ -104,8 +129,7 @@ def fetch_cells(
     keeps the scan from opening the others. Pointers are then written as 8-byte hashes; when they
     take no more than ``pointer_bytes`` they are broadcast to drop unwanted cells during the scan,
     so that only wanted cells can meet a shuffle. The join proper compares file and ordinal,
-    a unique pair without hot keys. For a larger manifest use :func:`read_cells`, which moves
-    pointers instead of cells.
+    a unique pair without hot keys. Beyond that the join shuffles cells; :func:`cell_passes` does not.
     """
     source = _source_cells(spark, paths, column)
     file = plain_path(FILE_COLUMN)
@@ -126,71 +150,59 @@ def fetch_cells(
     return joined.select(FILE_COLUMN, ORDINAL_COLUMN, *others, column)
 
 
-def read_cells(
+def cell_passes(
     manifest: DataFrame,
     paths: str | Sequence[str],
     column: str = "image",
-    rows_per_task: int = ROWS_PER_READ,
-    batch_rows: int = 64,
-) -> DataFrame:
-    """D4 for manifests of any size: pointers are shuffled, cells never are.
+    listed_files: int = PASS_FILES,
+    pointer_bytes: int = POINTER_BYTES,
+    schema: StructType | str | None = None,
+) -> Iterator[DataFrame]:
+    """D4 for manifests of any size: the rows with their cells, pass by pass; cells meet no shuffle.
+
+    Files are dealt into passes by hash. A pass names its files to the scan, which opens no others, and broadcasts its rows,
+    whose bytes are counted before. Where a pass holds more than ``pointer_bytes`` (one file may hold most
+    rows), its rows are dealt into parts, and its files are read once per part. Use each pass up, by writing it, before the
+    next one, so that one broadcast lives at a time.
 
-    Rows are grouped by file and range of ordinals, so a file that holds most of the rows is read
-    by many tasks. Each opens the file, skips row groups it does not need and streams the others.
-    Needs storage that pyarrow can open. A file or row that is gone gives null, and so does a file that is not Parquet:
-    a broken file costs its own rows only.
+    Rows whose cell is not found are in no pass: no pointer, a file that is gone, a row that is not there, or the rest of a file from where it
+    is broken. Find them by an anti join.
     """
-    kind = _source_cells(manifest.sparkSession, paths, column).schema[column]
-    schema = StructType([*manifest.schema.fields, kind])
-    names = manifest.columns
-    # Rows without a pointer would all fall into one group, so they go around the reading.
-    pointed = F.col(FILE_COLUMN).isNotNull() & F.col(ORDINAL_COLUMN).isNotNull()
-    grouped = manifest.where(pointed).groupBy(
-        F.col(FILE_COLUMN).alias("_file"), whole_part(ORDINAL_COLUMN, rows_per_task).alias("_range")
-    ).agg(F.collect_list(F.struct(*names)).alias("_rows"))
-
-    def opened(file: str) -> ParquetFile | None:
-        try:
-            files, path = FileSystem.from_uri(re.sub("^s3a:", "s3:", file))
-            return ParquetFile(files.open_input_file(path))
-        except (FileNotFoundError, ArrowInvalid):
-            return None
-
-    def cells(source: ParquetFile, wanted: set[int]) -> Iterator[tuple[int, object]]:
-        start = 0
-        for group in range(source.num_row_groups):
-            end = start + source.metadata.row_group(group).num_rows
-            if any(start <= at < end for at in wanted):
-                at = start
-                for batch in source.iter_batches(batch_rows, row_groups=[group], columns=[column]):
-                    hits = [place for place in range(batch.num_rows) if at + place in wanted]
-                    for place, value in zip(hits, batch.column(0).take(hits).to_pylist() if hits else ()):
-                        yield at + place, value
-                    at += batch.num_rows
-            start = end
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def frame(found: list[tuple[dict, object]]) -> pd.DataFrame:
-            rows = pd.DataFrame([row for row, _ in found], columns=names)
-            return rows.assign(**{column: pd.Series([value for _, value in found], dtype=object)})
-
-        for batch in batches:
-            for file, rows in zip(batch["_file"], batch["_rows"]):
-                left: dict[int, list[dict]] = {}
-                for row in rows:
-                    left.setdefault(row[ORDINAL_COLUMN], []).append(row)
-                source, ready = opened(file), []
-                for at, value in cells(source, set(left)) if source is not None else ():
-                    ready.extend((row, value) for row in left.pop(at))
-                    if len(ready) >= batch_rows:
-                        yield frame(ready)
-                        ready = []
-                if source is not None:
-                    source.close()
-                yield frame(ready + [(row, None) for rest in left.values() for row in rest])
-
-    fetched = grouped.select("_file", "_rows").mapInPandas(run, schema)
-    return fetched.unionByName(manifest.where(~pointed).withColumn(column, F.lit(None).cast(kind.dataType)))
+    spark = manifest.sparkSession
+    source = _source_cells(spark, paths, column, schema, skip_broken=True)
+    source = source.withColumn("_file", plain_path(FILE_COLUMN)).drop(FILE_COLUMN).withColumnRenamed(ORDINAL_COLUMN, "_at")
+    weight = F.octet_length(F.to_json(F.struct(*manifest.columns))) + ROW_BYTES
+    pointed = manifest.where(F.col(FILE_COLUMN).isNotNull() & F.col(ORDINAL_COLUMN).isNotNull())
+    rows = stage(
+        pointed.withColumns(
+            {"_file": plain_path(FILE_COLUMN), "_weight": weight.cast("bigint"), "_row": F.monotonically_increasing_id()}
+        ),
+        "pointers",
+    )
+    per_file = rows.groupBy("_file").agg(F.sum("_weight").alias("n"))
+    n_files, n_bytes = per_file.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # Half full on average, so that few passes overflow.
+    passes = max(1, -(-2 * n_files // listed_files), -(-2 * n_bytes // pointer_bytes))
+    number = F.pmod(F.xxhash64("_file"), F.lit(passes)).cast("int").alias("_pass")
+    folder = new_folder(spark, "passes")
+    rows.select("*", number).hint("rebalance", "_pass").write.partitionBy("_pass").parquet(folder)
+    dealt = spark.read.schema(StructType([*rows.schema.fields, StructField("_pass", IntegerType())])).parquet(folder)
+    sizes = dealt.groupBy("_pass").agg(F.sum("_weight").alias("n")).collect()
+    for at, size in sorted(tuple(row) for row in sizes):
+        whole = dealt.where(F.col("_pass") == at)
+        parts = 1 if size <= pointer_bytes else -(-2 * size // pointer_bytes)
+        for part in range(parts):
+            wanted = whole.where(F.pmod(F.xxhash64("_row"), F.lit(parts)) == part) if parts > 1 else whole
+            heavy = size if parts == 1 else wanted.agg(F.sum("_weight")).first()[0] or 0
+            files = [row[0] for row in wanted.select("_file").distinct().collect()]
+            # A single row may outweigh the limit; then the planner chooses.
+            sent = F.broadcast(wanted) if heavy <= pointer_bytes else wanted
+            hits = source.where(F.col("_file").isin(files)).join(
+                sent.select(*manifest.columns, F.col("_file").alias("_name")),
+                (F.col("_file") == F.col("_name")) & (F.col("_at") == F.col(ORDINAL_COLUMN)),
+            )
+            if files:
+                yield hits.select(*manifest.columns, column)
 
 
 def source_kind(

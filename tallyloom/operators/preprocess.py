@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyarrow.fs import FileSelector, FileSystem
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.constants import FINISHED_BYTES
 from tallyloom.operators.scoring import IMAGE_ROWS, Transcode, arrow_batches, transcode_batches
-from tallyloom.sources.workspace import stage
+from tallyloom.sources.workspace import stage, write_once
 
 # Outputs are spread over directories named after the first digits of their names.
 PREFIX_DIGITS = 3
 
 
+@lru_cache(maxsize=64)
 def open_folder(folder: str) -> tuple[FileSystem, str]:
     """File system and path of a folder given as a path or a URI."""
     uri = folder if ":" in folder else f"file://{folder}"
@@ -42,9 +44,29 @@ class FolderStore:
         files.move(draft, target)
 
 
+class FileReader:
+    """Content of the first of several paths that is a file, given as paths or URIs; opened inside the task that needs it."""
+
+    def __call__(self, paths: Sequence[str]) -> bytes:
+        for path in paths:
+            # One file system per store, not per image.
+            scheme, host, rest = re.match(r"(?:([A-Za-z][A-Za-z0-9+.-]*)://([^/]*))?(.*)", path, re.S).groups()
+            files, base = open_folder(f"{scheme}://{host}" if scheme and host else "/")
+            name = f"{base.rstrip('/')}{rest}"
+            if files.get_file_info(name).is_file:
+                with files.open_input_stream(name) as stream:
+                    return stream.read()
+        raise FileNotFoundError(f"no such image path: {paths[0]}")
+
+
 def output_name(key: Sequence[str], suffix: str = ".jpg") -> Column:
-    """Path below the output folder, from the row key alone: a new subset keeps old names valid."""
-    name = F.md5(F.concat_ws("|", *[F.col(part).cast("string") for part in key]))
+    """Path below the output folder, from the row key alone: a new subset keeps old names valid.
+
+    Keys of several columns are hashed as JSON, so nulls and separators in them give no shared name.
+    """
+    parts = [F.col(part).cast("string").alias(part) for part in key]
+    whole = F.concat_ws("", *parts) if len(parts) == 1 else F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
+    name = F.md5(whole)
     return F.concat(F.substring(name, 1, PREFIX_DIGITS), F.lit("/"), name, F.lit(suffix))
 
 
@@ -72,37 +94,52 @@ def finished_outputs(spark: SparkSession, folder: str, suffix: str = ".jpg", min
 
 def preprocess_images(
     rows: DataFrame,
-    payloads,
+    payloads: Callable[[DataFrame], DataFrame | Iterable[DataFrame]],
     key: str | Sequence[str],
     transcode: Transcode,
     folder: str,
     store=None,
     suffix: str = ".jpg",
     batch_rows: int = IMAGE_ROWS,
+    keep: Sequence[str] = (),
+    fetch: Callable[[Sequence[str]], bytes] | None = None,
 ) -> DataFrame:
-    """``key..., output_path, n_bytes, error`` for every row; outputs are written on the way.
+    """``key..., keep..., output_path, n_bytes, error`` for every row; outputs are written on the way.
 
     ``payloads`` takes the rows still to do (key columns and all others, plus ``output_path``) and
     returns them with a ``payload`` column; it is called for unfinished rows alone, so a
-    second run fetches no image twice. The outcome is staged, so reading it does not convert again.
+    second run fetches no image twice. It may also return passes, each converted and staged before the next
+    is asked for; rows in none of them fail. With ``fetch``, rows also name files by ``places`` (U2). The outcome is staged, so reading it does
+    not convert again.
     """
     spark = rows.sparkSession
     key = [key] if isinstance(key, str) else list(key)
+    kept = [*key, *keep, "output_path"]
     named = rows.withColumn("output_path", output_name(key, suffix))
     done = stage(finished_outputs(spark, folder, suffix), "finished")
-    earlier = named.select(*key, "output_path").join(done, "output_path").select(
-        *key, "output_path", "n_bytes", F.lit(None).cast("string").alias("error")
+    earlier = named.select(*kept).join(done, "output_path").select(
+        *kept, "n_bytes", F.lit(None).cast("string").alias("error")
     )
     pending = named.join(done, "output_path", "left_anti")
     with arrow_batches(spark, batch_rows):
-        fresh = transcode_batches(
-            payloads(pending),
-            transcode,
-            keep=[*key, "output_path"],
-            store=store or FolderStore(folder),
-            path="output_path",
-        )
-        return stage(earlier.unionByName(fresh), "preprocessed")
+
+        def convert(part: DataFrame) -> DataFrame:
+            return transcode_batches(
+                part, transcode, keep=kept, store=store or FolderStore(folder), path="output_path", fetch=fetch
+            )
+
+        found = payloads(pending)
+        if isinstance(found, DataFrame):
+            return stage(earlier.unionByName(convert(found)), "preprocessed")
+        outcome = stage(earlier, "preprocessed")
+        folders = [write_once(convert(part), "preprocessed") for part in found]
+        if folders:
+            fresh = spark.read.schema(outcome.schema).parquet(*folders)
+            outcome = outcome.unionByName(fresh)
+        reached = outcome.select("output_path").distinct()
+        lost = named.select(*kept).join(reached, "output_path", "left_anti")
+        failed = [F.lit(None).cast("bigint").alias("n_bytes"), F.lit("cannot read source row").alias("error")]
+        return stage(outcome.unionByName(lost.select(*kept, *failed)), "preprocessed")
 
 
 def with_image_path(manifest: DataFrame, outcome: DataFrame, key: str | Sequence[str], folder: str) -> DataFrame:

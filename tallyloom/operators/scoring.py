@@ -64,12 +64,15 @@ def transcode_batches(
     keep: Sequence[str] = (),
     store: Callable[[str, bytes], None] | None = None,
     path: str | None = None,
+    fetch: Callable[[Sequence[str]], bytes] | None = None,
+    places: str = "places",
 ) -> DataFrame:
     """Run ``transcode`` over payload bytes; failures become error texts, never exceptions.
 
     Without ``store`` the result holds the bytes. With it, each output is handed to
     ``store(row[path], bytes)`` inside the task, and the result holds sizes only. Stores must
-    accept the same output twice, since tasks are retried.
+    accept the same output twice, since tasks are retried. ``fetch`` opens a file for rows that name it by ``places``, an array of
+    paths, one row at a time: what is read is what rows ask for. A payload in the row serves where no file does.
     """
     fields = [field for field in rows.schema.fields if field.name in keep]
     fields += [StructField("n_bytes", LongType()), StructField("error", StringType())]
@@ -77,9 +80,16 @@ def transcode_batches(
         fields.append(StructField("output", BinaryType()))
     schema = StructType(fields)
     wanted = [*keep, payload] if path is None or path in keep else [*keep, path, payload]
+    wanted += [] if fetch is None else [places]
 
-    def one(data: bytes | None, target: str | None) -> tuple[int | None, str | None, bytes | None]:
+    def one(data: bytes | None, target: str | None, named: Sequence[str] | None) -> tuple[int | None, str | None, bytes | None]:
         try:
+            if named is not None and len(named):
+                try:
+                    data = fetch(named)
+                except FileNotFoundError:
+                    if data is None:
+                        raise
             if data is None:
                 raise ValueError("no payload")
             output = transcode(bytes(data))
@@ -92,7 +102,8 @@ def transcode_batches(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             targets = batch[path] if path is not None else [None] * len(batch)
-            done = [one(data, target) for data, target in zip(batch[payload], targets)]
+            named = batch[places] if fetch is not None else [None] * len(batch)
+            done = [one(*row) for row in zip(batch[payload], targets, named)]
             out = batch[list(keep)].assign(
                 n_bytes=pd.array([size for size, _, _ in done], dtype="Int64"),
                 error=[error for _, error, _ in done],

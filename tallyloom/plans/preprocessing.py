@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,52 +10,52 @@ from pyspark.sql import functions as F
 from tallyloom.constants import ANSWER_LABELS, FILE_COLUMN, INSTRUCTION
 from tallyloom.functions import chat, text
 from tallyloom.functions.payload import BASE64_LENGTH, payload_of_binary, payload_of_string, payload_of_struct
-from tallyloom.operators.images import plain_path, read_cells, resolve_paths, resolve_pointers
-from tallyloom.operators.preprocess import preprocess_images, with_image_path
+from tallyloom.operators.images import cell_passes, paths_below, resolve_pointers
+from tallyloom.operators.preprocess import FileReader, preprocess_images, with_image_path
 from tallyloom.operators.sampling import proportional_subset
 from tallyloom.operators.scoring import Transcode
 from tallyloom.operators.statistics import job_tallies
 from tallyloom.plans.curation import POINTER
 from tallyloom.sources.manifests import PREPROCESSED, read_manifest, write_manifest
+from tallyloom.sources.quarantine import append_quarantine, bad_rows
 from tallyloom.sources.workspace import stage
 
+# Where the rows that failed are kept, next to the manifests.
+BAD_SAMPLES = "bad_samples"
+
 
 def image_payloads(
     pending: DataFrame,
     source_paths: str | Sequence[str],
     image: str = "image",
-    image_paths: str | Sequence[str] | None = None,
+    image_paths: str | Sequence[str] = (),
     listing: DataFrame | None = None,
     data_dir: str | None = None,
-) -> DataFrame:
-    """``pending`` with its cell and ``payload``, whatever form the cell has; null where there is no image."""
+) -> Iterator[DataFrame]:
+    """``pending`` with ``payload`` and ``places``, in passes, whatever form the cells have; rows without a cell may be missing.
+
+    ``places`` are the files below ``image_paths`` that a cell may name; nothing is opened here.
+    """
     if image in pending.columns:
-        cells = pending
+        passes = iter([pending])
     elif listing is None:
-        cells = read_cells(pending, source_paths, image)
+        passes = cell_passes(pending, source_paths, image)
     else:
         # The reference given is part of the row key, so it comes back after the reading.
         placed = resolve_pointers(pending.withColumn("_given", F.col(FILE_COLUMN)), listing, data_dir)
-        cells = read_cells(placed, source_paths, image).drop(FILE_COLUMN).withColumnRenamed("_given", FILE_COLUMN)
-    kind = dict(cells.dtypes)[image]
-    if kind == "binary":
-        return cells.withColumn("payload", payload_of_binary(image)["payload"])
-    cell = payload_of_string(image) if kind == "string" else payload_of_struct(image)
-    if image_paths is None:
-        return cells.withColumn("payload", cell["payload"])
-    spark = cells.sparkSession
-    named = F.when(F.length(image) <= BASE64_LENGTH, F.col(image)) if kind == "string" else F.when(cell["kind"] == "path", cell["path"])
-    # Cells are read once; rows that name no file go around the joins.
-    cells = stage(cells.withColumn("_ref", named), "image-cells")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = files.load([image_paths] if isinstance(image_paths, str) else list(image_paths))
-    found = resolve_paths(cells, "_ref", files.select("path"), data_dir).where("found")
-    wanted = found.select("_ref", F.col("resolved").alias("_path"))
-    contents = files.select(plain_path("path").alias("_path"), F.col("content").alias("_content"))
-    opened = cells.where("_ref IS NOT NULL").join(wanted.join(contents, "_path").drop("_path"), "_ref", "left")
-    opened = opened.withColumn("payload", F.coalesce("_content", cell["payload"])).drop("_content")
-    rest = cells.where("_ref IS NULL").withColumn("payload", cell["payload"])
-    return rest.unionByName(opened).drop("_ref")
+        found = cell_passes(placed, source_paths, image)
+        passes = (cells.drop(FILE_COLUMN).withColumnRenamed("_given", FILE_COLUMN) for cells in found)
+    roots = [image_paths] if isinstance(image_paths, str) else list(image_paths)
+    for cells in passes:
+        kind = dict(cells.dtypes)[image]
+        if kind == "binary":
+            cell, ref = payload_of_binary(image), F.lit(None).cast("string")
+        elif kind == "string":
+            cell, ref = payload_of_string(image), F.when(F.length(image) <= BASE64_LENGTH, F.col(image))
+        else:
+            cell = payload_of_struct(image)
+            ref = F.when(cell["kind"] == "path", cell["path"])
+        yield cells.select("*", cell["payload"].alias("payload"), paths_below(ref, roots, data_dir).alias("places")).drop(image)
 
 
 def preprocess_manifest(
@@ -67,31 +67,35 @@ def preprocess_manifest(
     max_rows: int | None = None,
     target: str = "canonical_disease",
     image: str = "image",
-    image_paths: str | Sequence[str] | None = None,
+    image_paths: str | Sequence[str] = (),
     listing: DataFrame | None = None,
     data_dir: str | None = None,
+    filename: str = "filename",
 ) -> DataFrame:
     """D6 for the train split (a subset of it, if asked) and the whole val split.
 
     Cells may be structs, bytes, or texts (a path or base64), in the source files or in the manifest itself. Paths
-    in cells are looked up in the folders ``image_paths``; source files that moved are found in ``listing`` (D5), both
-    below ``data_dir`` as well. Writes ``manifest_folder``/preprocessed_manifest; returns the tallies of the job.
+    in cells are opened where they lie below the folders ``image_paths``, each by the task that converts it; source files that moved are found
+    in ``listing`` (D5), both below ``data_dir`` as well. Writes ``manifest_folder``/preprocessed_manifest and appends the rows
+    that failed to ``manifest_folder``/bad_samples (A6); returns the tallies of the job. A broken source file costs its own rows only.
     """
+    folder = manifest_folder.rstrip("/")
     train = proportional_subset(
-        read_manifest(spark, "train", [manifest_folder]).drop("image_path"), max_rows, POINTER, target
+        read_manifest(spark, "train", [folder]).drop("image_path"), max_rows, POINTER, target
     )
-    val = read_manifest(spark, "val", [manifest_folder]).drop("image_path")
+    val = read_manifest(spark, "val", [folder]).drop("image_path")
     rows = stage(train.unionByName(val), "to-preprocess")
 
-    def payloads(pending: DataFrame) -> DataFrame:
+    def payloads(pending: DataFrame) -> Iterator[DataFrame]:
         return image_payloads(pending, source_paths, image, image_paths, listing, data_dir)
 
-    keys = rows.select(*POINTER, *([image] if image in rows.columns else []))
-    outcome = preprocess_images(keys, payloads, POINTER, transcode, image_folder)
-    manifest = stage(with_image_path(rows, outcome, POINTER, image_folder), "with-images")
-    write_manifest(manifest, f"{manifest_folder.rstrip('/')}/{PREPROCESSED}")
-    sizes = outcome.select(*POINTER, "n_bytes", "error")
-    return job_tallies(manifest.join(sizes, list(POINTER)))
+    named = [name for name in (filename,) if name in rows.columns]
+    keys = rows.select(*POINTER, *named, *([image] if image in rows.columns else []))
+    outcome = preprocess_images(keys, payloads, POINTER, transcode, image_folder, keep=named, fetch=FileReader())
+    write_manifest(stage(with_image_path(rows, outcome, POINTER, image_folder), "with-images"), f"{folder}/{PREPROCESSED}")
+    append_quarantine(bad_rows(outcome, named[0] if named else None, *POINTER), f"{folder}/{BAD_SAMPLES}")
+    # The outcome has every row, so the tallies need no join.
+    return job_tallies(outcome.withColumn("image_path", F.when(F.col("error").isNull(), F.col("output_path"))))
 
 
 def training_rows(

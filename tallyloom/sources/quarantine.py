@@ -13,7 +13,7 @@ def good_rows(outcome: DataFrame, error: str = "error") -> DataFrame:
 
 def bad_rows(
     outcome: DataFrame,
-    filename: Column | str,
+    filename: Column | str | None,
     file: Column | str | None = None,
     ordinal: Column | str | None = None,
     error: str = "error",

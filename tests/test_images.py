@@ -5,9 +5,11 @@ import os
 import struct
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from tallyloom.functions import payload
 from tallyloom.operators import images
 from tallyloom.operators.preprocess import finished_outputs, preprocess_images, with_image_path
@@ -113,14 +115,18 @@ def test_resolved_pointers_lead_to_cells(spark, tmp_path):
     assert [row.image for row in images.fetch_cells(spark, unknown, shards).collect()] == [None] * 40
 
 
+def in_passes(rows, shards, **limits):
+    return [row for cells in images.cell_passes(rows, shards, **limits) for row in cells.collect()]
+
+
 def test_a_broken_file_costs_its_own_rows(spark, tmp_path):
     shards = write_shards(spark, tmp_path)
     scan = scan_metadata(spark, shards, ["label"])
-    broken = tmp_path / "broken.parquet"
-    broken.write_bytes(b"no table at all")
-    lost = scan.limit(2).withColumn("shard_path", F.lit(f"file://{broken}"))
-    cells = images.read_cells(scan.unionByName(lost), shards).collect()
-    assert len(cells) == 42 and sum(row.image is None for row in cells) == 2
+    rows = scan.unionByName(scan.limit(2).withColumn("shard_path", F.lit(f"{shards}/broken.parquet")))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    with open(f"{shards}/broken.parquet", "wb") as broken:
+        broken.write(b"no table at all")
+    assert len(in_passes(rows, shards)) == 40
 
 
 def write_shards(spark, folder, n=40, files=4):
@@ -140,7 +146,6 @@ def test_pointers_lead_back_to_their_rows(spark, tmp_path):
     by_path = scan.withColumn("shard_path", images.plain_path("shard_path"))
     assert not by_path.where("shard_path LIKE 'file:%'").count()
     ways += [images.fetch_cells(spark, by_path, shards, "image", listed) for listed in (0, 1000)]
-    ways += [images.read_cells(scan, shards, rows_per_task=size, batch_rows=3) for size in (1, 4, 100)]
     for way in ways:
         assert way.columns[-1] == "image"
         cells = way.collect()
@@ -150,13 +155,30 @@ def test_pointers_lead_back_to_their_rows(spark, tmp_path):
             assert bytes(row.image) == bytes([at]) * (600 if at % 10 else 0)
     gone = scan.limit(3).withColumn("row_idx_in_shard", F.lit(10**9).cast("bigint"))
     assert [row.image for row in images.fetch_cells(spark, gone, shards).collect()] == [None] * 3
-    assert [row.image for row in images.read_cells(gone, shards).collect()] == [None] * 3
-    twice = images.read_cells(scan.unionByName(scan), shards).collect()
-    assert len(twice) == 80 and all(row.image is not None for row in twice)
-    unpointed = scan.limit(2).withColumn("row_idx_in_shard", F.lit(None).cast("bigint"))
-    assert [row.image for row in images.read_cells(unpointed, shards).collect()] == [None] * 2
-    lost = scan.limit(2).withColumn("shard_path", F.lit("file:///nowhere/x.parquet"))
-    assert [row.image for row in images.read_cells(lost, shards).collect()] == [None] * 2
+
+
+@pytest.mark.parametrize("limits", [{}, {"pointer_bytes": 3000}])
+def test_passes_bring_every_cell_once(spark, tmp_path, limits):
+    shards = write_shards(spark, tmp_path)
+    scan = scan_metadata(spark, shards, ["label"])
+    by_path = scan.withColumn("shard_path", images.plain_path("shard_path")).limit(20)
+    rows = scan.where("row_idx_in_shard < 5").unionByName(by_path)
+    lost = scan.limit(2).withColumn("row_idx_in_shard", F.lit(10**9).cast("bigint"))
+    lost = lost.unionByName(scan.limit(2).withColumn("row_idx_in_shard", F.lit(None).cast("bigint")))
+    lost = lost.unionByName(scan.limit(2).withColumn("shard_path", F.lit("file:///nowhere/x.parquet")))
+    found = in_passes(rows.unionByName(lost), shards, **limits)
+    assert sorted(row.label for row in found) == sorted(row.label for row in rows.collect())
+    for row in found:
+        at = int(row.label.split()[1])
+        assert bytes(row.image) == bytes([at]) * (600 if at % 10 else 0)
+    assert in_passes(scan.limit(0), shards, **limits) == []
+
+
+def test_cells_of_a_pass_are_not_shuffled(spark, tmp_path):
+    shards = write_shards(spark, tmp_path)
+    cells = next(images.cell_passes(scan_metadata(spark, shards, ["label"]), shards))
+    plan = plan_of(cells)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
 def test_columns_that_only_some_files_have(spark, tmp_path):
