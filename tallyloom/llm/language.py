@@ -2,7 +2,8 @@
 
 Each language is a unigram model over the pieces of a fixed public vocabulary. The probability of a word is the
 sum over *all* its segmentations into pieces, found by a forward pass; a text's is the product over its words, since
-no piece crosses a word. Characters that no piece covers stand for themselves at a floor probability.
+no piece crosses a word. Words are whole runs of letters with their marks, pieces have any length; values are rescaled on the
+way, so long runs do not underflow. Characters that no piece covers stand for themselves at a floor probability.
 
 **Training.** Words of labelled documents are counted per language in Spark. Expectation-maximisation runs over these
 counts: every task passes forward and backward through its words and gives expected piece counts, Spark
@@ -19,6 +20,8 @@ task keeps a bounded table of word -> log-probabilities.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,33 +35,35 @@ from tallyloom.llm.common import vocabulary_path
 
 VOCABULARY = "piece_bpe_32k.model"
 TRAIN_DOCS, ROUNDS = 400, 4
-LONGEST_PIECE, LONGEST_WORD = 8, 32
+#: Longer runs of letters are scored whole, but not learned from.
+TRAIN_WORD = 4096
+#: Positions after which forward and backward values are brought back to about 1, and positions looked up at once.
+RESCALE, BLOCK = 16, 1 << 16
 FLOOR, SMOOTHING = 1e-7, 0.1
-WORDS_KEPT = 1_000_000
+WORDS_KEPT, CHARACTERS_KEPT = 1_000_000, 32_000_000
 UNDETERMINED = "und"
 START = "▁"
-WORDS = re.compile(r"[^\W\d_]+")
+# Marks (vowel signs, accents) belong to the word of the letter before them.
+MARKS = re.escape("".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M"))
+WORDS = re.compile(rf"[^\W\d_]++(?:[{MARKS}]++[^\W\d_]*+)*+")
+PIECE = re.compile(rf"(?:[^\W\d_]|[{MARKS}])+")
 
 
 @lru_cache(maxsize=2)
 def pieces_of(path: str | None = None) -> dict[str, int]:
-    """Piece -> number, lower case, letters only; START marks the beginning of a word."""
+    """Piece -> number, lower case, letters and their marks only, of any length; START marks the beginning of a word."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or vocabulary_path(VOCABULARY))
     names = {model.id_to_piece(i).lower() for i in range(model.vocab_size()) if not model.is_control(i)}
-    names = {n for n in names if len(n) <= LONGEST_PIECE and WORDS.fullmatch(n.removeprefix(START)) or n == START}
+    names = {n for n in names if PIECE.fullmatch(n.removeprefix(START)) or n == START}
     return {name: number for number, name in enumerate(sorted(names))}
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case runs of letters, cut where longer than ``LONGEST_WORD``; none for a text without a letter."""
+    """Lower-case runs of letters with their marks, of any length; none for a text without a letter."""
     words = WORDS.findall((text or "").lower())
-    if not any(map(str.isalpha, words)) and not any(c.isalpha() for word in words for c in word):
-        return []
-    if words and max(map(len, words)) > LONGEST_WORD:
-        words = [w[i : i + LONGEST_WORD] for w in words for i in range(0, len(w), LONGEST_WORD)]
-    return words
+    return words if any(c.isalpha() for word in words for c in word) else []
 
 
 class PieceTable:
@@ -68,9 +73,9 @@ class PieceTable:
     BASE, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
     def __init__(self, pieces: dict[str, int]):
-        self.size = len(pieces)
+        self.size, self.longest = len(pieces), max(map(len, pieces))
         self.hashes = np.zeros(self.size, dtype=np.uint64)
-        for width in range(1, LONGEST_PIECE + 1):
+        for width in range(1, self.longest + 1):
             some = [piece for piece in pieces if len(piece) == width]
             if some:
                 codes = np.array(some).view(np.uint32).reshape(len(some), -1)
@@ -103,6 +108,12 @@ class PieceTable:
             out[hit] = found[hit]
         return out
 
+    def found(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For each width the pieces by start; a character without a piece is ``size``."""
+        found = [self.find(hashes) for hashes in self.rolled(codes, self.longest)]
+        found[0] = np.minimum(found[0], self.size)
+        return found
+
 
 @lru_cache(maxsize=2)
 def piece_table(path: str | None = None) -> PieceTable:
@@ -115,48 +126,72 @@ class Lattice:
 
     def __init__(self, words: list[str], table: PieceTable):
         marked = np.array([START + word for word in words])
-        codes = marked.view(np.uint32).reshape(len(words), -1)
-        self.rows, self.length = codes.shape
-        self.found = [table.find(hashes) for hashes in table.rolled(codes, LONGEST_PIECE)]
-        self.found[0] = np.minimum(self.found[0], table.size)
-
-    def steps(self, end: int):
-        """Starts and pieces that end at a position."""
-        for width in range(1, min(end, len(self.found)) + 1):
-            yield end - width, self.found[width - 1][:, end - width]
-
-    def forward(self, probability: np.ndarray) -> np.ndarray:
-        """alpha[position, row, language]."""
-        alpha = np.zeros((self.length + 1, self.rows, probability.shape[1]))
-        alpha[0] = 1
-        for end in range(1, self.length + 1):
-            for start, pieces in self.steps(end):
-                alpha[end] += alpha[start] * probability[pieces]
-        return alpha
+        self.codes, self.table = marked.view(np.uint32).reshape(len(words), -1), table
+        self.rows, self.length = self.codes.shape
 
     def log_likelihood(self, probability: np.ndarray) -> np.ndarray:
-        return np.log(np.maximum(self.forward(probability)[-1], 1e-300))
+        """By row and language; keeps as many positions as the longest piece has, however long the words are."""
+        longest = self.table.longest
+        ring = np.zeros((longest, self.rows, probability.shape[1]))
+        ring[0] = 1
+        scale = np.zeros(ring.shape[1:])
+        for begin in range(0, self.length, BLOCK):
+            low = max(0, begin - longest)
+            found = self.table.found(self.codes[:, low : begin + BLOCK])
+            for end in range(begin + 1, min(self.length, begin + BLOCK) + 1):
+                total = np.zeros_like(scale)
+                for width in range(1, min(end, len(found)) + 1):
+                    start = end - width
+                    total += ring[start % longest] * probability[found[width - 1][:, start - low]]
+                if end % RESCALE == 0:
+                    ring /= total
+                    scale += np.log(total)
+                    total = np.ones_like(scale)
+                ring[end % longest] = total
+        return scale + np.log(ring[self.length % longest])
 
     def expected(self, probability: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece for word counts of one language (``probability``: one column)."""
-        alpha, chance = self.forward(probability)[:, :, 0], probability[:, 0]
-        beta, uses = np.zeros_like(alpha), np.zeros(len(chance))
-        beta[-1] = counts / np.maximum(alpha[-1], 1e-300)
+        longest, chance, found = self.table.longest, probability[:, 0], self.table.found(self.codes)
+
+        def steps(end: int):
+            for width in range(1, min(end, len(found)) + 1):
+                yield end - width, found[width - 1][:, end - width]
+
+        # Values are held relative to exp(scale), which each position has its own of.
+        alpha, beta = np.zeros((self.length + 1, self.rows)), np.zeros((self.length + 1, self.rows))
+        before, after = np.zeros_like(alpha), np.zeros_like(beta)
+        alpha[0], beta[-1], scale = 1, 1, np.zeros(self.rows)
+        for end in range(1, self.length + 1):
+            for start, pieces in steps(end):
+                alpha[end] += alpha[start] * chance[pieces]
+            if end % RESCALE == 0:
+                scale, factor = scale + np.log(alpha[end]), alpha[end].copy()
+                alpha[max(0, end - longest) : end + 1] /= factor
+                before[max(0, end - longest) : end + 1] = scale
+            before[end] = scale
+        whole, scale, uses = np.log(alpha[-1]) + scale, np.zeros(self.rows), np.zeros(len(chance))
         for end in range(self.length, 0, -1):
-            for start, pieces in self.steps(end):
+            if end % RESCALE == 0:
+                scale, factor = scale + np.log(beta[end]), beta[end].copy()
+                beta[max(0, end - longest) : end + 1] /= factor
+            after[end] = scale
+            for start, pieces in steps(end):
                 through = chance[pieces] * beta[end]
                 beta[start] += through
-                uses += np.bincount(pieces, weights=alpha[start] * through, minlength=len(uses))
+                share = counts * np.exp(before[start] + after[end] - whole)
+                uses += np.bincount(pieces, weights=alpha[start] * through * share, minlength=len(uses))
         return uses
 
 
-def by_length(words: list[str], at_once: int = 4096) -> Iterator[np.ndarray]:
-    """Positions of words of one length, in bounded parts."""
+def by_length(words: list[str], at_once: int = 4096, characters: int = 1 << 17) -> Iterator[np.ndarray]:
+    """Positions of words of one length, in parts of bounded rows and characters."""
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     order = np.argsort(lengths, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
-        for start in range(0, len(part), at_once):
-            yield part[start : start + at_once]
+        step = max(1, min(at_once, characters // max(1, int(lengths[part[0]])))) if len(part) else 1
+        for start in range(0, len(part), step):
+            yield part[start : start + step]
 
 
 def word_counts(
@@ -177,7 +212,7 @@ def word_counts(
             for name, texts in rows.groupby("lang")["text"]:
                 held: Counter = Counter()
                 for each in texts:
-                    held.update(words_of(each))
+                    held.update(word for word in words_of(each) if len(word) <= TRAIN_WORD)
                 if held:
                     yield pd.DataFrame({"lang": name, "word": list(held), "n": list(held.values())})
 
@@ -219,16 +254,17 @@ class KnownWords:
     """Word -> row of log-probabilities; starts anew when it is full, so memory is bounded."""
 
     def __init__(self, limit: int = WORDS_KEPT):
-        self.limit, self.place, self.scores = limit, {}, None
+        self.limit, self.place, self.scores, self.characters = limit, {}, None, 0
 
     def learn(self, counted: list[Counter], compute) -> None:
         missing = {word for words in counted for word in words if word not in self.place}
-        if len(self.place) + len(missing) > self.limit:
-            self.place, self.scores = {}, None
+        if len(self.place) + len(missing) > self.limit or self.characters > CHARACTERS_KEPT:
+            self.place, self.scores, self.characters = {}, None, 0
             missing = {word for words in counted for word in words}
         if not missing:
             return
         words = list(missing)
+        self.characters += sum(map(len, words))
         fresh, used = compute(words), len(self.place)
         if self.scores is None or used + len(words) > len(self.scores):
             room = np.zeros((max(used + len(words), min(self.limit, 2 * used)), fresh.shape[1]), dtype=np.float32)

@@ -1,6 +1,7 @@
 """Token counts, packing, languages, toxicity and pieces against plain versions."""
 
 import random
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -80,16 +81,20 @@ def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(0)
     chance = np.vstack([rng.random((len(pieces) + 1, 2)) / 100, np.zeros((1, 2))])
 
+    @lru_cache(maxsize=None)
     def total(word, column):
         if not word:
             return 1.0
         out = 0.0
-        for k in range(1, min(len(word), language.LONGEST_PIECE) + 1):
+        for k in range(1, len(word) + 1):
             number = pieces.get(word[:k], len(pieces) if k == 1 else None)
             out += chance[number, column] * total(word[k:], column) if number is not None else 0
         return out
 
-    words = ["theirs", "größer", "ñandú1"[:5], "日本語日本"]
+    assert table.longest == max(map(len, pieces)) > 8
+    longest = max(pieces, key=len).removeprefix(language.START)
+    words = ["theirs", "größer", "ñandú1"[:5], "日本語日本", "हिन्दी", longest, f"{longest}and{longest}s"]
+    words += ["internationalisation", "einundzwanzigtausendsechshundertdreiunddreißig"]
     for part in language.by_length(words):
         lattice = language.Lattice([words[i] for i in part], table)
         found = lattice.log_likelihood(chance)
@@ -97,6 +102,19 @@ def test_forward_sums_all_segmentations():
             assert np.allclose(row, [np.log(total(language.START + words[i], c)) for c in (0, 1)])
         uses = lattice.expected(chance[:, [0]], np.ones(len(part)))
         assert uses.sum() > 0 and uses[-1] == 0
+        # Every segmentation covers every character once.
+        widths = np.ones(len(pieces) + 2)
+        widths[list(pieces.values())] = [len(piece) for piece in pieces]
+        assert np.isclose(uses @ widths, sum(len(words[i]) + 1 for i in part))
+
+
+def test_long_runs_are_scored_whole():
+    table, pieces = language.piece_table(), language.pieces_of()
+    chance = np.full((len(pieces) + 2, 2), 1e-6)
+    chance[-1] = 0
+    a, b = (language.Lattice([word], table).log_likelihood(chance)[0] for word in ("haus" * 20_000, "haus" * 40_000))
+    assert np.isfinite(b).all() and (b < a).all() and np.allclose(b / a, 2, rtol=1e-3)
+    assert language.words_of("हिन्दी में " + "x" * 99) == ["हिन्दी", "में", "x" * 99] and language.words_of("12 \u0301") == []
 
 
 def test_languages_are_told_apart(spark):
