@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,10 +34,8 @@ from tallyloom.sources.workspace import stage
 
 LEAST_PAGES, LEAST_SHARE = 8, 0.5
 
-TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*+(?:>|\Z) | <(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""",
-    re.S | re.X,
-)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)(?=[a-zA-Z])", re.S)
+NAME_END, SPECIAL = re.compile(r"[\s/>]"), re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"\s+")
 
@@ -103,6 +102,40 @@ def _says_other(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+class _TagEnds:
+    """Ends of tags, quoted values skipped. Tags are asked for in page order; all calls together take linear time."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.next: dict[re.Pattern, tuple[int, int]] = {}
+        # Quotes outside values from which no end is reached.
+        self.dead: set[int] = set()
+
+    def after(self, pattern: re.Pattern, at: int) -> int:
+        """First match from ``at`` on, -1 for none; remembered for later places before it."""
+        low, found = self.next.get(pattern, (0, -2))
+        if not low <= at <= found and found != -1:
+            match = pattern.search(self.page, at)
+            found = match.start() if match else -1
+            self.next[pattern] = at, found
+        return found
+
+    def find(self, at: int) -> tuple[int, int] | None:
+        """Ends of the name that starts at ``at`` and of its tag; None for a tag without an end."""
+        name = self.after(NAME_END, at)
+        place = self.after(SPECIAL, name) if name >= 0 else -1
+        seen = []
+        while place >= 0 and place not in self.dead:
+            if self.page[place] == ">":
+                return name, place
+            seen.append(place)
+            close = self.page.find(self.page[place], place + 1)
+            match = SPECIAL.search(self.page, close + 1) if close >= 0 else None
+            place = match.start() if match else -1
+        self.dead.update(seen)
+        return None
+
+
 class _Element:
     __slots__ = ("tag", "other", "article", "hash", "number", "countable")
 
@@ -125,8 +158,9 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
     blocks: list[tuple[str, list[int], bool]] = []
     done: dict[int, int] = {}
     stack: list[_Element] = []
+    opened: Counter = Counter()
     words: list[str] = []
-    number = 0
+    ends, number = _TagEnds(page), 0
 
     def text(raw: str) -> None:
         data = html.unescape(raw) if "&" in raw else raw
@@ -145,6 +179,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
 
     def close() -> None:
         element = stack.pop()
+        opened[element.tag] -= 1
         value = element.hash.intdigest()
         if element.countable:
             done[element.number] = value - (1 << 63)
@@ -152,6 +187,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
             stack[-1].hash.update(value.to_bytes(8, "little"))
 
     def close_to(names: set[str], stops: set[str] | frozenset[str]) -> None:
+        if not any(opened[name] for name in names):
+            return
         for depth in range(len(stack) - 1, -1, -1):
             if stack[depth].tag in names:
                 while len(stack) > depth:
@@ -160,21 +197,25 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
             if stack[depth].tag in stops:
                 return
 
-    at, size = 0, len(page)
+    # ``begin`` is where text not handed on yet starts.
+    at, begin, size = 0, 0, len(page)
     while at < size:
         match = TAG.search(page, at)
         if match is None:
-            text(page[at:])
             break
-        if match.start() > at:
-            text(page[at : match.start()])
-        at = match.end()
-        tag = match[2]
-        if tag is None:
+        found = ends.find(match.end()) if match[1] is not None else (0, match.end() - 1)
+        if found is None:
+            at = match.start() + 1
+            continue
+        if match.start() > begin:
+            text(page[begin : match.start()])
+        at = begin = found[1] + 1
+        if match[1] is None:
             continue
+        tag = page[match.end() : found[0]]
         tag = tag.lower()
         if match[1]:
-            if any(e.tag == tag for e in stack):
+            if opened[tag]:
                 if tag in BLOCK:
                     end_block()
                 close_to({tag}, frozenset())
@@ -189,18 +230,21 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
             if tag == "br" or tag == "img":
                 text(" ")
             continue
-        attributes = match[3]
+        attributes = page[found[0] : found[1]]
         element = _Element(tag, attributes, stack[-1] if stack else None, number)
         number += 1
         stack.append(element)
+        opened[tag] += 1
         if attributes.endswith("/") and tag in ("svg", "path"):
             close()
         elif tag in RAW:
             stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             body = page[at : stop.start() if stop else size]
             element.hash.update(body.encode("utf-8", "surrogatepass"))
-            at = stop.end() if stop else size
+            at = begin = stop.end() if stop else size
             close()
+    if begin < size:
+        text(page[begin:])
     end_block()
     while stack:
         close()

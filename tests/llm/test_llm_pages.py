@@ -1,5 +1,7 @@
 """Main text of pages."""
 
+import time
+
 import pytest
 
 from tallyloom.llm import html
@@ -18,6 +20,9 @@ CASES = [
     ("<form><p>f</p></form><p hidden>h</p><div role=navigation>r</div><p>ok</p>", ["ok"]),
     ("<p>un<b>closed <i>tags", ["unclosed tags"]),
     ("a < b and c > d <", ["a < b and c > d <"]),
+    ("<p>x <a href='open>y</p> z", ["x <a href='open>y", "z"]),
+    ("<p>a <b title=\"q>r' s\">b</b> <i c='>\">'>d", ["a b d"]),
+    ("<a<b<c d", ["<a<b<c d"]),
 ]
 
 
@@ -29,6 +34,13 @@ def test_blocks(page, blocks):
     assert [text for text, _, _ in found] == blocks
 
 
+@pytest.mark.parametrize("piece", ['<a "', "<a '\"", "<a ", "<a", "</x><p ", "<div>", "<p><i>x</b>", "<!-- ", "<script>", '<a "<b \''])
+def test_broken_pages_take_linear_time(piece):
+    start = time.perf_counter()
+    html.parse(piece * (200_000 // len(piece)))
+    assert time.perf_counter() - start < 5
+
+
 def test_templates_go_and_articles_stay(spark):
     rows = []
     for i in range(30):
