@@ -45,7 +45,8 @@ UNDETERMINED = "und"
 START = "▁"
 # Marks (vowel signs, accents) belong to the word of the letter before them.
 MARKS = re.escape("".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M"))
-WORDS = re.compile(rf"[^\W\d_]++(?:[{MARKS}]++[^\W\d_]*+)*+")
+# No mark lies before U+0300: most word ends are told by that alone.
+WORDS = re.compile(rf"[^\W\d_]++(?:(?=[\u0300-\U0010FFFF])[{MARKS}]++[^\W\d_]*+)*+")
 PIECE = re.compile(rf"(?:[^\W\d_]|[{MARKS}])+")
 
 
