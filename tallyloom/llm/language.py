@@ -143,7 +143,12 @@ class Lattice:
                 total = np.zeros_like(scale)
                 for width in range(1, min(end, len(found)) + 1):
                     start = end - width
-                    total += ring[start % longest] * probability[found[width - 1][:, start - low]]
+                    pieces = found[width - 1][:, start - low]
+                    rows = np.flatnonzero(pieces <= self.table.size)
+                    if 2 * len(rows) > self.rows:
+                        total += ring[start % longest] * probability[pieces]
+                    elif len(rows):  # long pieces lie in few words
+                        total[rows] += ring[start % longest][rows] * probability[pieces[rows]]
                 if end % RESCALE == 0:
                     ring /= total
                     scale += np.log(total)
@@ -157,15 +162,18 @@ class Lattice:
 
         def steps(end: int):
             for width in range(1, min(end, len(found)) + 1):
-                yield end - width, found[width - 1][:, end - width]
+                pieces = found[width - 1][:, end - width]
+                rows = np.flatnonzero(pieces <= self.table.size)
+                if len(rows):
+                    yield end - width, rows, pieces[rows]
 
         # Values are held relative to exp(scale), which each position has its own of.
         alpha, beta = np.zeros((self.length + 1, self.rows)), np.zeros((self.length + 1, self.rows))
         before, after = np.zeros_like(alpha), np.zeros_like(beta)
         alpha[0], beta[-1], scale = 1, 1, np.zeros(self.rows)
         for end in range(1, self.length + 1):
-            for start, pieces in steps(end):
-                alpha[end] += alpha[start] * chance[pieces]
+            for start, rows, pieces in steps(end):
+                alpha[end, rows] += alpha[start, rows] * chance[pieces]
             if end % RESCALE == 0:
                 scale, factor = scale + np.log(alpha[end]), alpha[end].copy()
                 alpha[max(0, end - longest) : end + 1] /= factor
@@ -177,11 +185,11 @@ class Lattice:
                 scale, factor = scale + np.log(beta[end]), beta[end].copy()
                 beta[max(0, end - longest) : end + 1] /= factor
             after[end] = scale
-            for start, pieces in steps(end):
-                through = chance[pieces] * beta[end]
-                beta[start] += through
-                share = counts * np.exp(before[start] + after[end] - whole)
-                uses += np.bincount(pieces, weights=alpha[start] * through * share, minlength=len(uses))
+            for start, rows, pieces in steps(end):
+                through = chance[pieces] * beta[end, rows]
+                beta[start, rows] += through
+                share = counts[rows] * np.exp(before[start, rows] + after[end, rows] - whole[rows])
+                uses += np.bincount(pieces, weights=alpha[start, rows] * through * share, minlength=len(uses))
         return uses
 
 
