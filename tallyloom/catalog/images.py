@@ -17,7 +17,7 @@ from tallyloom.operators.preprocess import FolderStore, preprocess_images, with_
 from tallyloom.operators.scoring import transcode_batches
 from tallyloom.operators.statistics import job_tallies
 from tallyloom.plans.preprocessing import BAD_SAMPLES, preprocess_manifest
-from tallyloom.sources.manifests import PREPROCESSED, write_manifest
+from tallyloom.sources.manifests import PREPROCESSED, current_manifest, write_manifest
 from tallyloom.sources.shards import scan_metadata
 from tallyloom.sources.workspace import new_folder, stage
 
@@ -324,7 +324,7 @@ def mixed_cells(spark, sf_dir):
     preprocess_manifest(
         spark, folder, f"{folder}/source", f"{folder}/images", shrink, target="lang", image_paths=f"{folder}/by-path", data_dir=folder
     )
-    rows = spark.read.parquet(f"{folder}/{PREPROCESSED}").select("doc_id", "lang", "split", images.plain_path("image_path").alias("path"))
+    rows = current_manifest(spark, f"{folder}/{PREPROCESSED}").select("doc_id", "lang", "split", images.plain_path("image_path").alias("path"))
     contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/images")
     digests = contents.select(images.plain_path("path").alias("path"), F.md5("content").alias("digest"))
     bad = spark.read.parquet(f"{folder}/{BAD_SAMPLES}").select(

@@ -86,6 +86,25 @@ def manifest_read(spark, sf_dir):
     )
 
 
+@query(
+    "q_a4_published_manifest",
+    f"""{_SELECTED} SELECT 'old' AS asked, split, target, count(*) AS n FROM selected GROUP BY split, target
+    UNION ALL SELECT 'new', split, target, count(*) FROM selected WHERE target <> 'en' GROUP BY split, target""",
+)
+def published_manifest(spark, sf_dir):
+    """A reader that opened the manifest before it was published anew, and one that came after."""
+    path = f"{new_folder(spark, 'published')}/{manifests.PLAIN}"
+    manifests.publish_manifest(selected(spark, sf_dir), path)
+    old = manifests.current_manifest(spark, path)
+    manifests.publish_manifest(old.where("target <> 'en'"), path)
+    both = {"old": old, "new": manifests.current_manifest(spark, path)}
+    counted = [
+        rows.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n")).select(F.lit(asked).alias("asked"), "*")
+        for asked, rows in both.items()
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query("q_a5_report_sinks", f"{_EVENTS_REPORT} SELECT class, support, precision, recall, f1 FROM report")
 def report_sinks(spark, sf_dir):
     """A class report written as CSV and JSON; each column comes back from one of the two."""

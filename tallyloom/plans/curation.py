@@ -23,7 +23,7 @@ from tallyloom.constants import (
 from tallyloom.operators import sampling
 from tallyloom.operators.statistics import class_distribution, dataset_statistics
 from tallyloom.sources import reports
-from tallyloom.sources.manifests import PLAIN, write_manifest
+from tallyloom.sources.manifests import PLAIN, current_manifest, publish_manifest
 from tallyloom.sources.shards import scan_metadata
 from tallyloom.sources.workspace import stage
 
@@ -76,11 +76,11 @@ def build_manifest(
     schema: StructType | str | None = None,
     report_folder: str | None = None,
 ) -> DataFrame:
-    """Scan, select, write ``folder``/manifest and its statistics; returns the manifest."""
+    """Scan, select, publish ``folder``/manifest, write its statistics; returns the version of this call."""
     source = scan_metadata(spark, paths, columns, schema)
     path = f"{folder.rstrip('/')}/{PLAIN}"
-    write_manifest(sampling.with_shuffle_key(select_rows(source, selection), POINTER, selection.seed), path)
-    manifest = spark.read.parquet(path)
+    rows = sampling.with_shuffle_key(select_rows(source, selection), POINTER, selection.seed)
+    manifest = current_manifest(spark, path, publish_manifest(rows, path))
     reports_at = (report_folder or folder).rstrip("/")
     described = [name for name in DESCRIBED if name in manifest.columns]
     segment = selection.segment if selection.segment in manifest.columns else None

@@ -16,7 +16,7 @@ from tallyloom.operators.sampling import proportional_subset
 from tallyloom.operators.scoring import Transcode
 from tallyloom.operators.statistics import job_tallies
 from tallyloom.plans.curation import POINTER
-from tallyloom.sources.manifests import PREPROCESSED, read_manifest, write_manifest
+from tallyloom.sources.manifests import PREPROCESSED, publish_manifest, read_manifest
 from tallyloom.sources.quarantine import append_quarantine, bad_rows
 from tallyloom.sources.workspace import stage
 
@@ -76,7 +76,7 @@ def preprocess_manifest(
 
     Cells may be structs, bytes, or texts (a path or base64), in the source files or in the manifest itself. Paths
     in cells are opened where they lie below the folders ``image_paths``, each by the task that converts it; source files that moved are found
-    in ``listing`` (D5), both below ``data_dir`` as well. Writes ``manifest_folder``/preprocessed_manifest and appends the rows
+    in ``listing`` (D5), both below ``data_dir`` as well. Publishes ``manifest_folder``/preprocessed_manifest and appends the rows
     that failed to ``manifest_folder``/bad_samples (A6); returns the tallies of the job. A broken source file costs its own rows only.
     """
     folder = manifest_folder.rstrip("/")
@@ -92,7 +92,7 @@ def preprocess_manifest(
     named = [name for name in (filename,) if name in rows.columns]
     keys = rows.select(*POINTER, *named, *([image] if image in rows.columns else []))
     outcome = preprocess_images(keys, payloads, POINTER, transcode, image_folder, keep=named, fetch=FileReader())
-    write_manifest(stage(with_image_path(rows, outcome, POINTER, image_folder), "with-images"), f"{folder}/{PREPROCESSED}")
+    publish_manifest(with_image_path(rows, outcome, POINTER, image_folder), f"{folder}/{PREPROCESSED}")
     append_quarantine(bad_rows(outcome, named[0] if named else None, *POINTER), f"{folder}/{BAD_SAMPLES}")
     # The outcome has every row, so the tallies need no join.
     return job_tallies(outcome.withColumn("image_path", F.when(F.col("error").isNull(), F.col("output_path"))))

@@ -63,6 +63,42 @@ def test_manifest(spark, built):
         manifests.read_manifest(spark, "val", ["/nowhere"])
 
 
+def test_published_manifests(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    rows = spark.range(40).select("id", F.when(F.col("id") % 4 == 0, "val").otherwise("train").alias("split"))
+    manifests.write_manifest(rows.where("id < 4"), path)
+    assert not os.path.exists(f"{path}-versions")
+    assert manifests.read_manifest(spark, "train", [str(tmp_path)]).count() == 3  # plain, until one is published
+    assert manifests.publish_manifest(rows, path) == 1
+    old = manifests.read_manifest(spark, "train", [str(tmp_path)])
+    # A version may be made from the one before; open readers keep what they opened.
+    assert manifests.publish_manifest(manifests.current_manifest(spark, path).where("id >= 20"), path) == 2
+    assert old.count() == 30 and manifests.read_manifest(spark, "train", [str(tmp_path)]).count() == 15
+    assert manifests.current_manifest(spark, path, 1).count() == 40
+    with pytest.raises(FileNotFoundError):
+        manifests.current_manifest(spark, path, 7)
+
+
+def test_failed_publication_stays_unseen(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    rows = spark.range(8).select("id", F.lit("val").alias("split"))
+    broken = rows.withColumn("id", F.expr("IF(id = 5, raise_error('lost'), id)"))
+    with pytest.raises(Exception, match="lost"):
+        manifests.publish_manifest(broken, path)
+    with pytest.raises(FileNotFoundError):
+        manifests.read_manifest(spark, "val", [str(tmp_path)])
+    manifests.publish_manifest(rows, path)
+    with pytest.raises(Exception, match="lost"):
+        manifests.publish_manifest(broken, path)
+    assert manifests.read_manifest(spark, "val", [str(tmp_path)]).count() == 8
+    # Two writers that took one number: every reader picks the same of them.
+    log = manifests.manifest_versions(spark, path)
+    log.withColumn("folder", F.lit("0")).write.mode("append").parquet(f"{path}-versions/log")
+    assert manifests.read_manifest(spark, "val", [str(tmp_path)]).count() == 8
+    manifests.publish_manifest(rows.limit(0), path)
+    assert manifests.current_manifest(spark, path).count() == 0
+
+
 def shout(data: bytes) -> bytes:
     return b"JPEG" + data
 
