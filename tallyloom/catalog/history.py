@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.fixtures import EVAL_ROWS_SQL, LOSS_ROWS_SQL, eval_rows, loss_rows, sql_exact_sum
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators import history
+from tallyloom.sources.workspace import new_folder
+from tallyloom.streaming import progress_batches, stream_metadata
 
 
 @query(
@@ -63,21 +65,37 @@ def accumulation_windows(spark, sf_dir):
     return history.accumulation_windows(loss_rows(spark, sf_dir), ACCUMULATE, rejected="rejected")
 
 
-@query(
-    "q_t3_progress",
-    """WITH timed AS (SELECT user_id AS run, event_id AS step, ts,
+_PROGRESS_SQL = """WITH timed AS (SELECT user_id AS run, event_id AS step, ts,
             date_diff('microsecond', min(ts) OVER (PARTITION BY user_id), ts) / CAST(1000000 AS DOUBLE) AS elapsed_seconds FROM events),
         rated AS (SELECT *, step / greatest(elapsed_seconds, CAST(0.00001 AS DOUBLE)) AS steps_per_second FROM timed)
     SELECT run, step, ts, elapsed_seconds, CAST(step AS DOUBLE) / 20000 * 100 AS pct, steps_per_second,
         (20000 - step) / greatest(steps_per_second, CAST(0.00001 AS DOUBLE)) AS eta_seconds,
         greatest(CAST(0 AS DOUBLE), 1000000 - elapsed_seconds) AS remaining_seconds,
-        elapsed_seconds >= 1000000 AS budget_exceeded FROM rated""",
-)
+        elapsed_seconds >= 1000000 AS budget_exceeded FROM rated"""
+
+
+@query("q_t3_progress", _PROGRESS_SQL)
 def progress(spark, sf_dir):
     log = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), "ts")
     return history.progress(log, 20000, 1_000_000)
 
 
+@query("q_t3_progress_stream", _PROGRESS_SQL)
+def progress_stream(spark, sf_dir):
+    """The log arrives in three parts by time; each part meets a stream that was stopped and goes on."""
+    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), "ts")
+    micros, folder = F.unix_micros(F.col("ts").cast("timestamp")), new_folder(spark, "progress")
+    first, second = log.agg(F.percentile_approx(micros, [1 / 3, 2 / 3])).first()[0] or (0, 0)
+    handle = progress_batches(f"{folder}/out", f"{folder}/state", 20000, 1_000_000)
+    part = F.when(micros <= first, 0).when(micros <= second, 1).otherwise(2)
+    for number in range(3):
+        log.where(part == number).write.mode("append").parquet(f"{folder}/log")
+        arriving = stream_metadata(spark, f"{folder}/log", log.schema, log.columns)
+        arriving = arriving.writeStream.foreachBatch(handle).option("checkpointLocation", f"{folder}/offsets")
+        arriving.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
 @query(
     "q_t4_wait_share",
     """WITH spans AS (SELECT user_id AS run, event_type IN ('view', 'click', 'signup') AS ready,

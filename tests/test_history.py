@@ -11,6 +11,7 @@ from tallyloom.operators import history
 from tallyloom.operators import ordered
 from tallyloom.operators.ordered import exact_sum, running_before
 from tallyloom.sources.workspace import stage
+from tallyloom.streaming import progress_batches
 
 NAN = float("nan")
 
@@ -155,3 +156,36 @@ def test_accumulation_of_huge_and_tiny_losses(spark):
     df = spark.createDataFrame(rows, "run string, epoch int, batch int, loss double")
     found = sorted(row.step_loss for row in history.accumulation_windows(df, 2, total_batches=4).collect())
     assert found == [(1e-13 + 2e-13) / 2, (1e17 + 1.0) / 2]
+
+
+def arriving(spark, tmp_path, rows, splits, **options):
+    """Rows through ``progress_batches`` in the given parts, the second part twice."""
+    schema = "run string, step long, ts timestamp, score double"
+    write = progress_batches(f"{tmp_path}/out", f"{tmp_path}/state", 40, 30.0, metric="score", **options)
+    for number, (low, high) in enumerate(zip(splits, splits[1:])):
+        for _ in range(2 if number == 1 else 1):
+            write(spark.createDataFrame(rows[low:high], schema), number)
+    return spark.createDataFrame(rows, schema), spark.read.parquet(f"{tmp_path}/out").drop("batch")
+
+
+@pytest.mark.parametrize("splits", [(0, 40), (0, 1, 7, 40), (0, 20, 20, 39, 40)])
+def test_progress_of_arriving_rows_equals_the_batch_operators(spark, tmp_path, splits):
+    base = datetime(2024, 1, 1)
+    names = ["a", None, "a", "b"]
+    scores = [0.2, float("nan"), None, 0.1, 0.7, 0.7, -3.0]
+    rows = [(names[i % 4], i, base + timedelta(seconds=3 * i), scores[i % 7] and scores[i % 7] * (1 + i // 14)) for i in range(40)]
+    log, found = arriving(spark, tmp_path, rows, splits)
+    whole = history.running_best(history.progress(log, 40, 30.0), metric="score")
+    assert found.columns == whole.columns
+    text = [F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")]
+    assert sorted(r.row for r in found.select(text).collect()) == sorted(r.row for r in whole.select(text).collect())
+
+
+def test_silent_runs_are_forgotten(spark, tmp_path):
+    base = datetime(2024, 1, 1)
+    rows = [("a", 1, base, 0.5), ("b", 2, base + timedelta(seconds=100), 0.5), ("b", 3, base + timedelta(seconds=110), 0.4), ("a", 4, base + timedelta(seconds=120), 0.1)]
+    log, found = arriving(spark, tmp_path, rows, (0, 2, 3, 4), timeout_seconds=60.0)
+    got = {row.step: (row.elapsed_seconds, row.improved, row.best_so_far) for row in found.collect()}
+    assert got == {1: (0.0, True, 0.5), 2: (0.0, True, 0.5), 3: (10.0, False, 0.5), 4: (0.0, True, 0.1)}
+    state = spark.read.parquet(f"{tmp_path}/state")
+    assert {row.run for row in state.where("batch = 1").collect()} == {"b"}
