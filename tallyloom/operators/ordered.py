@@ -16,8 +16,10 @@ from pyspark.sql.window import Window
 
 from tallyloom.sources.workspace import stage
 
-# Rows of a range, and ranges whose summaries are combined before all are.
+# Rows of a task and of a range, and ranges whose summaries are combined before all are.
 CHUNK, TEAM = 100_000, 1000
+# Bits of a row's place in its task, as ``monotonically_increasing_id`` has them.
+PLACE_BITS = 33
 # Exponents of the bins of a sum: multiples of 2**k below 2**32 of them. All bits of numbers from 2**-43 to 2**62 fall into them.
 BINS = (32, 0, -32, -64, -96)
 HUGE = 2.0**62
@@ -51,12 +53,18 @@ def running_before(
     """Add ``name``: sum, max or last non-null of ``value`` over the earlier rows of the group.
 
     ``order`` is a column of any sortable type, unique within the group. About ``chunk`` rows are handled
-    together. Without earlier rows the result is null.
+    together. Ranges of fewer than ``CHUNK`` rows share a task, so tasks grow with the rows and not with the ranges. Without
+    earlier rows the result is null.
     """
     value = F.col(value) if isinstance(value, str) else value
     rows = df.withColumn("_value", value)
-    ranges = rows.count() // chunk + 1
-    rows = rows.repartitionByRange(ranges, *by, order).withColumn("_range", F.spark_partition_id())
+    rows = rows.repartitionByRange(rows.count() // max(chunk, CHUNK) + 1, *by, order)
+    if chunk >= CHUNK:
+        rows = rows.withColumn("_range", F.spark_partition_id())
+    else:
+        rows = rows.sortWithinPartitions(*by, order).withColumn("_place", F.monotonically_increasing_id())
+        place, most = F.expr(f"(_place & {2**PLACE_BITS - 1}) div {chunk}"), 2**PLACE_BITS // chunk + 1
+        rows = rows.withColumn("_range", F.shiftright("_place", PLACE_BITS) * F.lit(most) + place).drop("_place")
     # Written once: ranges keep their rows if a task is repeated.
     rows = stage(rows, "ranges").withColumn("_part", group_key([*by, "_range"]))
     earlier = (Window.unboundedPreceding, -1)
@@ -91,7 +99,8 @@ def running_before(
 def _carried(summaries: DataFrame, by: Sequence[str], over, both) -> DataFrame:
     """``_part, _carried``: what the earlier ranges of each range's group add up to.
 
-    A window holds the ranges of one team at most, and the teams of one group: a thousandth of its ranges.
+    A window holds the ranges of one team at most, and the teams of one group: a thousandth of its ranges, or a few for each of its
+    tasks where these hold fewer ranges.
     """
     group = F.struct(*[F.col(f"_part.{column}") for column in by])
     placed = summaries.withColumns({"_group": group, "_range": F.col("_part._range"), "_team": F.floor(F.col("_part._range") / TEAM)})

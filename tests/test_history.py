@@ -50,6 +50,30 @@ def test_sparse_steps_give_few_ranges(spark, monkeypatch):
         best = row.x if best is None else max(best, row.x)
 
 
+@pytest.mark.parametrize("kind", ["sum", "max", "last"])
+def test_small_ranges_share_a_task(spark, monkeypatch, kind):
+    rows = [("hot" if at % 3 else f"r{at % 11}", at, None if at % 5 == 0 else (at * 37) % 97) for at in range(900)]
+    df = spark.createDataFrame(rows, "run string, step long, x int")
+    dealt = []
+    by_range = type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, n, *cols: dealt.append(n) or by_range(self, n, *cols))
+    staged = []
+    monkeypatch.setattr(ordered, "stage", lambda df, name, compact=False: staged.append(stage(df, name, compact)) or staged[-1])
+    monkeypatch.setattr(ordered, "CHUNK", 200)
+    monkeypatch.setattr(ordered, "TEAM", 3)
+    found = running_before(df, ["run"], "step", kind, "x", "before", 10).collect()
+    assert dealt == [5]
+    ranges = staged[0].groupBy("_range").agg(F.count("*").alias("n"), F.min("step"), F.max("step")).collect()
+    assert len(ranges) >= 90 and max(row.n for row in ranges) <= 10
+    assert len(found) == 900
+    for run in {row[0] for row in rows}:
+        seen = []
+        for row in sorted((row for row in found if row.run == run), key=lambda row: row.step):
+            expected = {"sum": sum, "max": max, "last": lambda values: values[-1]}[kind](seen) if seen else None
+            assert row.before == expected
+            seen += [] if row.x is None else [row.x]
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "date", "string", "double"])
 def test_order_of_any_type(spark, kind):
     made = {"timestamp": "timestamp_seconds(id * 3601)", "date": "date_add(DATE'2020-01-01', cast(id as int))",
