@@ -44,6 +44,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: the one with the smallest id, a missing id last.
 
+    Groups come from SimHash fingerprints by the general pigeonhole, checked by exact similarity, then from bands of minima.
     Rows are told apart by a key of their own, so rows that repeat an id with other texts are documents of their own.
     """
     rows = numbered(docs)

@@ -1,14 +1,18 @@
-"""Groups of near copies by exact Jaccard similarity of word shingles.
+"""Groups of near copies: SimHash fingerprints first, every link checked by the exact Jaccard similarity of word shingles.
 
-**Candidates.** A text is the set of its shingles' hashes (see ``simhash``). ``BANDS`` hashes of ``BAND_ROWS`` minima each
+**Fingerprints.** ``simhash.near_duplicates`` groups the rows by fingerprints of few differing bits. Of each of its groups the texts
+meet in cells with the group's first text and are linked where the check holds, so a group costs what its rows cost.
+
+**Bands.** Fingerprints of pairs near the bound differ in more bits than can be looked up; bands find what is left.
+A text is the set of its shingles' hashes (see ``simhash``). ``BANDS`` hashes of ``BAND_ROWS`` minima each
 put it into buckets: sets of similarity s share none with probability (1 - s^BAND_ROWS)^BANDS, which is 0.0002 for 16 bands of
 4 at s = 0.8 and less above. A bit threshold with a recall of 0.99 at 0.8 would be 17 of 64 (a bit differs with probability
 acos(2s / (1 + s)) / pi = 0.15), where the pigeonhole parts compare about every pair of texts; buckets grow with the rows.
 
 **Check.** Every link is checked by the whole sets, so none joins texts of less than ``LEAST_TENTHS``. Bands are taken in a few rounds
 (``BAND_ROUNDS``). In a round only buckets whose texts are not all in one group yet are compared, and of buckets with the same
-members one; most copies are joined by the first band, so their sets are sent to one comparison and not to sixteen. Only texts of such buckets are
-read again. Equal sets are one node, so copies cost nothing, and each bucket gives a spanning forest, not pairs. Hot buckets are
+members one; most copies are joined by their fingerprints, so their sets are sent to one comparison and not to sixteen. Only texts of such
+buckets are read again. Equal sets are one node, so copies cost nothing, and each bucket gives a spanning forest, not pairs. Hot buckets are
 compared in cells (see ``buckets``).
 
 Texts without a word have the empty set and are copies of each other.
@@ -23,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.buckets import compare_buckets, split_hot
+from tallyloom.llm.buckets import CELL, compare_buckets, split_hot
 from tallyloom.llm.components import connected_components
-from tallyloom.llm.simhash import shingle_hashes
+from tallyloom.llm.simhash import near_duplicates, shingle_hashes
 from tallyloom.sources.workspace import stage
 
 #: Least similarity of near copies, in tenths, so that the check is in whole numbers.
@@ -172,6 +176,33 @@ def _first_of_equal(asked: DataFrame, seen: DataFrame | None) -> DataFrame:
     return found if seen is None else found.join(seen, ["xor", "other", "n"], "left_anti")
 
 
+def fingerprint_cells(found: DataFrame, sketches: DataFrame, nodes: DataFrame, cell: int = CELL // 2) -> DataFrame:
+    """``bucket, node`` of the fingerprint groups (``found``: row, component_id) that hold several texts.
+
+    Large groups are dealt into cells of about ``cell`` texts, and the group's first text is in each of them. Texts without a word,
+    copies of each other already, take no part.
+    """
+    worded = nodes.where(F.size("bands") > 0).select("print", "node")
+    members = sketches.select("row", "print").join(found, "row").join(worded, "print")
+    members = stage(members.select("component_id", "node").distinct(), "near-copies", compact=True)
+    sizes = members.groupBy("component_id").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
+    placed = members.join(stage(sizes, "near-copies", compact=True), "component_id")
+    cells = F.ceil(F.col("n") / cell).cast("int")
+    own = F.array(F.pmod(F.xxhash64("node", F.lit(13)), cells).cast("int"))
+    where = F.when(F.col("node") == F.col("first"), F.sequence(F.lit(0), cells - 1)).otherwise(own)
+    placed = placed.select("component_id", "node", F.explode(where).alias("cell"))
+    return placed.select(F.xxhash64("component_id", "cell").alias("bucket"), "node")
+
+
+def band_buckets(nodes: DataFrame, labels: DataFrame, first: int, end: int) -> DataFrame:
+    """``bucket, node`` of the buckets of some bands whose texts are not all in one group yet."""
+    members = nodes.join(labels, "node").select("node", "component", F.explode(F.slice("bands", first + 1, end - first)).alias("bucket"))
+    # Most buckets hold one text: two numbers per bucket tell which hold several groups.
+    spans = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    several = stage(spans.where("least < most").select("bucket"), "near-copies", compact=True)
+    return members.join(several, "bucket", "left_semi").select("bucket", "node")
+
+
 def groups(rows: DataFrame, words: int, row: str = "row", text: str = "text") -> DataFrame:
     """``row, component`` for every row; ``row`` must be a unique long that does not change when ``rows`` is read again."""
     rows = rows.select(F.col(row).alias("row"), F.col(text).alias("text"))
@@ -179,12 +210,10 @@ def groups(rows: DataFrame, words: int, row: str = "row", text: str = "text") ->
     nodes = sketches.groupBy("print").agg(F.min("row").alias("node"), F.any_value("bands").alias("bands"))
     nodes = stage(nodes, "near-copies")
     labels, seen = nodes.select("node", F.col("node").alias("component")), None
-    for first, end in BAND_ROUNDS:
-        members = nodes.join(labels, "node").select("node", "component", F.explode(F.slice("bands", first + 1, end - first)).alias("bucket"))
-        # Most buckets hold one text: two numbers per bucket tell which hold several groups.
-        spans = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        several = stage(spans.where("least < most").select("bucket"), "near-copies", compact=True)
-        asked = stage(members.join(several, "bucket", "left_semi").select("bucket", "node"), "near-copies", compact=True)
+    found = near_duplicates(rows, key="row").select("row", "component_id")
+    for bands in (None, *BAND_ROUNDS):
+        asked = band_buckets(nodes, labels, *bands) if bands else fingerprint_cells(found, sketches, nodes)
+        asked = stage(asked, "near-copies", compact=True)
         firsts = stage(_first_of_equal(asked, seen), "near-copies", compact=True)
         seen = firsts.drop("bucket") if seen is None else seen.unionByName(firsts.drop("bucket"))
         asked = asked.join(firsts.select("bucket"), "bucket", "left_semi")

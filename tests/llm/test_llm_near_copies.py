@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tallyloom.llm import buckets, near_copies
+from tallyloom.llm import buckets, near_copies, simhash
 from tallyloom.llm.common import table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -68,3 +68,22 @@ def test_pairs_at_the_bound_share_a_bucket():
         bands = [near_copies.bands_of(np.concatenate((both, x)), constants) for x in (a, b)]
         met += bool((bands[0] == bands[1]).any())
     assert met >= 498
+
+
+@pytest.mark.parametrize("cell", [near_copies.CELL // 2, 3])
+def test_fingerprints_find_groups_and_sets_check_them(spark, monkeypatch, cell):
+    monkeypatch.setattr(near_copies, "BAND_ROUNDS", ())
+    monkeypatch.setattr(near_copies.fingerprint_cells, "__defaults__", (cell,))
+    near = " ".join(f"w{k}" for k in range(800))
+    copies = [(k, near if k == 1 else f"{near} end{k}") for k in range(1, 21)]
+    # Repeats decide the fingerprint, and only a third of the shingles is shared.
+    often = " ".join([f"r{k}" for k in range(61)] * 200)
+    apart = [(k, " ".join([often, *(f"own{k}x{i}" for i in range(60))])) for k in (31, 32)]
+    rows = spark.createDataFrame([*copies, *apart, (41, ""), (42, None), (43, " ")], "row long, text string").repartition(3)
+    prints = {simhash.fingerprint_of(text) for _, text in apart}
+    assert len(prints) == 1
+    found = {r.row: r.component for r in near_copies.groups(rows, 5).collect()}
+    linked = [k for k, text in copies if (simhash.fingerprint_of(text) ^ simhash.fingerprint_of(near)).bit_count() <= simhash.MOST_BITS]
+    assert len(linked) > 15 and {found[k] for k in linked} == {1}
+    assert found[31] == 31 and found[32] == 32
+    assert found[41] == found[42] == found[43]
