@@ -46,6 +46,7 @@ def encoded_stream(docs: DataFrame, text: str, key: str, end: int = END, path: s
             columns = [ids, n, np.full(len(ids), task, dtype="int32"), start]
             arrays = [batch.column(0), *[pa.array(c, type=k) for c, k in zip(columns, kinds)]]
             yield pa.RecordBatch.from_arrays(arrays, names=[key, "ids", "n", "task", "before"])
+        encoder.forget()
 
     return docs.select(key, text).mapInArrow(encode, schema)
 

@@ -56,6 +56,10 @@ class WordTokens:
             words = (text or "").replace("\n", " ").split(" ")
             yield b"".join(map(self.known.__getitem__, words))
 
+    def forget(self) -> None:
+        """Drop the words met so far: workers outlive a task and go on to other work."""
+        self.known = Known(self._encode)
+
     def lengths(self, texts: list):
         for ids in self.ids(texts):
             yield len(ids) // 4

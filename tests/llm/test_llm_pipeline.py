@@ -4,13 +4,16 @@ import os
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import queries
-from tallyloom.llm import language, toxicity
+from tallyloom.llm import language, packing, toxicity
 from tallyloom.llm.catalog import QUERIES
 from tallyloom.llm.common import table, trainable
+from tallyloom.llm.word_tokens import word_tokens
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Large enough for toxic documents to be told apart, and for near copies.
@@ -121,3 +124,14 @@ def test_stages_take_odd_rows_and_extra_columns(spark):
         if want:
             assert found.count() == want, name
     assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_workers_keep_no_words_after_packing(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat_ws(' ', 'only', 'packed', id, id * 7) AS text").repartition(8)
+    assert packing.pack(docs).agg(F.sum("length")).first()[0] > 400
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(word_tokens().known)] * batch.num_rows, pa.int64())})
+
+    assert spark.range(400).repartition(8).mapInArrow(kept, "n long").agg(F.max("n")).first()[0] == 0
