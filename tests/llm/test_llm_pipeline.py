@@ -132,6 +132,6 @@ def test_workers_keep_no_words_after_packing(spark):
 
     def kept(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"n": pa.array([len(word_tokens().known)] * batch.num_rows, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(word_tokens(None).known)] * batch.num_rows, pa.int64())})
 
     assert spark.range(400).repartition(8).mapInArrow(kept, "n long").agg(F.max("n")).first()[0] == 0
