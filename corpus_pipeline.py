@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm import language, near_copies, packing, toxicity
-from tallyloom.llm.common import table, trainable
+from tallyloom.llm.common import marked_rows, table, trainable
 from tallyloom.sources.workspace import stage
 
 #: Documents whose language is surer than this stay.
@@ -54,7 +54,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keys = rows.select("__llm_row", order.alias("__llm_order"))
     first = keys.join(groups, "__llm_row").groupBy("component").agg(F.min("__llm_order").alias("first"))
     first = stage(first.select(F.col("first.row").alias("__llm_row")), "pipeline-first")
-    return rows.join(first, "__llm_row", "left_semi").select(*docs.columns)
+    return marked_rows(rows, first, "__llm_row").select(*docs.columns)
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.sources.workspace import new_folder
+from tallyloom.sources.workspace import new_folder, stage
 
 HELD_OUT_FOLDS, HELD_OUT_FOLD = 4, 2
+#: So many words of 64 marks, about 64 MB in a task's memory, are listed to all tasks; more marks are joined by shuffle.
+MOST_WORDS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,21 @@ def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     return rows.repartition(partitions) if partitions else rows
 
 
+def marked_rows(rows: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key``, a long, is in ``marks``; wide rows stay where they are read.
+
+    Marks are packed into one row per 64 neighbouring keys, so the list for all tasks is near a bit per row where keys are positions.
+    ``marks`` is read twice.
+    """
+    word, place = F.shiftright(key, 6), F.col(key).bitwiseAND(63).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    words = stage(marks.groupBy(word.alias("__llm_word")).agg(F.bit_or(bit).alias("__llm_bits")), "marks", compact=True)
+    if words.count() > MOST_WORDS:
+        return rows.join(marks, key, "left_semi")
+    found = rows.join(F.broadcast(words), word == F.col("__llm_word")).where(F.getbit("__llm_bits", place) == 1)
+    return found.select(*rows.columns)
+
+
 def gathered(spark: SparkSession, name: str, parts: Iterable[DataFrame], schema: str) -> DataFrame:
     """Rows of all ``parts``, each written before the next one is built, so a long row of blocks is no long plan."""
     folder, paths = new_folder(spark, name), []

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.buckets import CELL, compare_buckets, split_hot
+from tallyloom.llm.common import marked_rows
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.simhash import near_duplicates, shingle_hashes
 from tallyloom.sources.workspace import stage
@@ -148,6 +149,7 @@ def verified_edges(members: DataFrame, rows: DataFrame, words: int) -> DataFrame
     """``src, dst``: in every bucket a spanning forest of the pairs that are similar enough.
 
     ``members``: bucket, node; ``rows``: row, text. A text's buckets go to the text, and its set from there to each of them, once.
+    Texts in no bucket are passed over where they are read.
     """
 
     def compare(table: pa.Table) -> pa.RecordBatch:
@@ -165,7 +167,8 @@ def verified_edges(members: DataFrame, rows: DataFrame, words: int) -> DataFrame
 
     asked = split_hot(members, "node").groupBy(F.col("node").alias("row")).agg(F.collect_list("bucket").alias("buckets"))
     asked = stage(asked, "near-copies", compact=True)
-    placed = _sets(rows.join(asked, "row").select(F.col("row").alias("node"), "text", "buckets"), words)
+    wanted = marked_rows(rows, asked.select("row"), "row")
+    placed = _sets(wanted.join(asked, "row").select(F.col("row").alias("node"), "text", "buckets"), words)
     return compare_buckets(placed, compare, "src long, dst long")
 
 
@@ -196,7 +199,8 @@ def fingerprint_cells(found: DataFrame, sketches: DataFrame, nodes: DataFrame, c
 
 def band_buckets(nodes: DataFrame, labels: DataFrame, first: int, end: int) -> DataFrame:
     """``bucket, node`` of the buckets of some bands whose texts are not all in one group yet."""
-    members = nodes.join(labels, "node").select("node", "component", F.explode(F.slice("bands", first + 1, end - first)).alias("bucket"))
+    own = nodes.select("node", F.slice("bands", first + 1, end - first).alias("bands"))
+    members = own.join(labels, "node").select("node", "component", F.explode("bands").alias("bucket"))
     # Most buckets hold one text: two numbers per bucket tell which hold several groups.
     spans = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     several = stage(spans.where("least < most").select("bucket"), "near-copies", compact=True)

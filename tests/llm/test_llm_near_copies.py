@@ -5,10 +5,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import buckets, near_copies, simhash
-from tallyloom.llm.common import table
+from tallyloom.llm import buckets, common, near_copies, simhash
+from tallyloom.llm.common import marked_rows, table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -87,3 +89,47 @@ def test_fingerprints_find_groups_and_sets_check_them(spark, monkeypatch, cell):
     assert len(linked) > 15 and {found[k] for k in linked} == {1}
     assert found[31] == 31 and found[32] == 32
     assert found[41] == found[42] == found[43]
+
+
+@pytest.fixture
+def no_small_tables(spark):
+    """Staged tables count as too large to be broadcast, as they are over a large input."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("most", [common.MOST_WORDS, 0])
+def test_marked_rows_are_those_of_a_semi_join(spark, monkeypatch, tmp_path, no_small_tables, most):
+    monkeypatch.setattr(common, "MOST_WORDS", most)
+    keys = [*range(200), *(1 << 40 | k for k in (0, 62, 63, 64)), 2**63 - 1, -1, -64, -65, -(2**63), None]
+    rows = spark.createDataFrame([(k, f"text {k}") for k in [*keys, 7, 63]], "row long, text string").repartition(3)
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    wanted = [0, 63, 64, 127, 190, 63, 1 << 40, 1 << 40 | 63, 2**63 - 1, -1, -65, -(2**63), 999, None]
+    marks = spark.createDataFrame([(k,) for k in wanted], "row long")
+    found = marked_rows(rows, marks, "row")
+    assert found.columns == rows.columns
+    assert sorted(r.row for r in found.collect()) == sorted(k for k in [*keys, 7, 63] if k is not None and k in wanted)
+    assert most == 0 or "hashpartitioning" not in plan_of(found)
+    assert marked_rows(rows, marks.limit(0), "row").count() == 0
+
+
+def test_texts_of_rows_without_partners_are_not_shuffled(spark, monkeypatch, tmp_path, no_small_tables):
+    rng = np.random.default_rng(8)
+    bases = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 60)) for _ in range(200)]
+    docs = [(k, text) for k, text in enumerate(bases)] + [(1000 + k, f"{bases[k]} end") for k in range(5)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    sent, plain = [], near_copies.marked_rows
+
+    def counted(*given):
+        found = plain(*given)
+        sent.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_copies, "marked_rows", counted)
+    found = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "docs")), SF_DIR)
+    # Neither the rows that stay nor those that are compared bring the other texts to a shuffle.
+    assert "hashpartitioning" not in plan_of(found)
+    assert sorted(r.doc_id for r in found.collect()) == list(range(200))
+    assert 10 <= sum(sent) <= 50
