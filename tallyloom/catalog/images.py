@@ -13,7 +13,7 @@ from tallyloom.catalog.scans import document_scan
 from tallyloom.constants import FILE_COLUMN, ORDINAL_COLUMN
 from tallyloom.functions import payload
 from tallyloom.operators import images
-from tallyloom.operators.preprocess import FolderStore, preprocess_images, with_image_path
+from tallyloom.operators.preprocess import FolderStore, output_contents, preprocess_images, with_image_path
 from tallyloom.operators.scoring import transcode_batches
 from tallyloom.operators.statistics import job_tallies
 from tallyloom.plans.preprocessing import BAD_SAMPLES, preprocess_manifest
@@ -302,8 +302,10 @@ def _mixed_source(spark, sf_dir, folder):
     stage(transcode_batches(broken, bytes, store=FolderStore(f"{folder}/source"), path="path"), "broken")
     lost = F.col("doc_id") % 6 == 3
     file = F.when(lost, F.lit(f"{folder}/source/broken.parquet")).otherwise(F.col(FILE_COLUMN))
+    # No two rows lie at one place of the broken file, whichever files they come from: the pointer is the key of the plan.
+    place = F.when(lost, F.monotonically_increasing_id()).otherwise(F.col(ORDINAL_COLUMN))
     split = F.when(F.col("doc_id") % 4 == 0, "val").otherwise("train")
-    return rows.withColumns({FILE_COLUMN: file, "split": split, "filename": F.col("doc_id").cast("string")})
+    return rows.withColumns({FILE_COLUMN: file, ORDINAL_COLUMN: place, "split": split, "filename": F.col("doc_id").cast("string")})
 
 
 _SIZE = "octet_length(encode(text))"
@@ -325,8 +327,9 @@ def mixed_cells(spark, sf_dir):
         spark, folder, f"{folder}/source", f"{folder}/images", shrink, target="lang", image_paths=f"{folder}/by-path", data_dir=folder
     )
     rows = current_manifest(spark, f"{folder}/{PREPROCESSED}").select("doc_id", "lang", "split", images.plain_path("image_path").alias("path"))
-    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/images")
-    digests = contents.select(images.plain_path("path").alias("path"), F.md5("content").alias("digest"))
+    path = F.concat(F.lit(images.plain_root(f"{folder}/images") + "/"), "output_path")
+    # Staged, so that the files are opened once.
+    digests = stage(output_contents(spark, f"{folder}/images").select(path.alias("path"), F.md5("content").alias("digest")), "digests")
     bad = spark.read.parquet(f"{folder}/{BAD_SAMPLES}").select(
         F.col("filename").cast("long").alias("doc_id"),
         F.when(F.col("error").startswith("FileNotFoundError"), "FileNotFoundError").otherwise(F.col("error")).alias("error"),

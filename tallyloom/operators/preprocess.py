@@ -18,6 +18,8 @@ from tallyloom.sources.workspace import stage, write_once
 
 # Outputs are spread over directories named after the first digits of their names.
 PREFIX_DIGITS = 3
+# What a task reads of outputs on average, and what opening one counts as.
+TASK_BYTES, OPEN_BYTES = 128 * 1024 * 1024, 64 * 1024
 
 
 @lru_cache(maxsize=64)
@@ -92,6 +94,30 @@ def finished_outputs(spark: SparkSession, folder: str, suffix: str = ".jpg", min
     return prefixes.mapInPandas(run, "output_path string, n_bytes bigint").where(F.col("n_bytes") > min_bytes)
 
 
+def output_contents(spark: SparkSession, folder: str, suffix: str = ".jpg", batch_rows: int = IMAGE_ROWS) -> DataFrame:
+    """Outputs with what they hold: ``output_path, content``.
+
+    Spark's own scan of files would hold the name and status of each on the driver. Here tasks list the folder, and other tasks,
+    dealt by hash, open the files; the driver learns one sum. Contents travel ``batch_rows`` at a time.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, base = open_folder(folder)
+        for batch in batches:
+            for start in range(0, len(batch), batch_rows):
+                paths, contents = list(batch["output_path"].iloc[start : start + batch_rows]), []
+                for path in paths:
+                    with files.open_input_stream(f"{base}/{path}") as stream:
+                        contents.append(stream.read())
+                yield pd.DataFrame({"output_path": paths, "content": contents})
+
+    # Empty files count as well.
+    listed = stage(finished_outputs(spark, folder, suffix, -1), "outputs")
+    weight = listed.agg(F.sum(F.col("n_bytes") + OPEN_BYTES)).first()[0] or 0
+    dealt = listed.select("output_path").repartition(max(1, -(-weight // TASK_BYTES)), "output_path")
+    return dealt.mapInPandas(run, "output_path string, content binary")
+
+
 def preprocess_images(
     rows: DataFrame,
     payloads: Callable[[DataFrame], DataFrame | Iterable[DataFrame]],
